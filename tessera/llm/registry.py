@@ -2,8 +2,8 @@
 
 from __future__ import annotations
 
-from . import exact_dedup, mixing
+from . import exact_dedup, mixing, pieces
 
-_MODULES = [exact_dedup, mixing]
+_MODULES = [exact_dedup, mixing, pieces]
 QUERIES = {k: v for m in _MODULES for k, v in m.QUERIES.items()}
 ORACLE = {k: v for m in _MODULES for k, v in getattr(m, "ORACLE", {}).items()}
