@@ -2,8 +2,8 @@
 
 from __future__ import annotations
 
-from . import exact_dedup, fingerprints, mixing, pieces
+from . import exact_dedup, fingerprints, html_text, mixing, pieces, secrets
 
-_MODULES = [exact_dedup, fingerprints, mixing, pieces]
+_MODULES = [exact_dedup, fingerprints, html_text, mixing, pieces, secrets]
 QUERIES = {k: v for m in _MODULES for k, v in m.QUERIES.items()}
 ORACLE = {k: v for m in _MODULES for k, v in getattr(m, "ORACLE", {}).items()}
