@@ -2,8 +2,8 @@
 
 from __future__ import annotations
 
-from . import exact_dedup, fingerprints, html_text, line_dedup, mixing, pieces, secrets
+from . import exact_dedup, fingerprints, html_text, line_dedup, mixing, ngram_join, pieces, quality, secrets
 
-_MODULES = [exact_dedup, fingerprints, html_text, line_dedup, mixing, pieces, secrets]
+_MODULES = [ngram_join, quality, exact_dedup, mixing, html_text, pieces, fingerprints, secrets, line_dedup]
 QUERIES = {k: v for m in _MODULES for k, v in m.QUERIES.items()}
 ORACLE = {k: v for m in _MODULES for k, v in getattr(m, "ORACLE", {}).items()}
