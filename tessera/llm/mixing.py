@@ -129,6 +129,24 @@ def mix(docs: DataFrame, block: int = 128, **names) -> DataFrame:
     return got.join(sources.select("pos", "source_size", "target"), "pos").select("doc_id", "size", "source_size", "target", "taken")
 
 
+def mixed_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **settings) -> DataFrame:
+    """The rows of docs as the mix takes them, with all their columns: once for each whole time, and
+    where it takes a part only, once more with the first words of the text, joined by spaces.
+
+    Rows that the mix takes nothing of are not in it. Rows with one id are told apart by size.
+    """
+    order = W.partitionBy("__id").orderBy("__size")
+    takes = mix(docs, id_col=id_col, text_col=text_col, **settings).select(F.col("doc_id").alias("__id"), F.col("size").alias("__size"), "taken")
+    takes = takes.withColumn("__n", F.row_number().over(order)).where("taken > 0").select(F.col("__id").alias("__i"), F.col("__n").alias("__m"), "taken")
+    rows = docs.select(F.struct("*").alias("row"), F.col(id_col).alias("__id"), word_count(text_of(text_col)).alias("__size")).withColumn("__n", F.row_number().over(order))
+    rows = rows.join(takes, F.col("__id").eqNullSafe(F.col("__i")) & (F.col("__n") == F.col("__m")))
+    times = F.ceil(F.col("taken") / F.col("__size")).cast("int")
+    rows = rows.withColumn("time", F.explode(F.sequence(F.lit(0), times - 1))).withColumn("left", F.col("taken") - F.col("time") * F.col("__size"))
+    words = F.slice(F.regexp_extract_all(F.col(f"row.{text_col}"), F.lit(WORD), F.lit(0)), F.lit(1), F.col("left").cast("int"))
+    text = F.when(F.col("left") >= F.col("__size"), F.col(f"row.{text_col}")).otherwise(F.array_join(words, " "))
+    return rows.select(*[text.alias(c) if c == text_col else F.col(f"row.{c}").alias(c) for c in docs.columns])
+
+
 def op5_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mix(table(spark, sf_dir, "documents"))
 

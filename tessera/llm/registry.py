@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import corpus_pipeline
+
 from . import exact_dedup, fingerprints, html_text, line_dedup, mixing, ngram_join, pieces, quality, secrets
 
 _MODULES = [ngram_join, quality, exact_dedup, mixing, html_text, pieces, fingerprints, secrets, line_dedup]
-QUERIES = {k: v for m in _MODULES for k, v in m.QUERIES.items()}
+QUERIES = {k: v for m in _MODULES for k, v in m.QUERIES.items()} | {"pipeline": corpus_pipeline.run}
 ORACLE = {k: v for m in _MODULES for k, v in getattr(m, "ORACLE", {}).items()}
