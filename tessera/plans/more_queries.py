@@ -189,10 +189,10 @@ def hpo_convergence(spark, sf):
     return t.select("study", "trial", "improved", stale.cast("bigint").alias("stale"), (stale >= 3).alias("pruned"))
 
 
-@query("SELECT o_custkey AS study, first(o_orderkey ORDER BY o_totalprice DESC, o_orderkey) AS best_trial, round(max(o_totalprice), 4) AS best, count(*) AS trials, round(max(0.5 * (o_totalprice / 1000) + 0.3 * (o_totalprice / 2000) + 0.1 + 0.1), 6) AS fitness FROM orders GROUP BY o_custkey")
+@query("SELECT o_custkey AS study, first(o_orderkey ORDER BY o_totalprice DESC, o_orderkey) AS best_trial, round(max(o_totalprice), 4) AS best, count(*) AS trials, round(max(0.5 * (o_totalprice / 1000) + 0.3 * (o_totalprice / 2000) + 0.1 + 0.1), 9) AS fitness FROM orders GROUP BY o_custkey")
 def hpo_best(spark, sf):
     p = F.col("o_totalprice")
-    return b.table(spark, sf, "orders").groupBy(F.col("o_custkey").alias("study")).agg(F.min_by("o_orderkey", F.struct(-p, "o_orderkey")).alias("best_trial"), F.round(F.max(p), 4).alias("best"), F.count("*").alias("trials"), F.round(F.max(0.5 * (p / 1000) + 0.3 * (p / 2000) + 0.1 + 0.1), 6).alias("fitness"))
+    return b.table(spark, sf, "orders").groupBy(F.col("o_custkey").alias("study")).agg(F.min_by("o_orderkey", F.struct(-p, "o_orderkey")).alias("best_trial"), F.round(F.max(p), 4).alias("best"), F.count("*").alias("trials"), F.round(F.max(0.5 * (p / 1000) + 0.3 * (p / 2000) + 0.1 + 0.1), 9).alias("fitness"))
 
 
 @query("""SELECT o_orderkey AS trial, coalesce(CASE WHEN o_orderkey % 5 = 0 THEN 32 END, CASE WHEN o_orderkey % 3 = 0 THEN 16 END, 8)::INT AS batch,

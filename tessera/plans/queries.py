@@ -328,12 +328,12 @@ def _measured(spark, sf):
     return x.withColumns({"width": w, "height": h, "area": w * h, "aspect": F.try_divide(w, h), "cx": (F.col("x1") + F.col("x2")) / 2 / b.WIDTH, "cy": (F.col("y1") + F.col("y2")) / 2 / b.HEIGHT, "area_ratio": w * h / (b.WIDTH * b.HEIGHT)})
 
 
-@query(f"""WITH {b.BOXES} SELECT box_id, round(x2 - x1, 6) AS width, round(y2 - y1, 6) AS height, round({AREA}, 6) AS area, round({ASPECT}, 6) AS aspect, round((x1 + x2) / 2 / 640, 6) AS cx, round((y1 + y2) / 2 / 480, 6) AS cy, round({AREA} / 307200, 6) AS area_ratio,
-CASE WHEN {AREA} < 1000 THEN 'small' WHEN {AREA} > 100000 THEN 'large' ELSE 'valid' END AS size_flag, {ASPECT} BETWEEN 1.5 AND 6.0 AS aspect_ok, round(least(1::DOUBLE, greatest(0.000001::DOUBLE, w)), 6) AS w_clipped FROM b""")
+@query(f"""WITH {b.BOXES} SELECT box_id, round(x2 - x1, 10) AS width, round(y2 - y1, 10) AS height, round({AREA}, 10) AS area, round({ASPECT}, 10) AS aspect, round((x1 + x2) / 2 / 640, 10) AS cx, round((y1 + y2) / 2 / 480, 10) AS cy, round({AREA} / 307200, 10) AS area_ratio,
+CASE WHEN {AREA} < 1000 THEN 'small' WHEN {AREA} > 100000 THEN 'large' ELSE 'valid' END AS size_flag, {ASPECT} BETWEEN 1.5 AND 6.0 AS aspect_ok, round(least(1::DOUBLE, greatest(0.000001::DOUBLE, w)), 10) AS w_clipped FROM b""")
 def box_metrics(spark, sf):
     m = _measured(spark, sf)
     flag = F.when(F.col("area") < 1000, "small").when(F.col("area") > 100_000, "large").otherwise("valid")
-    return shown(m.select("box_id", "width", "height", "area", "aspect", "cx", "cy", "area_ratio", flag.alias("size_flag"), F.col("aspect").between(1.5, 6.0).alias("aspect_ok"), F.least(F.lit(1.0), F.greatest(F.lit(1e-6), F.col("w"))).alias("w_clipped")))
+    return shown(m.select("box_id", "width", "height", "area", "aspect", "cx", "cy", "area_ratio", flag.alias("size_flag"), F.col("aspect").between(1.5, 6.0).alias("aspect_ok"), F.least(F.lit(1.0), F.greatest(F.lit(1e-6), F.col("w"))).alias("w_clipped")), 10)
 
 
 BOX_ISSUES = f"list_filter([CASE WHEN {AREA} < 1000 THEN 'bbox_too_small' WHEN {AREA} > 100000 THEN 'bbox_too_large' END, CASE WHEN NOT ({ASPECT} BETWEEN 1.5 AND 6.0) THEN 'unusual_aspect_ratio' END], lambda x: x IS NOT NULL)"
