@@ -42,6 +42,17 @@ def suppress(boxes: DataFrame, least: float = 0.9, key: str = "image_id", idx: s
     return rows.select(key, F.explode(kept).alias("m")).select(key, F.col("m.i").alias(idx))
 
 
+def fuse(boxes: DataFrame, weight: Column, least: float = 0.5, key: str = "image_id", idx: str = "box_id") -> DataFrame:
+    """Weighted fusion: each box joins the first kept box (by weight, as suppress keeps them) that it
+    overlaps by least; a cluster becomes the weighted mean of its corners, with n and summed weight."""
+    boxes = boxes.withColumn("weight", weight)
+    heads = boxes.join(suppress(boxes, least, key, idx, F.col("weight")), [key, idx]).select(key, F.col(idx).alias("head"), F.col("weight").alias("hw"), *[F.col(c).alias(f"h{c}") for c in CORNERS])
+    near = boxes.join(heads, key).where(g.iou(box(), box("h")) >= least)
+    own = near.groupBy(key, idx, "weight", *CORNERS).agg(F.min_by("head", F.struct(-F.col("hw"), "head")).alias("head"))
+    mean = [(F.sum(F.col(c) * F.col("weight")) / F.sum("weight")).alias(c) for c in CORNERS]
+    return own.groupBy(key, "head").agg(*mean, F.count("*").alias("n"), F.sum("weight").alias("weight"))
+
+
 def best_iou(pairs: DataFrame, above: float = 0.5, key: str = "image_id") -> DataFrame:
     """Each ground truth's best IoU; matched where it is above the threshold."""
     return pairs.groupBy(key, "gt_idx").agg(F.max("iou").alias("best")).withColumn("matched", F.col("best") > above)

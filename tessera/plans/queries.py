@@ -455,6 +455,12 @@ def box_nms(spark, sf):
     return matching.suppress(b.boxes(spark, sf), 0.5)
 
 
+@query()
+def box_fusion(spark, sf):
+    """Views weigh 1, 1/2, 1/3 ... in turn."""
+    return shown(matching.fuse(b.boxes(spark, sf), F.col("value") / (F.col("box_id") % 3 + 1)))
+
+
 def _errors(spark, sf):
     gt, det = b.truth(spark, sf), b.detections(spark, sf)
     return matching.errors(gt, det, matching.greedy(matching.pairs(gt, det)))

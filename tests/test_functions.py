@@ -116,3 +116,9 @@ def test_near_pairs_against_all_pairs(spark):
     rows = list(enumerate(signs))
     got = {(r.a, r.b) for r in merging.near_pairs(spark.createDataFrame(rows, "id bigint, sign bigint"), "id", "sign").collect()}
     assert got == {(i, j) for i, s in rows for j, t in rows if i < j and (s ^ t).bit_count() <= 3}
+
+
+def test_fusion(spark):
+    rows = [(1, 1, 0.0, 0.0, 10.0, 10.0, 3.0), (1, 2, 2.0, 0.0, 10.0, 10.0, 1.0), (1, 3, 50.0, 50.0, 60.0, 60.0, 2.0)]
+    got = {r.head: r for r in matching.fuse(spark.createDataFrame(rows, "image_id bigint, box_id bigint, x1 double, y1 double, x2 double, y2 double, s double"), F.col("s")).collect()}
+    assert got.keys() == {1, 3} and got[1].x1 == 0.5 and got[1].n == 2 and got[3].weight == 2.0

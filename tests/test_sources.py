@@ -5,7 +5,7 @@ import zlib
 import numpy as np
 from pyspark.sql import functions as F
 
-from tessera.sources import images, json_labels, labels
+from tessera.sources import images, json_labels, labels, sinks
 from tessera.streaming import votes
 
 
@@ -67,3 +67,17 @@ def test_stream_resumes(spark, tmp_path):
     rows.where("frame >= 60").write.mode("append").parquet(src)
     votes.run_to_files(votes.read_stream(spark, src), out, ck)
     assert spark.read.parquet(out).select("frame").distinct().count() == spark.read.parquet(out).count() == 100
+
+
+def test_sinks(spark, tmp_path):
+    rows = spark.createDataFrame([("train", "a", 1, 0.5, 0.5, 0.25, 0.125), ("train", "a", 0, 0.25, 0.5, 0.1, 0.2), ("val", "b", 0, 0.5, 0.5, 1.0, 1.0)], "split string, stem string, line_no int, xc double, yc double, w double, h double")
+    sinks.write_label_files(sinks.label_files(rows), str(tmp_path / "labels"))
+    assert (tmp_path / "labels/train/a.txt").read_text() == "0 0.250000 0.500000 0.100000 0.200000\n0 0.500000 0.500000 0.250000 0.125000\n"
+    back = labels.parse_lines(labels.read_label_lines(spark, str(tmp_path / "labels")))
+    assert back.where(labels.readable()).count() == 3
+    sinks.write_review(rows.withColumn("category", F.col("split")), str(tmp_path / "review"))
+    assert (tmp_path / "review/category=val").is_dir()
+    sinks.write_mapping(rows, str(tmp_path / "map"))
+    assert spark.read.option("header", True).csv(str(tmp_path / "map")).columns == rows.columns
+    assert sinks.data_yaml(rows, "/data", ["plate"]) == "path: /data\ntrain: images/train\nval: images/val\nnc: 1\nnames:\n  0: plate\n"
+    assert sinks.copy_manifest(rows.select(F.lit("p").alias("path"), "split", F.col("stem").alias("name")), "/out").first().target == "/out/images/train/a"
