@@ -72,9 +72,8 @@ def padded_crop(box: Box, pad: float, width: Column, height: Column) -> Box:
     return (F.greatest(F.lit(0), cut(box[0] - pad)), F.greatest(F.lit(0), cut(box[1] - pad)), F.least(cut(width), cut(box[2] + pad)), F.least(cut(height), cut(box[3] + pad)))
 
 
-#: Test-time views of an image.
+# Test-time views of an image, and the factors of the two scaled ones.
 VIEWS = ("original", "flip_h", "flip_v", "rotate_90", "rotate_180", "rotate_270", "scale_up", "scale_down")
-#: Factors of the two scaled views.
 SCALE_UP, SCALE_DOWN = 1.25, 0.833
 
 

@@ -5,8 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+# Critical issues, the issues of each review category in order of priority, and grades.
 CRITICAL = ("corrupted_image", "unreadable_image", "missing_label", "corrupted_label", "no_valid_plates", "invalid_label_format")
-#: Issues of each review category, in order of priority.
 CATEGORIES = (
     ("corrupted", ("corrupted_image", "unreadable_image", "corrupted_label")),
     ("blurry", ("blurry",)),

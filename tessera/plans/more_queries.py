@@ -141,10 +141,13 @@ def quality_checks(spark, sf):
     return out.withColumn("pass_rate", F.round(F.avg((F.col("status") == "PASS").cast("int")).over(W.partitionBy(F.lit(0))) * 100, 6))
 
 
+# Augmentation pipelines and their weights.
+PIPELINES = (("mild_color", 0.18), ("mild_geo", 0.18), ("blur_noise", 0.15), ("weather_light", 0.12), ("combo_light", 0.15), ("advanced", 0.15), ("rare_cases_light", 0.07))
+
+
 @query(f"WITH c AS (SELECT CASE WHEN u < 0.18 THEN 'mild_color' WHEN u < 0.36 THEN 'mild_geo' WHEN u < 0.51 THEN 'blur_noise' WHEN u < 0.63 THEN 'weather_light' WHEN u < 0.78 THEN 'combo_light' WHEN u < 0.93 THEN 'advanced' ELSE 'rare_cases_light' END AS pipeline FROM (SELECT {H.format('c_custkey')} / 4294967296.0::DOUBLE AS u FROM customer)) SELECT pipeline, count(*) AS n, round(count(*)::DOUBLE / sum(count(*)) OVER (), 6) AS share FROM c GROUP BY pipeline")
 def usage_shares(spark, sf):
-    names = ("mild_color", "mild_geo", "blur_noise", "weather_light", "combo_light", "advanced", "rare_cases_light")
-    chosen = weighted_choice(uniform(F.col("c_custkey")), names, (0.18, 0.18, 0.15, 0.12, 0.15, 0.15, 0.07))
+    chosen = weighted_choice(uniform(F.col("c_custkey")), *zip(*PIPELINES, strict=True))
     return stats.shares(b.table(spark, sf, "customer").select(chosen.alias("pipeline")), "pipeline")
 
 

@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, LongType, StructField, StructType
 
+# Suffixes of images.
 EXTENSIONS = ("jpg", "jpeg", "png", "bmp", "tiff", "webp", "jfif")
 
 
