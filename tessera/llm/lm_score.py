@@ -13,34 +13,38 @@ from pyspark.sql import functions as F
 from .common import drop_path, table, text_of, written
 
 #: Tokens of a shard, and requests that one bucket of counts takes, about.
-SHARD, BUCKET = 4_000_000, 4_000_000
+SHARD, BUCKET = 2_000_000, 4_000_000
 #: Levels per factor of two, and the most levels, of the ratios that weights are learned from.
 FINE, LEVELS = 2, 127
+#: Bytes of a key that go to its bucket, by kind (word, bigram). The bucket stands for the top bits, 8 and
+#: more as the input grows.
+SENT = (7, 6)
 #: Hashes of the end of a text and of its start, which words cannot have but by chance.
 END, START = 0x9AE16A3B2F90404F, 0xC949D7C7509E6557
-MASK56 = np.uint64(2**56 - 1)
 
 
 def _pack(a: np.ndarray) -> bytes:
+    """Compressed, byte by byte of the numbers: the upper bytes are mostly zero."""
     import zstandard
 
-    return zstandard.compress(np.ascontiguousarray(a).tobytes(), 1)
+    return zstandard.compress(np.ascontiguousarray(a).view(np.uint8).reshape(len(a), a.itemsize).T.tobytes(), 3)
 
 
 def _unpack(raw: bytes, kind) -> np.ndarray:
     import zstandard
 
-    return np.frombuffer(zstandard.decompress(raw), kind)
+    planes = np.frombuffer(zstandard.decompress(raw), np.uint8).reshape(np.dtype(kind).itemsize, -1)
+    return np.ascontiguousarray(planes.T).reshape(-1).view(kind)
 
 
-def _pack_sorted(keys: np.ndarray) -> bytes:
-    """56-bit keys as seven planes of bytes; hashes do not compress further."""
-    return np.ascontiguousarray(keys.astype("<u8").view(np.uint8).reshape(-1, 8)[:, :7]).tobytes()
+def _low_bytes(keys: np.ndarray, n: int) -> bytes:
+    """The lowest n bytes of keys; hashes do not compress."""
+    return np.ascontiguousarray(keys.astype("<u8").view(np.uint8).reshape(-1, 8)[:, :n]).tobytes()
 
 
-def _unpack_sorted(raw: bytes) -> np.ndarray:
-    out = np.zeros((len(raw) // 7, 8), np.uint8)
-    out[:, :7] = np.frombuffer(raw, np.uint8).reshape(-1, 7)
+def _from_low_bytes(raw: bytes, n: int) -> np.ndarray:
+    out = np.zeros((len(raw) // n, 8), np.uint8)
+    out[:, :n] = np.frombuffer(raw, np.uint8).reshape(-1, n)
     return out.reshape(-1).view("<u8")
 
 
@@ -120,19 +124,19 @@ def _requests(bits: int):
                 s = Shard(row)
                 for kind, keys, counts in ((0, s.vocab[s.order], s.words[s.order]), (1, s.kinds, s.pairs)):
                     cuts = np.searchsorted(keys >> np.uint64(64 - bits), np.arange(2**bits + 1))
-                    out = [(kind, b, row["shard"], _pack_sorted(keys[i:j] & MASK56) if bits >= 8 else keys[i:j].tobytes(), _pack(counts[i:j])) for b, (i, j) in enumerate(zip(cuts, cuts[1:], strict=False)) if j > i]
+                    out = [(kind, b, row["shard"], _low_bytes(keys[i:j], SENT[kind]), _pack(counts[i:j])) for b, (i, j) in enumerate(zip(cuts, cuts[1:], strict=False)) if j > i]
                     if out:
                         yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out, strict=True), (pa.int32(), pa.int32(), pa.string(), pa.binary(), pa.binary()), strict=True)], ["kind", "bucket", "shard", "keys", "counts"])
 
     return run
 
 
-def _totals(bits: int):
+def _totals():
     """Answers (kind, bucket, shard, places, totals, known): totals where they are more than the shard's
     own counts; known, in one answer of each bucket, how many kinds occur in training texts."""
 
     def answer(rows: list[dict]) -> Iterator[tuple]:
-        keys = [_unpack_sorted(r["keys"]) if bits >= 8 else np.frombuffer(r["keys"], np.uint64) for r in rows]
+        keys = [_from_low_bytes(r["keys"], SENT[r["kind"]]) for r in rows]
         counts = [_unpack(r["counts"], np.uint32) for r in rows]
         kinds, at = np.unique(np.concatenate(keys), return_inverse=True)
         total = np.bincount(at, np.concatenate(counts), len(kinds)).astype(np.int64)
@@ -141,7 +145,7 @@ def _totals(bits: int):
             mine = total[at[start : start + len(c)]]
             start += len(c)
             more = np.nonzero(mine != c)[0]
-            yield r["kind"], r["bucket"], r["shard"], _pack(more.astype(np.uint32)), _pack(mine[more].astype(np.uint64)), len(c), known
+            yield r["kind"], r["bucket"], r["shard"], _pack(np.diff(more, prepend=0).astype(np.uint32)), _pack(mine[more].astype(np.uint64)), len(c), known
             known = 0
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -166,11 +170,12 @@ def _totals(bits: int):
     return run
 
 
-COUNTED = "ids array<bigint>, held array<boolean>, lens binary, tokens binary, at binary, words binary, pairs binary"
+COUNTED = "ids array<bigint>, held array<boolean>, lens binary, words binary, pairs binary"
 
 
 def _counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Puts the answers, which follow each shard's row by kind and bucket, into the shard's counts."""
+    """Each token's count and its bigram's, from the shard's own counts and the answers, which follow its
+    row by kind and bucket."""
     names = [x.split()[0] for x in COUNTED.split(", ")]
 
     def done(row: dict, answers: list[dict]) -> pa.RecordBatch:
@@ -178,13 +183,13 @@ def _counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counts = {0: s.words[s.order].astype(np.int64), 1: s.pairs.astype(np.int64)}
         start = {0: 0, 1: 0}
         for a in answers:
-            places = _unpack(a["places"], np.uint32).astype(np.int64) + start[a["kind"]]
+            places = np.cumsum(_unpack(a["places"], np.uint32), dtype=np.int64) + start[a["kind"]]
             counts[a["kind"]][places] = _unpack(a["totals"], np.uint64).astype(np.int64)
             start[a["kind"]] += a["size"]
         words = np.empty_like(counts[0])
         words[s.order] = counts[0]
-        values = [row["ids"], row["held"], row["lens"], row["tokens"], _pack(s.at.astype(np.uint32)), _pack(words), _pack(counts[1].astype(np.uint32))]
-        kinds = [pa.list_(pa.int64()), pa.list_(pa.bool_()), *[pa.binary()] * 5]
+        values = [row["ids"], row["held"], row["lens"], _pack(words[s.tokens]), _pack(counts[1][s.at])]
+        kinds = [pa.list_(pa.int64()), pa.list_(pa.bool_()), *[pa.binary()] * 3]
         return pa.RecordBatch.from_arrays([pa.array([v], k) for v, k in zip(values, kinds, strict=True)], names)
 
     shard, answers = None, []
@@ -202,14 +207,14 @@ def _counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _frequencies(row: dict) -> tuple[np.ndarray, ...]:
+    """lens, starts, held; and of each token its count, its context's (-1 at a start), the bigram's."""
     lens = _unpack(row["lens"], np.uint32).astype(np.int64)
-    tokens = _unpack(row["tokens"], np.uint32)
-    words, pairs = _unpack(row["words"], np.int64), _unpack(row["pairs"], np.uint32).astype(np.int64)
-    before = np.empty(len(tokens), np.int64)
-    before[1:] = tokens[:-1]
+    words, pairs = _unpack(row["words"], np.int64), _unpack(row["pairs"], np.int64)
     starts = np.concatenate([[0], np.cumsum(lens)[:-1]])
-    before[starts] = -1
-    return lens, starts, np.array(row["held"], bool), words[tokens], np.where(before < 0, -1, words[before]), pairs[_unpack(row["at"], np.uint32)]
+    context = np.empty(len(words), np.int64)
+    context[1:] = words[:-1]
+    context[starts] = -1
+    return lens, starts, np.array(row["held"], bool), words, context, pairs
 
 
 def _levels(ratio: np.ndarray) -> np.ndarray:
@@ -307,7 +312,7 @@ def lm_scores(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -
     n, total, texts = (int(x or 0) for x in shards.agg(F.sum("n"), F.sum("train"), F.sum("texts")).first())
     bits = min(20, max(8, (n // BUCKET).bit_length() + 2))
     asked = shards.mapInArrow(_requests(bits), "kind int, bucket int, shard string, keys binary, counts binary")
-    answers = asked.repartition("kind", "bucket").sortWithinPartitions("kind", "bucket").mapInArrow(_totals(bits), "kind int, bucket int, shard string, places binary, totals binary, size bigint, known bigint")
+    answers = asked.repartition("kind", "bucket").sortWithinPartitions("kind", "bucket").mapInArrow(_totals(), "kind int, bucket int, shard string, places binary, totals binary, size bigint, known bigint")
     answers = written(answers)
     known = int(answers.where("kind = 0").agg(F.sum("known")).first()[0] or 0)
 
