@@ -37,28 +37,30 @@ def _next_in_order(docs: DataFrame) -> DataFrame:
     return both.select("bucket", "guest", "id", "text", F.row_number().over(order).alias("rank"), F.coalesce(F.lead("text").over(order), F.lit("")).alias("next_text"))
 
 
-def _samples(term: Column, lane: Column, logs: dict[str, Column]) -> dict[str, list[Column]]:
-    """LANE samples of a term for each of its log weights, as longs whose least over a document's
-    terms is the document's sample.
+def _samples(terms: DataFrame, keys: list[str], logs: list[str]) -> DataFrame:
+    """The samples of LANE numbers for each log weight, the least over the terms of a group.
 
     By Ioffe's method: r and c of a term and a sample are Gamma(2, 1) distributed, b uniform;
     t = floor(ln w / r + b), and the term with the least ln c - r (t - b + 1) is drawn, as (term,
-    t). The upper half of the long holds that value, the lower half a hash of (term, t).
+    t). A long holds that value, which lies within -70 and 5, in its upper half, and a hash of
+    (term, t) in the lower, so the least long is the sample. A null log gives none. The steps
+    stand as columns of their own, without branches, so each is computed once.
     """
-    out: dict[str, list[Column]] = {k: [] for k in logs}
-    bits = lambda x, at, n: (F.shiftrightunsigned(x, at).bitwiseAND(2**n - 1) + 0.5) / float(2**n)
-    for j in range(LANE):
-        k = lane * LANE + j
-        x, y = F.xxhash64(term, k), F.xxhash64(k, term)
-        r = -F.ln(bits(x, 0, 21) * bits(x, 21, 21))
-        b = bits(x, 42, 22)
-        c = F.ln(-F.ln(bits(y, 0, 32) * bits(y, 32, 32)))
-        for name, log in logs.items():
-            t = F.floor(log / r + b)
-            least = ((c - r * (t - b + 1.0)) + 200.0) * float(2**22)
-            key = F.shiftleft(F.least(F.greatest(least, F.lit(0.0)), F.lit(2.0**31 - 1)).cast("long"), 32)
-            out[name].append(F.when(log.isNotNull(), key.bitwiseOR(F.xxhash64(y, t).bitwiseAND(0xFFFFFFFF))))
-    return out
+    unit = lambda x, at, n: (F.shiftrightunsigned(F.col(x), at).bitwiseAND(2**n - 1) + 0.5) * 2.0**-n
+    carried = [*keys, *logs]
+    k = F.col("lane") * LANE
+    terms = terms.select(*carried, *[F.xxhash64("term", k + j).alias(f"x{j}") for j in range(LANE)], *[F.xxhash64(k + j, "term").alias(f"y{j}") for j in range(LANE)])
+    r = [(-F.ln(unit(f"x{j}", 0, 21) * unit(f"x{j}", 21, 21))).alias(f"r{j}") for j in range(LANE)]
+    c = [F.ln(-F.ln(unit(f"y{j}", 0, 32) * unit(f"y{j}", 32, 32))).alias(f"c{j}") for j in range(LANE)]
+    b = [unit(f"x{j}", 42, 22).alias(f"b{j}") for j in range(LANE)]
+    terms = terms.select(*carried, *[f"y{j}" for j in range(LANE)], *r, *c, *b)
+    least = []
+    for x in logs:
+        for j in range(LANE):
+            t = F.floor(F.col(x) / F.col(f"r{j}") + F.col(f"b{j}"))
+            value = (F.col(f"c{j}") - F.col(f"r{j}") * (t - F.col(f"b{j}") + 1.0) + 200.0) * 2.0**22
+            least.append(F.min(F.shiftleft(value.cast("long"), 32).bitwiseOR(F.col(f"y{j}").bitwiseXOR(t).bitwiseAND(0xFFFFFFFF))).alias(f"{x}{j}"))
+    return terms.groupBy(*keys).agg(*least)
 
 
 def likeness(a: Column, b: Column) -> Column:
@@ -106,8 +108,7 @@ def fingerprints(docs: DataFrame, samples: int = 64, id_col: str = "doc_id", tex
     terms = tokens.groupBy("bucket", "rank", F.xxhash64("word").alias("term")).agg(F.sum("a").alias("a"), F.sum("b").alias("b"))
     terms = terms.select("bucket", "rank", "term", *[F.when(F.col(x) > 0, F.ln(F.col(x).cast("double"))).alias(x) for x in "ab"])
     terms = terms.select("*", F.explode(F.array(*[F.lit(i) for i in range(lanes)])).alias("lane"))
-    drawn = _samples(F.col("term"), F.col("lane"), {x: F.col(x) for x in "ab"})
-    least = terms.groupBy("bucket", "rank", "lane").agg(*[F.min(c).alias(f"{x}{j}") for x in "ab" for j, c in enumerate(drawn[x])])
+    least = _samples(terms, ["bucket", "rank", "lane"], ["a", "b"])
     low = lambda x: F.array(*[F.col(f"{x}{j}").bitwiseAND(0xFFFFFFFF) for j in range(LANE)])
     signs = least.groupBy("bucket", "rank").agg(F.array_sort(F.collect_list(F.struct("lane", low("a").alias("a"), low("b").alias("b")))).alias("s"))  # one a lane
     signs = signs.select("bucket", "rank", F.slice(F.flatten("s.a"), 1, samples).alias("mine"), F.slice(F.flatten("s.b"), 1, samples).alias("other"))
