@@ -19,19 +19,20 @@ def _next_in_order(docs: DataFrame) -> DataFrame:
     ids last; after the last row the first. ``guest`` marks a copy, at its end, of the row after a
     bucket's last.
 
-    Buckets are ranges of ids, so no task sorts all rows. Their heads are ordered in two steps,
-    within a range of buckets and then among the ranges.
+    Buckets are ranges of ids, so no task sorts all rows. Only the first row of each goes to the
+    bucket before it, which is found in two steps, within a range of buckets and among ranges.
     """
-    end = 2**63 - 1
-    bucket = F.coalesce(F.floor(F.col("id") / NEAR), F.lit(end // NEAR))
+    bucket = F.coalesce(F.floor(F.col("id") / NEAR), F.lit((2**63 - 1) // NEAR))
     docs = docs.withColumn("bucket", bucket)
-    heads = docs.groupBy("bucket").agg(F.min(F.coalesce("id", F.lit(end))).alias("head")).withColumn("range", F.floor(F.col("bucket") / (FAR // NEAR)))
-    first = heads.groupBy("range").agg(F.min_by("head", "bucket").alias("head"))
+    inside = W.partitionBy("bucket").orderBy(F.col("id").asc_nulls_last(), "text")
+    heads = docs.withColumn("n", F.row_number().over(inside)).where("n = 1").drop("n")
+    used = docs.select("bucket").distinct().withColumn("range", F.floor(F.col("bucket") / (FAR // NEAR)))
     ring = W.partitionBy(F.lit(0)).orderBy("range")
-    first = first.select("range", F.coalesce(F.lead("head").over(ring), F.first("head").over(ring)).alias("beyond"))
-    after = F.coalesce(F.lead("head").over(W.partitionBy("range").orderBy("bucket")), F.col("beyond"))
-    after = heads.join(first, "range").select("bucket", after.alias("head"))
-    guests = docs.drop("bucket").withColumn("head", F.coalesce("id", F.lit(end))).join(after, "head").groupBy("bucket", "id").agg(F.min("text").alias("text"))
+    first = used.groupBy("range").agg(F.min("bucket").alias("first"))
+    first = first.select("range", F.coalesce(F.lead("first").over(ring), F.first("first").over(ring)).alias("beyond"))
+    after = F.coalesce(F.lead("bucket").over(W.partitionBy("range").orderBy("bucket")), F.col("beyond"))
+    before = used.join(first, "range").select(F.col("bucket").alias("here"), after.alias("bucket"))
+    guests = heads.join(before, "bucket").select("id", "text", F.col("here").alias("bucket"))
     both = docs.withColumn("guest", F.lit(False)).unionByName(guests.withColumn("guest", F.lit(True)))
     order = W.partitionBy("bucket").orderBy("guest", F.col("id").asc_nulls_last(), "text")
     return both.select("bucket", "guest", "id", "text", F.row_number().over(order).alias("rank"), F.coalesce(F.lead("text").over(order), F.lit("")).alias("next_text"))
@@ -92,7 +93,7 @@ def fingerprints(docs: DataFrame, samples: int = 64, id_col: str = "doc_id", tex
     kept = F.substring(F.col("text"), F.lit(1), n - q)
     base = base.withColumn("n", n).withColumn("kept", kept).withColumn("new", F.substring(F.col("next_text"), F.lit(1), q))
     edited = F.concat("kept", "new")
-    facts = base.where("NOT guest").select("bucket", "rank", "id", F.col("n").cast("long").alias("n_chars"), F.sha2(edited, 256).alias("edited_sha256"))
+    facts = base.select("bucket", "rank", "guest", "id", F.col("n").cast("long").alias("n_chars"), F.sha2(edited, 256).alias("edited_sha256"))
 
     # words before the cut, and the rests of either text
     head = F.regexp_replace("kept", r"[^\x20\x09-\x0D]+\z", "")
@@ -114,8 +115,7 @@ def fingerprints(docs: DataFrame, samples: int = 64, id_col: str = "doc_id", tex
     signs = signs.select("bucket", "rank", F.slice(F.flatten("s.a"), 1, samples).alias("mine"), F.slice(F.flatten("s.b"), 1, samples).alias("other"))
 
     none = F.array_repeat(F.lit(None).cast("long"), samples)
-    guests = base.where("guest").select("bucket", "rank", F.lit(None).cast("long").alias("id"), F.lit(None).cast("long").alias("n_chars"), F.lit(None).cast("string").alias("edited_sha256"))
-    out = facts.withColumn("guest", F.lit(False)).unionByName(guests.withColumn("guest", F.lit(True))).join(signs, ["bucket", "rank"], "left")
+    out = facts.join(signs, ["bucket", "rank"], "left")
     out = out.withColumn("mine", F.coalesce("mine", none)).withColumn("other", F.coalesce("other", none))
     out = out.withColumn("theirs", F.lead("mine").over(W.partitionBy("bucket").orderBy("rank"))).where("NOT guest")
     text = lambda x: F.array_join(F.transform(x, lambda v: F.lower(F.lpad(F.hex(v), 8, "0"))), "")
