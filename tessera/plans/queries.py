@@ -352,12 +352,15 @@ def image_flags(spark, sf):
     return ids.select(i, F.array_join(_image_issues(i), ",").alias("issues"), (((i * 37) % 300 >= 50) & ((i * 53) % 256).between(30, 220) & ((i * 29) % 90 >= 20)).alias("augmentable"))
 
 
+BOX_CODES = ("bbox_too_small", "bbox_too_large", "unusual_aspect_ratio")
+
+
 def _cleaned(spark, sf):
     """Images with all issues of theirs and their boxes', repeats included."""
     boxes = b.boxes(spark, sf)
     each = boxes.select("image_id", "split", quality.box_issue_list(g.area(matching.box()), (F.col("x2") - F.col("x1")) / (F.col("y2") - F.col("y1"))).alias("i"))
-    few = each.where("image_id % 4 = 0 OR size(i) = 0").groupBy("image_id", "split").agg(F.flatten(F.collect_list("i")).alias("i"))
-    out = few.select("image_id", "split", F.concat(_image_issues(F.col("image_id")), F.slice("i", 1, 2)).alias("issues"))
+    n = each.groupBy("image_id", "split").agg(*[F.count_if(F.array_contains("i", c)).cast("int").alias(c) for c in BOX_CODES])
+    out = n.select("image_id", "split", F.concat(_image_issues(F.col("image_id")), *[F.array_repeat(F.lit(c), F.col(c)) for c in BOX_CODES]).alias("issues"))
     return out.withColumn("issues", F.sort_array("issues")).withColumn("kept", quality.keep(F.col("issues")))
 
 
@@ -365,7 +368,13 @@ CLEAN = f"""WITH {b.BOXES}, e AS (SELECT image_id, split, {BOX_ISSUES} AS i FROM
 n AS (SELECT image_id, split, flatten(list(i)) AS l FROM e WHERE image_id % 4 = 0 OR len(i) = 0 GROUP BY image_id, split)"""
 
 
-@query()
+ALL_ISSUES = f"""WITH {b.BOXES}, e AS (SELECT image_id, split, {BOX_ISSUES} AS i FROM b), n AS (SELECT image_id AS i, split, flatten(list(i)) AS l FROM e GROUP BY ALL),
+c AS (SELECT i AS image_id, split, list_sort(list_concat(CASE WHEN i % 31 = 0 THEN ['unreadable_image'] WHEN i % 23 = 0 THEN ['missing_label'] ELSE {IMAGE_ISSUES} END, l)) AS l FROM n),
+k AS (SELECT *, NOT list_has_any(l, ['unreadable_image', 'missing_label']) AND len(l) <= 3 AS kept FROM c)"""
+
+
+@query(ALL_ISSUES + """ SELECT image_id, split, array_to_string(l, ',') AS issues, kept, CASE WHEN kept THEN NULL WHEN list_contains(l, 'unreadable_image') THEN 'corrupted' WHEN list_contains(l, 'blurry') THEN 'blurry' WHEN list_contains(l, 'missing_label') THEN 'mislabeled'
+WHEN list_has_any(l, ['bbox_too_small', 'bbox_too_large']) THEN 'size_issues' WHEN list_contains(l, 'unusual_aspect_ratio') THEN 'aspect_ratio_issues' ELSE 'poor_quality' END AS category FROM k""")
 def clean_images(spark, sf):
     return _cleaned(spark, sf).select("image_id", "split", F.array_join("issues", ",").alias("issues"), "kept", F.when(~F.col("kept"), quality.category(F.col("issues"))).alias("category"))
 

@@ -40,3 +40,9 @@ def test_top_k_is_not_a_full_sort(spark):
 def test_scan_reads_two_columns(spark):
     p = plan(queries.QUERIES["split_counts"](spark, SF))
     assert "ReadSchema: struct<doc_id:bigint>" in p or "text" not in p.split("ReadSchema")[-1]
+
+
+def test_clean_images_count_every_box_issue(spark):
+    found = queries._boxes_judged(spark, SF).selectExpr("sum(size(issues)) AS n").first().n
+    codes = queries.clean_images(spark, SF).selectExpr("explode(split(issues, ',')) AS c")
+    assert codes.where("c IN ('bbox_too_small', 'bbox_too_large', 'unusual_aspect_ratio')").count() == found
