@@ -272,7 +272,7 @@ def track_confidence(spark, sf):
 
 @query("SELECT user_id AS track, string_agg(event_type, '' ORDER BY (event_id * 31) % 480, event_id) AS joined FROM events WHERE event_id % 40 < 5 GROUP BY user_id")
 def ocr_line_order(spark, sf):
-    r = b.table(spark, sf, "events").where("event_id % 40 < 5").groupBy(F.col("user_id").alias("track")).agg(F.collect_list(F.struct(((F.col("event_id") * 31) % 480).alias("y"), F.col("event_id").alias("i"), F.col("event_type").alias("t"))).alias("l"))
+    r = b.table(spark, sf, "events").groupBy(F.col("user_id").alias("track")).agg(F.collect_list(F.struct(((F.col("event_id") * 31) % 480).alias("y"), F.col("event_id").alias("i"), F.col("event_type").alias("t"))).alias("l"))
     return r.select("track", F.array_join(F.transform(F.array_sort("l"), lambda x: x["t"]), "").alias("joined"))
 
 

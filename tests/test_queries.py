@@ -46,3 +46,8 @@ def test_clean_images_count_every_box_issue(spark):
     found = queries._boxes_judged(spark, SF).selectExpr("sum(size(issues)) AS n").first().n
     codes = queries.clean_images(spark, SF).selectExpr("explode(split(issues, ',')) AS c")
     assert codes.where("c IN ('bbox_too_small', 'bbox_too_large', 'unusual_aspect_ratio')").count() == found
+
+
+def test_ocr_line_order_has_every_line(spark, duck):
+    want = duck.sql("SELECT user_id, string_agg(event_type, '' ORDER BY (event_id * 31) % 480, event_id) FROM events GROUP BY user_id").fetchall()
+    assert sorted(tuple(r) for r in queries.QUERIES["ocr_line_order"](spark, SF).collect()) == sorted(want)
