@@ -93,9 +93,10 @@ def aligned_lines(later: list[int], words: list[int], earlier: list[int], min_wo
     """Places in ``later`` that lie in blocks, of min_words words or more, aligned with ``earlier``.
 
     What stays between blocks is aligned with the whole of ``earlier`` again until nothing more is
-    found, so that blocks in another order count too.
+    found. An alignment can prefer many short lines to a long block in another order, so the runs
+    that both have are added: no common run of min_words words stays whole.
     """
-    gone: list[int] = []
+    gone = [*common_runs(later, words, earlier, min_words)]
     parts = [list(range(len(later)))]
     while parts:
         part = parts.pop()
@@ -115,7 +116,33 @@ def aligned_lines(later: list[int], words: list[int], earlier: list[int], min_wo
         if blocks:
             parts.append(part[last:])
         parts = [p for p in parts if p]
-    return sorted(gone)
+    return sorted({*gone})
+
+
+def common_runs(later: list[int], words: list[int], earlier: list[int], min_words: int) -> set[int]:
+    """Places in ``later`` that lie in a run of lines, of min_words words or more, that ``earlier`` has too."""
+    count = dict(zip(later, words, strict=True))
+
+    def ending(lines: list[int]) -> Iterator[tuple[int, int]]:
+        """The shortest long enough run up to every line, as start and end."""
+        i, n = 0, 0
+        for j, x in enumerate(lines):
+            if x not in count:
+                i, n = j + 1, 0
+                continue
+            n += count[x]
+            while n - count[lines[i]] >= min_words:
+                n -= count[lines[i]]
+                i += 1
+            if n >= min_words:
+                yield i, j + 1
+
+    def runs(lines: list[int]) -> set[tuple[int, int]]:
+        """Those up to every line and from every line on: together they cover any longer run."""
+        return {*ending(lines), *((len(lines) - j, len(lines) - i) for i, j in ending(lines[::-1]))}
+
+    there = {tuple(earlier[i:j]) for i, j in runs(earlier)}
+    return {x for i, j in runs(later) if tuple(later[i:j]) in there for x in range(i, j)}
 
 
 def dropped_lines(docs: DataFrame, min_words: int = MIN_WORDS, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

@@ -350,6 +350,17 @@ def test_patience_and_moved_blocks():
         assert {a[i] for i in line_dedup.aligned_lines(a, [30] * len(a), b, 25)} == set(a) & set(b)
 
 
+def test_blocks_that_an_alignment_passes_over():
+    assert line_dedup.aligned_lines([1, 2, 3, 11, 12, 13, 14], [20, 20, 20, 3, 3, 3, 3], [11, 12, 13, 14, 1, 2, 3], 25) == [0, 1, 2]
+    assert line_dedup.aligned_lines([1, 11, 12], [60, 3, 3], [11, 12, 1], 25) == [0]
+    random.seed(2)
+    for _ in range(500):
+        size = [random.randint(1, 30) for _ in range(9)]
+        a, b = ([random.randint(0, 8) for _ in range(random.randint(0, 12))] for _ in "ab")
+        both = [(i, j) for i in range(len(a)) for j in range(i + 1, len(a) + 1) if sum(size[x] for x in a[i:j]) >= 25 and any(b[k : k + j - i] == a[i:j] for k in range(len(b)))]
+        assert line_dedup.aligned_lines(a, [size[x] for x in a], b, 25) == sorted({x for i, j in both for x in range(i, j)})
+
+
 def passage(k, words=60):
     return " ".join(f"p{k}_{i}" for i in range(words))
 
