@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from bisect import bisect_left
 from collections import Counter
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
@@ -12,8 +12,10 @@ from pyspark.sql import functions as F
 
 from .common import table, text_of, written
 
-#: Words that an aligned block has at least.
+#: Words that an aligned block has at least, if not all of its lines are rare.
 MIN_WORDS = 25
+#: Documents that have a rare line at most, and words of shared rare lines that make two documents a pair.
+RARE, LINK_WORDS = 10, 8
 KEY = "struct<none:boolean,id:bigint,sign:bigint>"
 
 
@@ -89,14 +91,17 @@ def patience(a: list[int], b: list[int]) -> list[tuple[int, int]]:
     return sorted(out)
 
 
-def aligned_lines(later: list[int], words: list[int], earlier: list[int], min_words: int) -> list[int]:
-    """Places in ``later`` that lie in blocks, of min_words words or more, aligned with ``earlier``.
+def aligned_lines(later: list[int], words: list[int], earlier: list[int], min_words: int, rare: Iterable[int] = ()) -> list[int]:
+    """Places in ``later`` that lie in blocks aligned with ``earlier``, of min_words words or more or of rare lines.
 
     What stays between blocks is aligned with the whole of ``earlier`` again until nothing more is
     found. An alignment can prefer many short lines to a long block in another order, so the runs
-    that both have are added: no common run of min_words words stays whole.
+    that both have are added: no common run of min_words words stays whole. A rare line that both
+    have is a block by itself.
     """
     gone = [*common_runs(later, words, earlier, min_words)]
+    shared = {*rare} & {*earlier}
+    gone += [i for i, x in enumerate(later) if x in shared]
     parts = [list(range(len(later)))]
     while parts:
         part = parts.pop()
@@ -148,10 +153,11 @@ def common_runs(later: list[int], words: list[int], earlier: list[int], min_word
 def dropped_lines(docs: DataFrame, min_words: int = MIN_WORDS, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(key, lines): numbers of the lines to delete, of each document that loses some.
 
-    A document's rare line hashes are those of its runs of lines with min_words words or
-    more: so long a run recurs by copying only, however many documents have it, and any
-    block that two documents share holds one. Each links its documents to the first that has
-    it; so a passage in n documents makes n - 1 pairs. Only line hashes go to the pairs.
+    Documents are paired by the hashes of their runs of lines with min_words words or more, which
+    recur by copying only, however many documents have them, and by those of single lines that
+    at most RARE documents have, if the pair's have LINK_WORDS words together. Each hash links its
+    documents to the first that has it; so a passage in n documents makes n - 1 pairs. Only line
+    hashes go to the pairs. From a pair go blocks of min_words words, and rare lines of any length.
     """
     names = ["key", "hashes", "words", "at", "runs"]
 
@@ -165,20 +171,24 @@ def dropped_lines(docs: DataFrame, min_words: int = MIN_WORDS, id_col: str = "do
 
     def align(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            cols = [batch.column(i).to_pylist() for i in range(1, 5)]
+            cols = [batch.column(i).to_pylist() for i in range(1, 6)]
             gone = []
-            for hashes, words, at, other in zip(*cols, strict=True):
-                gone.append([at[i] for i in aligned_lines(hashes, words, other, min_words)])
+            for hashes, words, at, rare, other in zip(*cols, strict=True):
+                gone.append([at[i] for i in aligned_lines(hashes, words, other, min_words, rare)])
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(gone, pa.list_(pa.int32()))], ["key", "lines"])
 
     keyed = docs.select(document_key(id_col, text_col).alias("key"), text_of(text_col).alias("text"))
-    lines = written(keyed.mapInArrow(facts, f"key {KEY}, hashes array<bigint>, words array<int>, at array<int>, runs array<bigint>"))
-    runs = lines.select("key", F.explode("runs").alias("run"))
-    first = runs.groupBy("run").agg(F.min("key").alias("first"), F.max("key").alias("last")).where("first < last").select("run", "first")
-    pairs = runs.join(first, "run").where("key > first").select("key", "first").distinct()
-    one = lines.dropDuplicates(["key"])
-    pairs = pairs.join(one.select("key", "hashes", "words", "at"), "key")
-    pairs = pairs.join(one.select(F.col("key").alias("first"), F.col("hashes").alias("other")), "first").select("key", "hashes", "words", "at", "other")
+    lines = keyed.mapInArrow(facts, f"key {KEY}, hashes array<bigint>, words array<int>, at array<int>, runs array<bigint>")
+    lines = written(lines.dropDuplicates(["key"]))
+    runs = lines.select("key", F.explode("runs").alias("hash"), F.lit(LINK_WORDS).alias("n"), F.lit(False).alias("line"))
+    short = lines.select("key", F.explode(F.array_distinct(F.arrays_zip("hashes", "words"))).alias("l")).select("key", F.col("l.hashes").alias("hash"), F.col("l.words").alias("n"), F.lit(True).alias("line"))
+    marks = runs.unionByName(short.where(F.col("n") < min_words))
+    first = marks.groupBy("hash", "line").agg(F.min("key").alias("first"), F.count("*").alias("docs")).where((F.col("docs") > 1) & (~F.col("line") | (F.col("docs") <= RARE))).drop("docs")
+    shared = marks.join(first, ["hash", "line"]).where("key > first")
+    shared = written(shared.groupBy("key", "first").agg(F.sum("n").alias("n"), F.collect_list(F.when(F.col("line"), F.col("hash"))).alias("rare")))
+    rare = shared.groupBy("key").agg(F.flatten(F.collect_list("rare")).alias("rare"))
+    pairs = shared.where(F.col("n") >= LINK_WORDS).select("key", "first").join(rare, "key").join(lines.select("key", "hashes", "words", "at"), "key")
+    pairs = pairs.join(lines.select(F.col("key").alias("first"), F.col("hashes").alias("other")), "first").select("key", "hashes", "words", "at", "rare", "other")
     gone = pairs.mapInArrow(align, f"key {KEY}, lines array<int>").select("key", F.explode("lines").alias("line"))
     return gone.groupBy("key").agg(F.collect_set("line").alias("lines"))
 
@@ -190,7 +200,7 @@ def document_key(id_col: str, text_col: str):
 
 def dedup_lines(docs: DataFrame, min_words: int = MIN_WORDS, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """All of docs' columns, with the text less the blocks of lines that an earlier document has
-    too, and n_removed: how many lines went. Lines compare without white space at their ends
+    too (long ones, and rare lines of documents that are paired), and n_removed: how many lines went. Lines compare without white space at their ends
     and with runs of it as one space; lines without words are never removed.
 
     Null text stays null and has no lines; texts that lose nothing stay as they are to the

@@ -373,6 +373,21 @@ def test_passages_go_from_later_documents(spark):
     assert got == {0: docs[0][1], 1: own(1) + "\n" + half, 2: own(2), 3: own(3), 4: "", 5: docs[5][1], 6: docs[6][1]}
 
 
+def test_rare_lines_between_edited_ones(spark):
+    line = lambda k, words=12: " ".join(f"r{k}_{i}" for i in range(words))
+    copy = "\n".join(line(i) if i % 2 else line(f"e{i}") for i in range(8))
+    poem = [line(i, 3) for i in range(100, 108)]  # rare lines of three words, that only together make a pair
+    often = line("often")
+    docs = [(0, "\n".join(map(line, range(8)))), (1, copy), (2, "\n".join(poem)), (3, "\n".join(x if i % 2 else line(f"v{i}", 3) for i, x in enumerate(poem))), (4, line(100, 3))]
+    docs += [(k, line(f"own{k}") + "\n" + often) for k in range(10, 21)]
+    got = {r.doc_id: r.text for r in line_dedup.dedup_lines(spark.createDataFrame(docs, "doc_id bigint, text string").repartition(3)).collect()}
+    want = dict(docs) | {1: "\n".join(line(f"e{i}") for i in (0, 2, 4, 6)), 3: "\n".join(line(f"v{i}", 3) for i in (0, 2, 4, 6))}
+    assert got == want  # what eleven documents have is not rare, and three words are no pair
+    twice = spark.createDataFrame([d for d in docs if d[0] < 20 for _ in range(3)], "doc_id bigint, text string")
+    got = {r.doc_id: r.text for r in line_dedup.dedup_lines(twice).collect()}
+    assert got[11] == line("own11") and got[1] == want[1]  # copies of a row are one document
+
+
 def test_line_dedup_awkward_rows(spark):
     got = line_dedup.dedup_lines(documents(spark)).collect()
     assert len(got) == len(ROWS)
