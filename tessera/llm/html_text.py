@@ -195,8 +195,9 @@ def main_blocks(page: str, strictness: float = 0.5) -> list[str]:
     Blocks in menus, headers, footers, sidebars, notices, adverts, forms and comments are set
     aside by their elements; the tag-path ratios of the others choose the content paths, those
     with a score of ``strictness`` standard deviations or more. The main text is what lies in the
-    article (or main) elements with a content path, or where there are none, in the deepest
-    element that holds all content paths: there it is the content paths and headings.
+    article (or main) elements with a content path, all of them, and in what a main around such an
+    article has besides articles; or where there are none, in the deepest element that holds all
+    content paths: there it is the content paths and headings.
     """
     blocks = [b for b in blocks_of(page) if not b.outside]
     if not blocks:
@@ -213,13 +214,11 @@ def main_blocks(page: str, strictness: float = 0.5) -> list[str]:
                 return path[: (inner[0] if inner else i) + 1]
         return None
 
-    weight: dict[tuple[str, ...], float] = defaultdict(float)
-    for b, s in zip(blocks, scores, strict=True):
-        if (r := root(b.path)) is not None:
-            weight[r] += len(b.text) if s >= least else 0
-    if weight:
-        best = max(weight, key=lambda r: weight[r])
-        return [b.text for b in blocks if root(b.path) == best]
+    roots = [root(b.path) for b in blocks]
+    kept = {r for b, r in zip(blocks, roots, strict=True) if r is not None and b.path in content}
+    if kept:
+        kept |= {r[: i + 1] for r in kept for i, x in enumerate(r) if x.split(".")[0] == "main"}
+        return [b.text for b, r in zip(blocks, roots, strict=True) if r in kept]
     common = min(content, key=len)
     for p in content:
         while p[: len(common)] != common:

@@ -239,6 +239,14 @@ def test_pages_without_article_tags():
     assert html_text.main_blocks(page) == ["Title", "First paragraph, long enough, with commas.", "Second one & more; good enough, too."]
 
 
+def test_pages_with_several_roots():
+    page = "<body><main><header><h1>Title</h1></header><p>Lead, in short.</p><article><p>The body, which is long enough, with commas.</p></article><nav>menu</nav><p>An end, too.</p></main><p>out</p></body>"
+    assert html_text.main_blocks(page) == ["Title", "Lead, in short.", "The body, which is long enough, with commas.", "An end, too."]
+    posts = [f"Post {k} has its own words, some commas, and an end." for k in range(3)]
+    page = "<body>" + "".join(f'<article class="post-{k}"><h2>Head {k}</h2><p>{p}</p></article>' for k, p in enumerate(posts)) + "<p>x</p></body>"
+    assert html_text.main_blocks(page) == [x for k, p in enumerate(posts) for x in (f"Head {k}", p)]
+
+
 def test_pages_awkward(spark):
     pages = [(1, "u", None), (2, None, ""), (3, "u", "<p>a < b"), (4, "u", "<!-- open"), (5, "u", "<script>x</script>"), (None, "u", "<p>x&nbsp;y</p>"), (6, "u", "<div>" * 3000 + "deep text, here." + "</div>" * 3000), (6, "u", "<article><p>a</p></article>")]
     df = spark.createDataFrame(pages, "page_id bigint, url string, html string").withColumn("text", F.lit("other")).withColumn("n_chars", F.lit(1))
