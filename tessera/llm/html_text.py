@@ -23,7 +23,7 @@ MARKUP = re.compile(
     r"|<[!?][^>]*>|</[^a-zA-Z][^>]*>",
     re.S | re.I,
 )
-ATTRIBUTE = re.compile(r"\b(class|id|role|style|hidden|aria-hidden)(?:\s*=\s*(\"[^\"]*\"|'[^']*'|[^\s\"'>]+))?", re.I)
+ATTRIBUTE = re.compile(r"([^\s\"'=/>]+)(?:\s*=\s*(\"[^\"]*\"|'[^']*'|[^\s\"'>]+))?")
 PUNCTUATION = re.compile(r"[.,;:!?…。、，；：！？¿¡]")
 NAME = re.compile(r"[A-Z]?[a-z]+|[A-Z]+")
 
@@ -138,14 +138,14 @@ def blocks_of(page: str) -> list[Block]:
         outside, hinted, names = tag in OUTSIDE, False, ""
         if m["rest"].strip(" /"):
             for k, v in ATTRIBUTE.findall(m["rest"]):
-                v = v.strip("\"'")
-                if k.lower() in ("class", "id", "role"):
+                k, v = k.lower(), v.strip("\"'")
+                if k in ("class", "id", "role"):
                     names += " " + v
                     hinted |= not HINTS.isdisjoint(x.lower() for x in NAME.findall(v))
-                elif k.lower() == "style":
+                elif k == "style":
                     outside |= "display:none" in v.replace(" ", "").lower()
                 else:
-                    outside |= k.lower() == "hidden" or v.lower() == "true"
+                    outside |= k == "hidden" or (k == "aria-hidden" and v.lower() == "true")
         if tag in ("html", "body", "main"):
             hinted = False
         if tag == "article":
@@ -158,15 +158,38 @@ def blocks_of(page: str) -> list[Block]:
         at = len(page)
     say(page[at:])
     flush()
-    out = []
+    out, hinted_by = [], []
     for opened, folded, links in found:
         heading = opened[-1].tag in HEADINGS
         inside = [o.tag for o in opened]
-        outside = any(o.outside or (o.hinted and not o.holds_main) or (o.header and not (heading and ("article" in inside or "main" in inside))) for o in opened)
+        outside = any(o.outside or (o.header and not (heading and ("article" in inside or "main" in inside))) for o in opened)
         out.append(Block(tuple(o.label for o in opened[1:]), folded, links, outside, heading))
+        hinted_by.append([o for o in opened if o.hinted and not o.holds_main])
+    if any(hinted_by):
+        drop_wrong_hints(out, hinted_by)
+    for b, hints in zip(out, hinted_by, strict=True):
+        b.outside |= any(o.hinted for o in hints)
     return out
 
 
+def drop_wrong_hints(blocks: list[Block], hinted_by: list[list[Open]]) -> None:
+    """Takes the hint from elements, outer ones first, that hold most of the page's text while less
+    than a tenth of theirs lies without a hint: they hold the page, not something beside it."""
+    held: dict[int, int] = defaultdict(int)
+    known, total = {}, 0
+    size = [0 if b.outside else max(0, len(b.text) - b.linked) for b in blocks]
+    for n, hints in zip(size, hinted_by, strict=True):
+        total += n
+        for o in hints:
+            known[id(o)] = o
+            held[id(o)] += n
+    for k in sorted(held, key=lambda k: -held[k]):  # equal ones stay in order, the outer first
+        free = sum(n for n, hints in zip(size, hinted_by, strict=True) if not any(o.hinted for o in hints))
+        if 2 * held[k] <= total or 10 * free >= held[k]:
+            break
+        known[k].hinted = False
+
+
 def path_scores(blocks: list[Block], radius: int = 1) -> list[float]:
     """A block's score: text and punctuation per node of its tag path, each smoothed with its
     neighbours' by a Gaussian, then multiplied; less what is link text."""

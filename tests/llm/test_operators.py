@@ -247,6 +247,17 @@ def test_pages_with_several_roots():
     assert html_text.main_blocks(page) == [x for k, p in enumerate(posts) for x in (f"Head {k}", p)]
 
 
+def test_pages_are_not_emptied_by_attributes():
+    text = "Some text of a page, long enough, with commas."
+    for tag in ('article data-title="The hidden valley"', 'p title="Hidden costs"', 'p data-hidden="false"', 'article data-id="comment-12"', "p data-x='class=comments'", 'div class="content with-sidebar"', 'div id="page" class="no-banner"'):
+        assert html_text.main_blocks(f"<body><nav>menu</nav><{tag}>{text}</{tag.split()[0]}></body>") == [text], tag
+    for tag in ("p hidden", 'p aria-hidden="true"', 'div style="display: none"', "div class=comments", 'div HIDDEN=""'):
+        assert html_text.main_blocks(f"<body><p>{text}</p><{tag}>Not this, no.</{tag.split()[0]}></body>") == [text], tag
+    comments = '<div class="comments">' + "<p>Nice, thanks, and so on.</p>" * 9 + "</div>"
+    for page in (f"<div class=post><p>{text}</p></div>{comments}", f'<div class="content with-sidebar"><p>{text}</p>{comments}</div><div class=sidebar>beside</div>'):
+        assert html_text.main_blocks(f"<body>{page}</body>") == [text]
+
+
 def test_pages_awkward(spark):
     pages = [(1, "u", None), (2, None, ""), (3, "u", "<p>a < b"), (4, "u", "<!-- open"), (5, "u", "<script>x</script>"), (None, "u", "<p>x&nbsp;y</p>"), (6, "u", "<div>" * 3000 + "deep text, here." + "</div>" * 3000), (6, "u", "<article><p>a</p></article>")]
     df = spark.createDataFrame(pages, "page_id bigint, url string, html string").withColumn("text", F.lit("other")).withColumn("n_chars", F.lit(1))
