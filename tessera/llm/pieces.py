@@ -41,7 +41,6 @@ class Pieces:
         self.piece = [p.piece for p in m.pieces]
         self.score = {p.piece: p.score for p in m.pieces if p.type == 1}
         self.id = {p.piece: i for i, p in enumerate(m.pieces) if p.type == 1}
-        self.written = {p: str(i) for p, i in self.id.items()}
         self.byte = {int(p.piece[3:5], 16): i for i, p in enumerate(m.pieces) if p.type == 6}
         self.value = {i: b for b, i in self.byte.items()}
         self.end = next(i for i, p in enumerate(m.pieces) if p.piece == "</s>")
@@ -139,12 +138,8 @@ class Pieces:
         return text[1:] if self.prefix and text[:1] == " " else text
 
     def _chunk(self, chunk: str) -> tuple[str, str]:
-        tokens = self.tokens(chunk)
-        try:
-            got = (" ".join([self.written[p] for p in tokens]), "".join(tokens).replace(SPACE, " "))
-        except KeyError:  # bytes
-            ids = self.ids(tokens)
-            got = (" ".join(map(str, ids)), self.pieces_text(ids))
+        ids = self.ids(self.tokens(chunk))
+        got = (" ".join(map(str, ids)), self.pieces_text(ids))
         if len(chunk) <= LONGEST:
             if len(self.chunks) >= MEMO:
                 self.chunks.clear()

@@ -286,6 +286,16 @@ def test_pieces_against_the_library(spark, small):
         assert mine.encode(t) == lib.encode(t, add_eos=True) and mine.decode(mine.encode(t)) == lib.decode(lib.encode(t))
 
 
+def test_pieces_decode_their_ids():
+    with open(pieces.default_model(), "rb") as f:
+        mine = pieces.Pieces(f.read())
+    assert mine.digest("a text of words")[2] == "a text of words"
+    mine.chunks.clear()
+    mine.id = {p: i - 1 for p, i in mine.id.items()}  # wrong ids must show in the text
+    _, ids, back = mine.digest("a text of words")
+    assert back != "a text of words" and back == mine.decode(list(map(int, ids.split())))
+
+
 def test_pieces_awkward_rows(spark):
     got = pieces.encode_pieces(documents(spark)).collect()
     assert len(got) == len(ROWS) and [r.token_ids for r in got if r.doc_id == 1] == [[2]]
