@@ -86,6 +86,30 @@ def least_matches(similar: float, tolerance: float) -> list[int]:
     return out
 
 
+def missed(similar: float, least: list[int]) -> float:
+    """The chance that a step drops a pair of this similarity."""
+    step = [comb(STEP, k) * similar**k * (1 - similar) ** (STEP - k) for k in range(STEP + 1)]
+    alive = {0: 1.0}
+    for m in least:
+        after: dict[int, float] = {}
+        for k, p in alive.items():
+            for j, q in enumerate(step):
+                if k + j >= m:
+                    after[k + j] = after.get(k + j, 0.0) + p * q
+        alive = after
+    return 1 - sum(alive.values())
+
+
+@cache
+def pruning(similar: float, tolerance: float) -> list[int]:
+    """The fewest equal values after each step, so that all steps together and the bands miss a pair at the
+    threshold with a chance under tolerance."""
+    bands, each = (1 - similar**ROWS) ** BANDS, tolerance
+    while missed(similar, least := least_matches(similar, each)) + bands >= max(tolerance, 2 * bands) and each > 1e-15:
+        each /= 2
+    return least
+
+
 def surviving(a: np.ndarray, b: np.ndarray, band: int, same: bool, least: list[int]) -> np.ndarray:
     """Which pairs of two lists of signatures outlast every comparison step; only pairs that meet in
     no earlier band count, and of a list with itself those above the diagonal."""
@@ -201,13 +225,14 @@ def similar_classes(docs: DataFrame, words: int = WORDS, similar: float = SIMILA
     families; inside a family every pair is verified on the exact n-gram sets. Buckets and
     families are dealt over blocks of bounded size, that give counts and spanning edges rather
     than pairs, so large ones neither meet in a task nor multiply rows. A link at the
-    threshold is missed with a probability under (1 - similar**ROWS)**BANDS + tolerance.
+    threshold is missed with a probability under tolerance, or where the bands alone miss
+    more, under twice theirs, (1 - similar**ROWS)**BANDS.
 
     Null text counts as empty. Texts of fewer than n words are one n-gram; those without words
     are one class without links. A null id counts as largest; repeated rows are copies of one
     another; other columns are ignored; an empty table gives an empty result.
     """
-    least = least_matches(similar, tolerance)
+    least = pruning(similar, tolerance)
 
     def sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from xxhash import xxh3_128_digest

@@ -101,6 +101,19 @@ def test_least_matches_prune_what_is_unlikely():
         assert tail(m) >= 1e-4 > tail(m - 1)
 
 
+def test_all_steps_together_miss_less_than_the_tolerance():
+    import numpy as np
+
+    least = ngram_join.pruning(0.8, 1e-4)
+    left = np.eye(1, 129)[0]
+    for m in least:  # one value at a time, cut after each step
+        for _ in range(16):
+            left = 0.2 * left + 0.8 * np.roll(left, 1)
+        left[:m] = 0
+    assert 0 < 1 - left.sum() < 1e-4
+    assert all(a <= b for a, b in zip(least, ngram_join.least_matches(0.8, 1e-4), strict=True))
+
+
 def test_keep_one(spark):
     kept = ngram_join.keep_one(documents(spark))
     assert sorted(r.doc_id for r in kept.where("doc_id IS NOT NULL").collect()) == [-3, 1, 4, 4, 6, 8, 9, 10, 10**15]
