@@ -147,12 +147,13 @@ def forest(links: np.ndarray) -> list[tuple[int, int]]:
     return out
 
 
-def similarities(a: list[np.ndarray], b: list[np.ndarray]) -> np.ndarray:
-    """Jaccard similarity of every set of one list with every one of another."""
-    if len(a) * len(b) <= 16:
-        common = np.array([[len(np.intersect1d(x, y, assume_unique=True)) for y in b] for x in a], float)
+def similarities(a: list[np.ndarray], b: list[np.ndarray], i: np.ndarray, j: np.ndarray) -> np.ndarray:
+    """Jaccard similarity of a[i] and b[j], for lists of places. Where the pairs are a large part of all,
+    the sets are laid out as a matrix, a bounded range of values at a time."""
+    if 8 * len(i) < len(a) * len(b) or len(a) * len(b) <= 16:
+        common = np.array([len(np.intersect1d(a[x], b[y], assume_unique=True)) for x, y in zip(i, j, strict=True)], float)
     else:
-        common = np.zeros((len(a), len(b)), np.float32)
+        full = np.zeros((len(a), len(b)), np.float32)
         values, place = np.unique(np.concatenate([*a, *b]), return_inverse=True)
         ends = np.cumsum([len(x) for x in [*a, *b]])[:-1]
         rows = np.split(place, ends)
@@ -160,11 +161,26 @@ def similarities(a: list[np.ndarray], b: list[np.ndarray]) -> np.ndarray:
             dense = np.zeros((len(rows), 4096), np.float32)
             for k, r in enumerate(rows):
                 dense[k, r[np.searchsorted(r, at) : np.searchsorted(r, at + 4096)] - at] = 1
-            common += dense[: len(a)] @ dense[len(a) :].T
-    sizes = np.array([len(x) for x in a])[:, None] + np.array([len(x) for x in b])[None, :]
+            full += dense[: len(a)] @ dense[len(a) :].T
+        common = full[i, j]
+    sizes = np.array([len(x) for x in a])[i] + np.array([len(x) for x in b])[j]
     return common / np.maximum(sizes - common, 1)
 
 
+def parts_of(alive: np.ndarray, same: bool) -> Iterator[tuple[list[int], list[int], np.ndarray]]:
+    """Cuts the pairs of a boolean matrix into parts (rows, columns, matrix) that name members twice a
+    pair at most: all rows and columns that have a pair if there are as many pairs, else row by row."""
+    rows, columns = np.nonzero(alive.any(axis=1))[0], np.nonzero(alive.any(axis=0))[0]
+    if not len(rows):
+        return
+    if 2 * alive.sum() >= len(rows) + len(columns):
+        yield [int(x) for x in rows], [int(x) for x in columns], alive[np.ix_(rows, columns)]
+        return
+    for r in rows:
+        columns = np.nonzero(alive[r])[0]
+        yield [int(r)], [int(x) for x in columns], np.ones((1, len(columns)), bool)
+
+
 def by_block(df: DataFrame, keys: list[str], run: Callable[[dict[str, list]], Iterator[tuple]], schema: str) -> DataFrame:
     """Runs a function on the rows of each key. Rows come sorted, so that one block at a time is in
     memory, and blocks of few rows cost no round trip of their own."""
@@ -176,21 +192,23 @@ def by_block(df: DataFrame, keys: list[str], run: Callable[[dict[str, list]], It
 
         def emitted(force: bool) -> Iterator[pa.RecordBatch]:
             if out and (force or len(out) >= 4096):
-                columns = list(zip(*out, strict=True))
+                for start in range(0, len(out), 4096):
+                    columns = zip(*out[start : start + 4096], strict=True)
+                    yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, types, strict=True)], names)
                 out.clear()
-                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, types, strict=True)], names)
 
-        kinds = {"binary": pa.binary(), "bigint": pa.int64(), "boolean": pa.bool_()}
+        kinds = {"binary": pa.binary(), "bigint": pa.int64(), "int": pa.int32()}
         types = [kinds[x.split()[1]] for x in schema.split(", ")]
         for batch in batches:
-            for row in batch.to_pylist():
-                at = tuple(row[k] for k in keys)
-                if at != key and rows:
-                    out.extend(run(rows))
-                    yield from emitted(False)
-                    rows = []
-                key = at
-                rows.append(row)
+            for start in range(0, len(batch), 64):  # a batch of n-gram sets can be large
+                for row in batch.slice(start, 64).to_pylist():
+                    at = tuple(row[k] for k in keys)
+                    if at != key and rows:
+                        out.extend(run(rows))
+                        yield from emitted(False)
+                        rows = []
+                    key = at
+                    rows.append(row)
         if rows:
             out.extend(run(rows))
         yield from emitted(True)
@@ -221,16 +239,18 @@ def similar_classes(docs: DataFrame, words: int = WORDS, similar: float = SIMILA
     id of those that links connect.
 
     Classes meet in buckets of LSH bands, where MinHash values are compared step by step and
-    pairs that are unlikely to reach the threshold dropped. What remains connects candidate
-    families; inside a family every pair is verified on the exact n-gram sets. Buckets and
-    families are dealt over blocks of bounded size, that give counts and spanning edges rather
-    than pairs, so large ones neither meet in a task nor multiply rows. A link at the
-    threshold is missed with a probability under tolerance, or where the bands alone miss
-    more, under twice theirs, (1 - similar**ROWS)**BANDS.
+    pairs that are unlikely to reach the threshold dropped. Pairs that outlast all steps, and no
+    others, are verified on the exact n-gram sets, each once, where they meet first. Buckets are
+    dealt over blocks of bounded size. A block hands on a bit per pair and each member's set twice a
+    pair at most, and gives counts and spanning edges rather than pairs; so large buckets neither
+    meet in a task nor multiply rows, and the work grows with the links. A link at the threshold is
+    missed with a probability under tolerance, or where the bands alone miss more, under twice
+    theirs, (1 - similar**ROWS)**BANDS.
 
     Null text counts as empty. Texts of fewer than n words are one n-gram; those without words
     are one class without links. A null id counts as largest; repeated rows are copies of one
-    another; other columns are ignored; an empty table gives an empty result.
+    another; other columns are ignored; an empty table gives an empty result. Ids must be whole
+    numbers or text that reads as such.
     """
     least = pruning(similar, tolerance)
 
@@ -258,48 +278,44 @@ def similar_classes(docs: DataFrame, words: int = WORDS, similar: float = SIMILA
                 yield pa.RecordBatch.from_arrays([pa.array(map(xxh3_128_digest, grams), pa.binary()), pa.array(grams, pa.binary())], ["node", "grams"])
 
     def candidates(rows: list[dict]) -> Iterator[tuple]:
+        """(part, side, at, node, class_size, mask) of the members of surviving pairs."""
+        from xxhash import xxh3_128_digest
+
         a, b, same = _halves(rows)
+        if not a or not b:
+            return
         x = np.array([np.frombuffer(r["sign"], np.uint16) for r in a])
         y = x if same else np.array([np.frombuffer(r["sign"], np.uint16) for r in b])
-        if not len(a) or not len(b):
-            return
-        links = surviving(x, y, rows[0]["band"], same, least)
-        yield from _edges(a, b, same, links)
-
-    def _edges(a: list[dict], b: list[dict], same: bool, links: np.ndarray) -> Iterator[tuple]:
-        if not links.any():
-            return
-        if same:
-            for i, j in forest(links):
-                yield a[i]["node"], a[j]["node"]
-        else:
-            square = np.zeros((len(a) + len(b),) * 2, bool)
-            square[: len(a), len(a) :] = links
-            all_rows = a + b
-            for i, j in forest(square):
-                yield all_rows[i]["node"], all_rows[j]["node"]
+        block = b"%d/%d/%d/" % (rows[0]["band"], rows[0]["c1"], rows[0]["c2"]) + rows[0]["key"]
+        for k, (i, j, alive) in enumerate(parts_of(surviving(x, y, rows[0]["band"], same, least), same)):
+            part = xxh3_128_digest(b"%d/" % k + block)
+            for n, r in enumerate(i):
+                yield part, 0, n, a[r]["node"], a[r]["class_size"], np.packbits(alive[n]).tobytes()
+            for n, r in enumerate(j):
+                yield part, 1, n, b[r]["node"], b[r]["class_size"], None
 
     def verify(rows: list[dict]) -> Iterator[tuple]:
         """(node, linked node or null, links, linked documents): edges have no counts, counts no edge."""
-        a, b, same = _halves(rows)
-        if not a or not b:
-            return
-        x = [np.frombuffer(r["grams"], np.uint64) for r in a]
-        y = x if same else [np.frombuffer(r["grams"], np.uint64) for r in b]
-        links = similarities(x, y) >= similar
-        if same:
-            np.fill_diagonal(links, False)
-        for i, j in _edges(a, b, same, links):
-            yield i, j, 0, 0
-        sizes = np.array([r["class_size"] for r in b])
-        for r, n, m in zip(a, links.sum(axis=1), links @ sizes, strict=True):
-            if n:
-                yield r["node"], None, int(n), int(m)
-        if not same:
-            sizes = np.array([r["class_size"] for r in a])
-            for r, n, m in zip(b, links.sum(axis=0), links.T @ sizes, strict=True):
-                if n:
-                    yield r["node"], None, int(n), int(m)
+        a, b = ([r for r in rows if r["side"] == side] for side in (0, 1))
+        a.sort(key=lambda r: r["at"]), b.sort(key=lambda r: r["at"])
+        alive = np.array([np.unpackbits(np.frombuffer(r["mask"], np.uint8), count=len(b)) for r in a]).astype(bool)
+        i, j = np.nonzero(alive)
+        x, y = ([np.frombuffer(r["grams"], np.uint64) for r in side] for side in (a, b))
+        on = similarities(x, y, i, j) >= similar
+        i, j = i[on], j[on]
+        place: dict[bytes, int] = {}
+        for r in a + b:
+            place.setdefault(r["node"], len(place))
+        links = np.zeros((len(place),) * 2, bool)
+        links[[place[a[k]["node"]] for k in i], [place[b[k]["node"]] for k in j]] = True
+        nodes = list(place)
+        for k, root in forest(links):
+            yield nodes[k], nodes[root], 0, 0
+        for these, mine, others, theirs in ((a, i, b, j), (b, j, a, i)):
+            size = np.array([r["class_size"] for r in others])
+            n, m = np.bincount(mine, minlength=len(these)), np.bincount(mine, size[theirs], len(these))
+            for k in np.nonzero(n)[0]:
+                yield these[k]["node"], None, int(n[k]), int(m[k])
 
     end = 2**63 - 1
     ident = F.coalesce(F.col(id_col).cast("long"), F.lit(end))
@@ -312,18 +328,15 @@ def similar_classes(docs: DataFrame, words: int = WORDS, similar: float = SIMILA
     bands = F.array(*[F.struct(F.lit(k).alias("band"), F.substring("sign", k * width + 1, width).alias("key")) for k in range(BANDS)])
     banded = classes.where("sign IS NOT NULL").select("node", F.explode(bands).alias("b")).select("b.band", F.col("b.key").alias("key"), "node")
     live = banded.groupBy("band", "key").agg(F.count("*").alias("n")).where("n > 1")
-    met = banded.join(live, ["band", "key"]).join(classes.select("node", "sign"), "node")
-    blocks = in_blocks(met, ["band", "key"], "node", "n").select("band", "key", "c1", "c2", "mine", "node", "sign")
-    edges = by_block(blocks, ["band", "key", "c1", "c2"], candidates, "a binary, b binary")
-    families = written(components(edges))
-
-    # exact verification inside each candidate family
-    sizes = families.groupBy("root").agg(F.count("*").alias("n"))
-    members = families.join(classes.select("node", "class_id", "class_size"), "node").join(sizes, "root")
+    met = banded.join(live, ["band", "key"]).join(classes.select("node", "sign", "class_size"), "node")
+    blocks = in_blocks(met, ["band", "key"], "node", "n").select("band", "key", "c1", "c2", "mine", "node", "sign", "class_size")
+    parts = written(by_block(blocks, ["band", "key", "c1", "c2"], candidates, "part binary, side int, at int, node binary, class_size bigint, mask binary"))
+
+    # exact verification of the pairs that survive
+    members = parts.select("node").distinct().join(classes.select("node", "class_id"), "node")
     texts = base.join(members.select(F.col("class_id").alias("id")).distinct(), "id", "left_semi").select("text")
     grams = texts.mapInArrow(sets, "node binary, grams binary").groupBy("node").agg(F.first("grams").alias("grams"))
-    known = in_blocks(members, ["root"], "node", "n").select("root", "c1", "c2", "mine", "node", "class_size").join(grams, "node")
-    found = written(by_block(known, ["root", "c1", "c2"], verify, "a binary, b binary, n bigint, m bigint"))
+    found = written(by_block(parts.join(grams, "node"), ["part"], verify, "a binary, b binary, n bigint, m bigint"))
     groups = components(found.where("b IS NOT NULL").select("a", "b"))
     counts = found.where("b IS NULL").groupBy(F.col("a").alias("node")).agg(F.sum("n").alias("n_links"), F.sum("m").alias("n_linked"))
     heads = groups.join(classes.select("node", "class_id"), "node").groupBy("root").agg(F.min("class_id").alias("group_id"))
