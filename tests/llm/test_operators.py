@@ -95,6 +95,30 @@ def test_join_awkward_rows(spark):
     assert ngram_join.similar_classes(empty(spark)).count() == 0
 
 
+def test_join_verifies_what_survives_only(spark, monkeypatch):
+    import numpy as np
+
+    random.seed(9)
+    words = [f"c{i}" for i in range(1200)]  # each document is like the next few only: links grow as the chain, pairs as its square
+    chain = [(k, " ".join(words[4 * k : 4 * k + 150])) for k in range(200)]
+    want = linked(chain)
+    got = ngram_join.similar_classes(spark.createDataFrame(chain, "doc_id bigint, text string")).collect()
+    assert {r.doc_id: tuple(r)[1:] for r in got} == want
+    assert {g for *_, g in want.values()} == {0} and max(n for _, _, n, *_ in want.values()) < 10
+    for same, alive in ((True, np.triu(np.random.default_rng(1).random((60, 60)) < 0.02, 1)), (False, np.random.default_rng(2).random((40, 70)) < 0.5), (True, np.zeros((5, 5), bool))):
+        found, named = set(), 0
+        for rows_, columns, part in ngram_join.parts_of(alive, same):
+            named += len(rows_) + len(columns)
+            new = {(rows_[i], columns[j]) for i, j in zip(*np.nonzero(part), strict=True)}
+            assert not new & found
+            found |= new
+        assert found == set(zip(*np.nonzero(alive), strict=True)) and named <= 2 * len(found)
+    a, b = ([np.unique(np.random.default_rng(k).integers(0, 50, 40).astype(np.uint64)) for k in range(at, at + 6)] for at in (0, 3))
+    every = np.array([[len(np.intersect1d(x, y)) / len(np.union1d(x, y)) for y in b] for x in a])
+    for i, j in (np.nonzero(np.ones((6, 6))), np.array([[1, 5], [2, 0]])):
+        assert np.allclose(ngram_join.similarities(a, b, i, j), every[i, j])
+
+
 def test_least_matches_prune_what_is_unlikely():
     for n, m in zip(range(16, 129, 16), ngram_join.least_matches(0.8, 1e-4), strict=True):
         tail = lambda m, n=n: sum(math.comb(n + 1, k) * 0.8**k * 0.2 ** (n + 1 - k) for k in range(m + 1))
@@ -230,6 +254,42 @@ def test_mix_is_the_schedule(spark):
     assert {p: sum(r.words for r in s if r.pos == p) for p in target} == target
 
 
+def test_mix_depends_on_the_sequence(spark, monkeypatch):
+    docs = documents(spark, [(i, "w " * (i % 50 + 1), "en", "abc"[i % 3]) for i in range(300)])
+    facts = lambda: {r.doc_id: r for r in mixing.mix(docs, block=16).collect()}
+    before, first = facts(), [r.doc_id for r in mixing.mixed_documents(docs, block=16).collect()]
+    monkeypatch.setattr(mixing, "GOLDEN", 1)
+    after, second = facts(), [r.doc_id for r in mixing.mixed_documents(docs, block=16).collect()]
+    assert sum(before[k].first_slot != after[k].first_slot for k in before if before[k].taken) > 100 and first != second
+    assert {k: r.taken for k, r in before.items()} == {k: r.taken for k, r in after.items()} and sorted(first) == sorted(second)
+
+
+def test_mixed_documents_come_in_slot_order(spark):
+    docs = documents(spark, [(i, f"t{i} " * (i % 50 + 1), "en", "abc"[i % 3]) for i in range(300)])
+    start = {r.doc_id: r.first_slot for r in mixing.mix(docs, block=16).collect()}
+    got = [r.doc_id for r in mixing.mixed_documents(docs, block=16).collect()]
+    firsts = [start[k] for k in dict.fromkeys(got)]
+    assert firsts == sorted(firsts) and len(got) > len(set(got))
+
+
+def test_mix_ties(spark):
+    cases = [(7, "a a a a", "en", "A"), (7, "b b b b", "en", "B"), (7, "c c c c", "en", "A"), (None, "d d d d", "en", "A"), (None, "e e e e", "en", "B"), (1, "f f f f", "en", "B"), (1, "f f f f", "en", "B")]
+    seen = set()
+    for parts in (1, 2, 3):
+        docs = documents(spark, cases).repartition(parts, F.xxhash64("text"))
+        taken = collections.Counter(tuple(r) for r in mixing.mix(docs, block=2).collect())
+        mixed = collections.Counter(tuple(r) for r in mixing.mixed_documents(docs, block=2).select("doc_id", "text", "source").collect())
+        words = collections.Counter()
+        for (_, t, s), k in mixed.items():
+            words[s] += k * len(t.split())
+        want = collections.Counter()
+        for r, k in taken.items():
+            want[{12: "A", 16: "B"}[r[2]]] += k * r[4]
+        assert words == want  # each source gives its own words
+        seen.add((frozenset(taken.items()), frozenset(mixed.items())))
+    assert len(seen) == 1
+
+
 # 6 ------------------------------------------------------------------------------------------------
 
 def test_pages_against_their_article(spark):
@@ -346,6 +406,38 @@ def test_fingerprints_awkward_rows(spark):
     assert len(alone) == 1 and alone[0].near_next == 1.0 and alone[0].edited_sha256 == hashlib.sha256(b"a b c a").hexdigest()
 
 
+def test_fingerprints_of_one_long_word_and_of_any_ids(spark):
+    import time
+
+    began = time.time()
+    got = fingerprints.fingerprints(spark.createDataFrame([(1, "x" * 1_000_000), (2, "y z " + "w" * 1_000_000)], "doc_id bigint, text string")).collect()
+    assert len(got) == 2 and time.time() - began < 60
+    random.seed(8)
+    texts = [" ".join(f"v{random.randint(0, 30)}" for _ in range(40)) for _ in range(1500)]
+    for ids in (range(1500), [random.randint(-(2**62), 2**62) for _ in range(1500)], [k * k * k * k for k in range(1500)], [k % 5 for k in range(1500)], [None if k % 3 else k for k in range(1500)]):
+        docs = spark.createDataFrame(list(zip(ids, texts, strict=True)), "doc_id bigint, text string").repartition(3)
+        out = fingerprints.fingerprints(docs, samples=8)
+        signs = {r.t: r.s for r in docs.select(F.col("text").alias("t"), F.xxhash64("text").alias("s")).collect()}
+        order = sorted(zip(ids, texts, strict=True), key=lambda x: (x[0] is None, x[0] or 0, signs[x[1]], x[1]))
+        want = collections.Counter()
+        for (i, t), (_, after) in zip(order, order[1:] + order[:1], strict=True):
+            q = len(t) // 4
+            want[i, hashlib.sha256((t[: len(t) - q] + after[:q]).encode()).hexdigest()] += 1
+        assert collections.Counter((r.doc_id, r.edited_sha256) for r in out.select("doc_id", "edited_sha256").collect()) == want
+
+
+def test_gamma_numbers(spark):
+    import numpy as np
+
+    rows_ = spark.range(40_000).select(F.col("id").alias("bucket"), F.xxhash64("id").alias("term"), F.lit(0.0).alias("x"))
+    least = fingerprints._samples(rows_, ["bucket"]).select("s0", "s1").toPandas()
+    a = np.sort(least.to_numpy().ravel() / 2.0**59)  # c exp(-r (1 - b)), alone in its group
+    rng = np.random.default_rng(5)
+    other = np.sort(rng.gamma(2, 1, 400_000) * np.exp(-rng.gamma(2, 1, 400_000) * (1 - rng.random(400_000))))
+    for q in (0.01, 0.1, 0.5, 0.9, 0.99):
+        assert abs(np.quantile(a, q) / np.quantile(other, q) - 1) < 0.06
+
+
 # 9 ------------------------------------------------------------------------------------------------
 
 ASSIGN = re.compile(r"""(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", re.I | re.A)
