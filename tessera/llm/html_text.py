@@ -34,7 +34,9 @@ CLOSES = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td
 #: Closing does not reach beyond these.
 SCOPE = {"li": {"ul", "ol"}, "dt": {"dl"}, "dd": {"dl"}, "tr": {"table"}, "td": {"table"}, "th": {"table"}}
 HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
-#: Elements that hold no main text, and words of a class, id or role that say so.
+#: What a block's score is multiplied by if its elements, or words of their class, id or role, say that it is
+#: beside the text: weak evidence, as a text of its own outweighs it.
+BESIDE = 0.05
 OUTSIDE = frozenset("nav footer aside form button fieldset dialog menu head".split())
 HINTS = frozenset(
     "ad ads adv advert adverts advertisement advertising sponsor sponsored promo promotion banner cookie cookies consent gdpr notice notices alert popup modal overlay newsletter subscribe subscription nav navbar navigation menu breadcrumb breadcrumbs sidebar aside widget footer masthead comment comments disqus replies respond share sharing social related recommended recommendations login signup toolbar pagination pager copyright complementary contentinfo search skip".split()
@@ -43,13 +45,16 @@ HINTS = frozenset(
 
 @dataclass
 class Block:
-    """A leaf of the page: its path, tag, text, the length of link text, and if it lies outside."""
+    """A leaf of the page: its path, text, the length of link text, if its elements' names say that it
+    lies beside the main text, if it is a heading or hidden, and the numbers of its path's elements."""
 
     path: tuple[str, ...]
     text: str
     linked: int
     outside: bool
     heading: bool
+    hidden: bool = False
+    elements: tuple[int, ...] = ()
 
 
 @dataclass(slots=True)
@@ -60,6 +65,8 @@ class Open:
     hinted: bool
     header: bool
     holds_main: bool = False
+    hidden: bool = False
+    number: int = 0
 
 
 def blocks_of(page: str) -> list[Block]:
@@ -135,7 +142,7 @@ def blocks_of(page: str) -> list[Block]:
                         continue
                     if stack[i].tag in SCOPE.get(tag, ()):
                         break
-        outside, hinted, names = tag in OUTSIDE, False, ""
+        outside, hinted, hidden, names = tag in OUTSIDE, False, False, ""
         if m["rest"].strip(" /"):
             for k, v in ATTRIBUTE.findall(m["rest"]):
                 k, v = k.lower(), v.strip("\"'")
@@ -143,9 +150,9 @@ def blocks_of(page: str) -> list[Block]:
                     names += " " + v
                     hinted |= not HINTS.isdisjoint(x.lower() for x in NAME.findall(v))
                 elif k == "style":
-                    outside |= "display:none" in v.replace(" ", "").lower()
+                    hidden |= "display:none" in v.replace(" ", "").lower()
                 else:
-                    outside |= k == "hidden" or (k == "aria-hidden" and v.lower() == "true")
+                    hidden |= k == "hidden" or (k == "aria-hidden" and v.lower() == "true")
         if tag in ("html", "body", "main"):
             hinted = False
         if tag == "article":
@@ -153,7 +160,7 @@ def blocks_of(page: str) -> list[Block]:
         if tag in ("article", "main") and not hinted:
             for o in stack:
                 o.holds_main = True
-        stack.append(Open(tag, tag + "".join(sorted(f".{x}" for x in names.split())), outside, hinted, tag == "header"))
+        stack.append(Open(tag, tag + "".join(sorted(f".{x}" for x in names.split())), outside, hinted, tag == "header", hidden=hidden or tag == "head", number=m.start()))
     if page[at:].startswith("<!--"):
         at = len(page)
     say(page[at:])
@@ -163,7 +170,7 @@ def blocks_of(page: str) -> list[Block]:
         heading = opened[-1].tag in HEADINGS
         inside = [o.tag for o in opened]
         outside = any(o.outside or (o.header and not (heading and ("article" in inside or "main" in inside))) for o in opened)
-        out.append(Block(tuple(o.label for o in opened[1:]), folded, links, outside, heading))
+        out.append(Block(tuple(o.label for o in opened[1:]), folded, links, outside, heading, any(o.hidden for o in opened), tuple(o.number for o in opened[1:])))
         hinted_by.append([o for o in opened if o.hinted and not o.holds_main])
     if any(hinted_by):
         drop_wrong_hints(out, hinted_by)
@@ -177,7 +184,7 @@ def drop_wrong_hints(blocks: list[Block], hinted_by: list[list[Open]]) -> None:
     than a tenth of theirs lies without a hint: they hold the page, not something beside it."""
     held: dict[int, int] = defaultdict(int)
     known, total = {}, 0
-    size = [0 if b.outside else max(0, len(b.text) - b.linked) for b in blocks]
+    size = [0 if b.outside or b.hidden else max(0, len(b.text) - b.linked) for b in blocks]
     for n, hints in zip(size, hinted_by, strict=True):
         total += n
         for o in hints:
@@ -191,62 +198,67 @@ def drop_wrong_hints(blocks: list[Block], hinted_by: list[list[Open]]) -> None:
 
 
 def path_scores(blocks: list[Block], radius: int = 1) -> list[float]:
-    """A block's score: text and punctuation per node of its tag path, each smoothed with its
-    neighbours' by a Gaussian, then multiplied; less what is link text."""
-    paths: dict[tuple[str, ...], list[float]] = defaultdict(lambda: [0.0, 0.0, 0.0, 0.0])
+    """A score for each block, that of its tag path.
+
+    A path's ratio is its text per node, times one more than its punctuation marks per node, less
+    what is link text. Ratios are smoothed in page order by a Gaussian; the path's own ratio and the
+    mean of its blocks' smoothed ones are fused by their geometric mean. Names that speak against a
+    block leave BESIDE of its score, and of what its neighbours get from it.
+    """
+    paths: dict[tuple[str, ...], list[float]] = defaultdict(lambda: [0.0, 0.0, 0.0, 0.0, 0.0])
     for b in blocks:
-        p = paths[b.path]
         for i, v in enumerate((1, len(b.text), len(PUNCTUATION.findall(b.text)), b.linked)):
-            p[i] += v
+            paths[b.path][i] += v
+    own = {p: n / k * (1 + marks / k) * max(0.0, 1 - linked / max(1.0, n)) for p, (k, n, marks, linked, _) in paths.items()}
+    ratios = [own[b.path] * (BESIDE if b.outside else 1.0) for b in blocks]
     kernel = [exp(-(d * d) / 2) for d in range(-radius, radius + 1)]
+    for i, b in enumerate(blocks):
+        near = [(kernel[d + radius], ratios[i + d]) for d in range(-radius, radius + 1) if 0 <= i + d < len(blocks)]
+        paths[b.path][4] += sum(k * v for k, v in near) / sum(k for k, _ in near)
+    return [sqrt(own[b.path] * paths[b.path][4] / paths[b.path][0]) * (BESIDE if b.outside else 1.0) for b in blocks]
 
-    def smooth(values: list[float]) -> list[float]:
-        out = []
-        for i in range(len(values)):
-            near = [(kernel[d + radius], values[i + d]) for d in range(-radius, radius + 1) if 0 <= i + d < len(values)]
-            out.append(sum(k * v for k, v in near) / sum(k for k, _ in near))
-        return out
-
-    length = smooth([paths[b.path][1] / paths[b.path][0] for b in blocks])
-    marks = smooth([paths[b.path][2] / paths[b.path][0] for b in blocks])
-    return [x * (1 + y) * max(0.0, 1 - paths[b.path][3] / max(1.0, paths[b.path][1])) for x, y, b in zip(length, marks, blocks, strict=True)]
 
-
-def main_blocks(page: str, strictness: float = 0.5) -> list[str]:
+def main_blocks(page: str, strictness: float = 0.25, most: float = 0.8) -> list[str]:
     """The blocks of the main text, in page order.
 
-    Blocks in menus, headers, footers, sidebars, notices, adverts, forms and comments are set
-    aside by their elements; the tag-path ratios of the others choose the content paths, those
-    with a score of ``strictness`` standard deviations or more. The main text is what lies in the
-    article (or main) elements with a content path, all of them, and in what a main around such an
-    article has besides articles; or where there are none, in the deepest element that holds all
-    content paths: there it is the content paths and headings.
+    Content paths are those with a score of ``strictness`` times the mean score of the page's text
+    (weighed by length, names and links) or more. The main text lies in the deepest element that has
+    ``most`` of the content paths' scores. If that is the page's body, which tells nothing, it is the
+    content paths and the headings beside them; else all that the element holds, short paragraphs and
+    lists too, but for what is mostly links or, by its names, beside the text. The element is widened to
+    an article or main around it, and the heading before it belongs to it.
     """
-    blocks = [b for b in blocks_of(page) if not b.outside]
-    if not blocks:
-        return []
+    blocks = [b for b in blocks_of(page) if not b.hidden]
     scores = path_scores(blocks)
-    mean = sum(scores) / len(scores)
-    least = min(max(scores), strictness * sqrt(sum((s - mean) ** 2 for s in scores) / len(scores)))
-    content = {b.path for b, s in zip(blocks, scores, strict=True) if s >= least}
-
-    def root(path: tuple[str, ...]) -> tuple[str, ...] | None:
-        for i, x in enumerate(path):
-            if x.split(".")[0] in ("article", "main"):
-                inner = [j for j in range(i, len(path)) if path[j].split(".")[0] == "article"]
-                return path[: (inner[0] if inner else i) + 1]
-        return None
-
-    roots = [root(b.path) for b in blocks]
-    kept = {r for b, r in zip(blocks, roots, strict=True) if r is not None and b.path in content}
-    if kept:
-        kept |= {r[: i + 1] for r in kept for i, x in enumerate(r) if x.split(".")[0] == "main"}
-        return [b.text for b, r in zip(blocks, roots, strict=True) if r in kept]
-    common = min(content, key=len)
-    for p in content:
-        while p[: len(common)] != common:
-            common = common[:-1]
-    return [b.text for b in blocks if b.path in content or (b.heading and b.path[: len(common)] == common)]
+    weights = [(len(b.text) - min(b.linked, len(b.text))) * (BESIDE if b.outside else 1.0) for b in blocks]
+    if not sum(weights):
+        return []
+    least = strictness * sum(s * w for s, w in zip(scores, weights, strict=True)) / sum(weights)
+    content = {b.path for b, s in zip(blocks, scores, strict=True) if s >= least and s > 0}
+    held: dict[tuple[int, ...], float] = defaultdict(float)
+    for b, s in zip(blocks, scores, strict=True):
+        if b.path in content:
+            for i in range(len(b.elements) or 1):
+                held[b.elements[:i]] += s
+    root = max((p for p, s in held.items() if s >= most * held[()]), key=len, default=())
+    names = next((b.path[: len(root)] for b in blocks if b.elements[: len(root)] == root), ())
+    root = next((root[: i + 1] for i, x in enumerate(names) if x.split(".")[0] in ("article", "main")), root)
+    beside = {b.elements[:-1] for b in blocks if b.path in content}
+    bare = all(x.split(".")[0] in ("html", "body") for x in names)
+
+    def kept(b: Block) -> bool:
+        if b.elements[: len(root)] != root:
+            return False
+        if bare:
+            return b.path in content or (b.heading and not b.outside and b.elements[:-1] in beside)
+        return not b.outside and 2 * b.linked <= len(b.text)
+
+    on = [kept(b) for b in blocks]
+    if not bare and True in on:
+        first = on.index(True)
+        if first and blocks[first - 1].heading and not blocks[first].heading and not blocks[first - 1].outside and blocks[first - 1].elements[: len(root) - 1] == root[:-1]:
+            on[first - 1] = True
+    return [b.text for b, k in zip(blocks, on, strict=True) if k]
 
 
 def extract_text(page: str) -> str:
