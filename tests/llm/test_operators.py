@@ -331,6 +331,32 @@ def test_pages_are_not_emptied_by_attributes():
         assert html_text.main_blocks(f"<body>{page}</body>") == [text]
 
 
+def test_ratios_decide(monkeypatch):
+    pages = [h for (h,) in duckdb.sql(f"SELECT html FROM '{SF}/pages.parquet'").fetchall()]
+    got = [html_text.main_blocks(h) for h in pages]
+    bare = [re.sub(r'\s(class|id|role)="[^"]*"', "", re.sub(r"<(/?)(article|main)\b", r"<\1div", h)) for h in pages]
+    assert sum(html_text.main_blocks(h) == g for h, g in zip(bare, got, strict=True)) >= 0.9 * len(pages)  # names are not needed
+    monkeypatch.setattr(html_text, "path_scores", lambda blocks: [1.0] * len(blocks))
+    assert sum(html_text.main_blocks(h) != g for h, g in zip(pages, got, strict=True)) > 0.5 * len(pages)
+
+
+def test_path_scores_by_definition():
+    page = "<body><nav><a>menu, menu</a></nav><div><h1>Title!</h1><p>One, two.</p><p>Three, four, five; six. <a>x</a></p></div><aside><p>Beside, it.</p></aside></body>"
+    blocks = html_text.blocks_of(page)
+    marks = lambda t: len(re.findall(r"[.,;:!?]", t))
+    paths = collections.defaultdict(list)
+    for b in blocks:
+        paths[b.path].append(b)
+    own = {p: sum(len(b.text) for b in bs) / len(bs) * (1 + sum(marks(b.text) for b in bs) / len(bs)) * (1 - sum(b.linked for b in bs) / sum(len(b.text) for b in bs)) for p, bs in paths.items()}
+    ratio = [own[b.path] * (html_text.BESIDE if b.outside else 1) for b in blocks]
+    near = lambda i: [(math.exp(-((i - j) ** 2) / 2), ratio[j]) for j in range(len(blocks)) if abs(i - j) <= 1]
+    smooth = [sum(k * r for k, r in near(i)) / sum(k for k, _ in near(i)) for i in range(len(blocks))]
+    mean = {p: sum(smooth[i] for i, b in enumerate(blocks) if b.path == p) / len(bs) for p, bs in paths.items()}
+    want = [math.sqrt(own[b.path] * mean[b.path]) * (html_text.BESIDE if b.outside else 1) for b in blocks]
+    assert [b.outside for b in blocks] == [True, False, False, False, True]
+    assert all(abs(a - b) < 1e-9 for a, b in zip(html_text.path_scores(blocks), want, strict=True)) and want[0] == 0 < want[1]
+
+
 def test_pages_awkward(spark):
     pages = [(1, "u", None), (2, None, ""), (3, "u", "<p>a < b"), (4, "u", "<!-- open"), (5, "u", "<script>x</script>"), (None, "u", "<p>x&nbsp;y</p>"), (6, "u", "<div>" * 3000 + "deep text, here." + "</div>" * 3000), (6, "u", "<article><p>a</p></article>")]
     df = spark.createDataFrame(pages, "page_id bigint, url string, html string").withColumn("text", F.lit("other")).withColumn("n_chars", F.lit(1))
