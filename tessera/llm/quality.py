@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import zlib
 from collections.abc import Iterator
 from operator import eq
 
@@ -9,24 +10,31 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import ArrayType, DoubleType
+from pyspark.sql.types import DoubleType
 
 from .common import table, text_of, written
 
-FEATURES = ("upper", "marks", "symbols", "pipes", "digits", "repeats", "distinct", "lines", "length", "word_length")
+FEATURES = ("upper", "marks", "symbols", "pipes", "digits", "repeats", "distinct", "lines", "length", "word_length", "lexical")
+SURFACE = len(FEATURES) - 1
 _UPPER = bytes(range(65, 91))
 _SYMBOLS = b"#$%&*@^~_=<>{}\\+"
-#: Labelled rows that the document classifier is fitted on at most.
+#: Labelled rows that the document classifier is fitted on, about, where there are more.
 SAMPLE = 20_000
+#: Word hashes that have a weight, and the pseudo-counts of their document frequencies.
+WORDS, PRIOR = 2**14, 2.0
+
+
+def word_hashes(words: list[bytes]) -> list[int]:
+    return list({zlib.crc32(w.lower()) % WORDS for w in set(words)})
 
 
 def features_of(text: str) -> list[float]:
-    """FEATURES of a text: shares by word or letter, and logs of lengths. All 0 without words."""
+    """The surface FEATURES of a text: shares by word or letter, and logs of lengths. All 0 without words."""
     raw = text.encode(errors="surrogatepass")
     words = raw.split()
     n = len(words)
     if not n:
-        return [0.0] * len(FEATURES)
+        return [0.0] * SURFACE
     count = lambda chars: len(raw) - len(raw.translate(None, chars))
     lines = [x for x in raw.split(b"\n") if x.strip()]
     return [
@@ -43,22 +51,46 @@ def features_of(text: str) -> list[float]:
     ]
 
 
-@F.pandas_udf(ArrayType(DoubleType()))
-def features(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
-    for texts in batches:
-        yield pd.Series([features_of(t) for t in texts])
+def lexical_weights(rows: list[list[int]], y: np.ndarray) -> np.ndarray:
+    """Of each word hash: the log ratio of its shares of good and of bad documents, with PRIOR in each."""
+    n = np.full((2, WORDS), PRIOR)
+    for words, good in zip(rows, y, strict=True):
+        n[int(good), words] += 1
+    total = np.array([(y == k).sum() for k in (0, 1)]) + 2 * PRIOR
+    return np.log(n[1] / total[1]) - np.log(n[0] / total[0])
+
+
+def lexical(weights: np.ndarray, words: list[int]) -> float:
+    """The mean weight of a document's word hashes, 0 without words."""
+    return float(weights[words].mean()) if words else 0.0
+
+
+def evidence(batches: Iterator[tuple]) -> Iterator[pd.DataFrame]:
+    """surface features and word hashes of (quality, text)."""
+    for batch in batches:
+        for at in range(0, len(batch), 256):
+            part = batch.iloc[at : at + 256]
+            yield pd.DataFrame({"quality": part["quality"], "feats": [features_of(t) for t in part["text"]], "words": [word_hashes(t.encode(errors="surrogatepass").split()) for t in part["text"]]})
 
 
 class Model:
-    """Logistic regression on the features, their square roots and squares of these."""
+    """Logistic regression on the features and the square roots of the surface ones.
 
-    def __init__(self, x: np.ndarray, y: np.ndarray, ridge: float = 1.0, rounds: int = 30):
-        self.mean = self.scale = None
+    The lexical feature of each half of the sample comes from the weights of the other half, so the
+    regression sees what it is worth for documents that the weights do not know.
+    """
+
+    def __init__(self, x: np.ndarray, words: list[list[int]], y: np.ndarray, ridge: float = 1.0, rounds: int = 30):
+        self.words = lexical_weights(words, y)
+        size = len(FEATURES) + SURFACE
+        self.weights, self.mean, self.scale = np.zeros(size + 1), np.zeros(size), np.ones(size)
         if not len(y):
-            self.weights = np.zeros(2 * len(FEATURES) + 1)
-            self.mean, self.scale = np.zeros(2 * len(FEATURES)), np.ones(2 * len(FEATURES))
             return
-        z = np.hstack([x, np.sqrt(np.abs(x))])
+        fold, lex = np.arange(len(y)) % 2, np.zeros(len(y))
+        for k in (0, 1):
+            other = lexical_weights([words[i] for i in np.nonzero(fold != k)[0]], y[fold != k])
+            lex[fold == k] = [lexical(other, words[i]) for i in np.nonzero(fold == k)[0]]
+        z = np.hstack([x, lex[:, None], np.sqrt(np.abs(x))])
         self.mean, self.scale = z.mean(axis=0), z.std(axis=0) + 1e-9
         z = np.hstack([(z - self.mean) / self.scale, np.ones((len(z), 1))])
         w = np.zeros(z.shape[1])
@@ -71,12 +103,21 @@ class Model:
                 break
         self.weights = w
 
-    def log_odds(self, feats: Column) -> Column:
-        total = F.lit(float(self.weights[-1]))
-        for i, (w, m, s) in enumerate(zip(self.weights, self.mean, self.scale, strict=False)):
-            x = feats[i % len(FEATURES)]
-            total = total + ((x if i < len(FEATURES) else F.sqrt(F.abs(x))) - float(m)) * float(w / s)
-        return F.greatest(F.least(total, F.lit(12.0)), F.lit(-12.0))
+    def log_odds(self, text: Column) -> Column:
+        """The log odds of good quality of each text, within -12 and 12."""
+        by_word, mean, scale, weights = self.words, self.mean, self.scale, self.weights
+
+        @F.pandas_udf(DoubleType())
+        def run(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+            for texts in batches:
+                out = []
+                for t in texts:
+                    x = features_of(t)
+                    z = np.array([*x, lexical(by_word, word_hashes(t.encode(errors="surrogatepass").split())), *np.sqrt(np.abs(x))])
+                    out.append(float(np.clip(((z - mean) / scale) @ weights[:-1] + weights[-1], -12, 12)))
+                yield pd.Series(out, dtype=float)
+
+        return run(text)
 
 
 def _logit(p: Column) -> Column:
@@ -96,14 +137,25 @@ def _strength(groups: DataFrame, mean: str) -> float:
 
 
 def fit(docs: DataFrame, labels: DataFrame, host: Column, path: Column, sample: int = SAMPLE, id_col: str = "doc_id", text_col: str = "text") -> tuple[DataFrame, Model, DataFrame, float]:
-    """(facts, model, paths, global mean). facts: id, host, path, feats of every document; paths: each
-    path's and its host's sums of document probabilities over all documents, with the strength of
-    their priors."""
-    facts = written(docs.select(F.col(id_col).alias("id"), F.coalesce(host, F.lit("")).alias("host"), F.coalesce(path, F.lit("")).alias("path"), features(text_of(text_col)).alias("feats")))
-    known = facts.join(labels.where("quality IS NOT NULL").groupBy(F.col("doc_id").alias("id")).agg(F.min("quality").alias("quality")), "id")
-    rows = known.select("feats", "quality").orderBy(F.xxhash64("id"), "id").limit(sample).collect()  # at most ``sample``
-    model = Model(np.array([r[0] for r in rows]), np.array([r[1] for r in rows], float))
-    p = 1 / (1 + F.exp(-model.log_odds(F.col("feats"))))
+    """(facts, model, paths, global mean). facts: id, host, path, log_odds of every document; paths:
+    each path's and its host's sums of document probabilities over all documents, with the strength of
+    their priors.
+
+    Of the labelled documents, those whose id's hash is under a threshold are learned from; it is set
+    from their number, so that about ``sample`` come to the driver, from whatever partitions.
+    """
+    marks = labels.where("quality IS NOT NULL AND doc_id IS NOT NULL").groupBy(F.col("doc_id").alias("id")).agg(F.min("quality").alias("quality"))
+    ids = docs.select(F.col(id_col).alias("id"))
+    n = marks.join(ids, "id", "left_semi").count()
+    marks = marks.withColumn("at", F.pmod(F.xxhash64("id"), F.lit(2**31)))
+    marks = marks.where(F.col("at") < int(2**31 * min(1.0, sample / max(1, n))))
+    known = docs.select(F.col(id_col).alias("id"), text_of(text_col).alias("text")).join(marks, "id").select("quality", "text")
+    rows = known.mapInPandas(evidence, "quality int, feats array<double>, words array<int>").collect()  # about ``sample``
+    rows.sort(key=lambda r: (r["quality"], r["feats"], r["words"]))  # reruns agree, and halves have both kinds
+    model = Model(np.array([r["feats"] for r in rows]), [r["words"] for r in rows], np.array([r["quality"] > 0 for r in rows], float))
+    facts = docs.select(F.col(id_col).alias("id"), F.coalesce(host, F.lit("")).alias("host"), F.coalesce(path, F.lit("")).alias("path"), model.log_odds(text_of(text_col)).alias("log_odds"))
+    facts = written(facts)
+    p = 1 / (1 + F.exp(-F.col("log_odds")))
     paths = written(facts.groupBy("host", "path").agg(F.sum(p).alias("s"), F.count("*").alias("n")))
     hosts = paths.groupBy("host").agg(F.sum("s").alias("s"), F.sum("n").alias("n"))
     total = hosts.agg(F.sum("s"), F.sum("n")).first()
@@ -135,8 +187,8 @@ def quality_scores(docs: DataFrame, labels: DataFrame, host: Column | None = Non
     """The probability that each document is of good quality: id, host, path, doc_score,
     host_posterior, path_posterior, score, kept (score >= threshold).
 
-    A logistic regression on a bounded sample of labelled rows (``sample``, chosen by a hash of
-    the id) gives each document's own probability. Hosts are Beta distributed around the mean
+    A logistic regression on a bounded sample of labelled rows (about ``sample``, chosen by a hash of
+    the id) gives each document's own probability, from counts on its surface and from its words. Hosts are Beta distributed around the mean
     of all documents, paths around their host; each prior's strength comes from the spread of
     the groups, so a sparse site falls back to the global mean. Sums go over all documents and
     are combined before each shuffle.
@@ -149,7 +201,7 @@ def quality_scores(docs: DataFrame, labels: DataFrame, host: Column | None = Non
     host = F.col("source") if host is None else host
     path = F.col("lang") if path is None else path
     facts, model, paths, mean = fit(docs, labels, host, path, sample, id_col, text_col)
-    out = _judged(facts, model.log_odds(F.col("feats")), paths, mean)
+    out = _judged(facts, F.col("log_odds"), paths, mean)
     return out.select(F.col("id").alias(id_col), "host", "path", F.col("__p").alias("doc_score"), "host_posterior", "path_posterior", "score", (F.col("score") >= threshold).alias("kept"))
 
 
@@ -158,8 +210,8 @@ def keep_quality(docs: DataFrame, labels: DataFrame, host: Column | None = None,
     host = F.coalesce(F.col("source") if host is None else host, F.lit(""))
     path = F.coalesce(F.col("lang") if path is None else path, F.lit(""))
     _, model, paths, mean = fit(docs, labels, host, path, sample)
-    rows = docs.select(F.struct("*").alias("row"), host.alias("host"), path.alias("path"), features(text_of("text")).alias("feats"))
-    return _judged(rows, model.log_odds(F.col("feats")), paths, mean).where(F.col("score") >= threshold).select("row.*")
+    rows = docs.select(F.struct("*").alias("row"), host.alias("host"), path.alias("path"), model.log_odds(text_of("text")).alias("log_odds"))
+    return _judged(rows, F.col("log_odds"), paths, mean).where(F.col("score") >= threshold).select("row.*")
 
 
 def op2_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
