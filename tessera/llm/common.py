@@ -3,8 +3,11 @@
 from __future__ import annotations
 
 import atexit
+import ctypes
 import tempfile
 import uuid
+from collections.abc import Callable, Iterator
+from functools import wraps
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -64,3 +67,21 @@ def written(df: DataFrame) -> DataFrame:
     path = f"{scratch(spark)}/{uuid.uuid4().hex}"
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+def frugal(run: Callable[..., Iterator]) -> Callable[..., Iterator]:
+    """A function of batches that gives free memory back to the system when a task ends: Python workers
+    outlive their tasks, and idle ones would hold what the largest of them took."""
+
+    @wraps(run)
+    def each(batches):
+        import pyarrow as pa
+
+        try:
+            yield from run(batches)
+        finally:
+            pa.default_memory_pool().release_unused()
+            if hasattr(libc := ctypes.CDLL(None), "malloc_trim"):
+                libc.malloc_trim(0)
+
+    return each

@@ -13,7 +13,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import table, text_of
+from .common import frugal, table, text_of
 
 SPACES = re.compile(r"[\x20\x09-\x0D]+")
 MARKUP = re.compile(
@@ -284,7 +284,7 @@ def extract_pages(pages: DataFrame, id_col: str = "page_id", html_col: str = "ht
     names = [k for k, _ in kinds] + ["text", "n_chars"]
     schema = ", ".join(f"{k} {t}" for k, t in kinds) + ", text string, n_chars bigint"
     source = pages.select(*[F.col(c).alias(f"c{i}") for i, c in enumerate((id_col, *keep))], text_of(html_col).alias("html"))
-    return source.mapInArrow(run, schema).toDF(id_col, *keep, "text", "n_chars")
+    return source.mapInArrow(frugal(run), schema).toDF(id_col, *keep, "text", "n_chars")
 
 
 def op6_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:

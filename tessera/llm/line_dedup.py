@@ -10,7 +10,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import table, text_of, written
+from .common import frugal, table, text_of, written
 
 #: Words that an aligned block has at least, if not all of its lines are rare.
 MIN_WORDS = 25
@@ -178,7 +178,7 @@ def dropped_lines(docs: DataFrame, min_words: int = MIN_WORDS, id_col: str = "do
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(gone, pa.list_(pa.int32()))], ["key", "lines"])
 
     keyed = docs.select(document_key(id_col, text_col).alias("key"), text_of(text_col).alias("text"))
-    lines = keyed.mapInArrow(facts, f"key {KEY}, hashes array<bigint>, words array<int>, at array<int>, runs array<bigint>")
+    lines = keyed.mapInArrow(frugal(facts), f"key {KEY}, hashes array<bigint>, words array<int>, at array<int>, runs array<bigint>")
     lines = written(lines.dropDuplicates(["key"]))
     runs = lines.select("key", F.explode("runs").alias("hash"), F.lit(LINK_WORDS).alias("n"), F.lit(False).alias("line"))
     short = lines.select("key", F.explode(F.array_distinct(F.arrays_zip("hashes", "words"))).alias("l")).select("key", F.col("l.hashes").alias("hash"), F.col("l.words").alias("n"), F.lit(True).alias("line"))
@@ -189,7 +189,7 @@ def dropped_lines(docs: DataFrame, min_words: int = MIN_WORDS, id_col: str = "do
     rare = shared.groupBy("key").agg(F.flatten(F.collect_list("rare")).alias("rare"))
     pairs = shared.where(F.col("n") >= LINK_WORDS).select("key", "first").join(rare, "key").join(lines.select("key", "hashes", "words", "at"), "key")
     pairs = pairs.join(lines.select(F.col("key").alias("first"), F.col("hashes").alias("other")), "first").select("key", "hashes", "words", "at", "rare", "other")
-    gone = pairs.mapInArrow(align, f"key {KEY}, lines array<int>").select("key", F.explode("lines").alias("line"))
+    gone = pairs.mapInArrow(frugal(align), f"key {KEY}, lines array<int>").select("key", F.explode("lines").alias("line"))
     return gone.groupBy("key").agg(F.collect_set("line").alias("lines"))
 
 

@@ -10,7 +10,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import drop_path, table, text_of, written
+from .common import drop_path, frugal, table, text_of, written
 
 #: Tokens of a shard, and requests that one bucket of counts takes, about.
 SHARD, BUCKET = 2_000_000, 4_000_000
@@ -308,23 +308,23 @@ def lm_scores(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -
     """
     spark = docs.sparkSession
     base = docs.select(F.col(id_col).cast("bigint").alias("id"), text_of(text_col).alias("text"))
-    shards = written(base.mapInArrow(_sharded, SHARDS))
+    shards = written(base.mapInArrow(frugal(_sharded), SHARDS))
     n, total, texts = (int(x or 0) for x in shards.agg(F.sum("n"), F.sum("train"), F.sum("texts")).first())
     bits = min(20, max(8, (n // BUCKET).bit_length() + 2))
-    asked = shards.mapInArrow(_requests(bits), "kind int, bucket int, shard string, keys binary, counts binary")
-    answers = asked.repartition("kind", "bucket").sortWithinPartitions("kind", "bucket").mapInArrow(_totals(), "kind int, bucket int, shard string, places binary, totals binary, size bigint, known bigint")
+    asked = shards.mapInArrow(frugal(_requests(bits)), "kind int, bucket int, shard string, keys binary, counts binary")
+    answers = asked.repartition("kind", "bucket").sortWithinPartitions("kind", "bucket").mapInArrow(frugal(_totals()), "kind int, bucket int, shard string, places binary, totals binary, size bigint, known bigint")
     answers = written(answers)
     known = int(answers.where("kind = 0").agg(F.sum("known")).first()[0] or 0)
 
     rows = shards.select("shard", F.lit(-1).alias("kind"), F.lit(-1).alias("bucket"), "ids", "held", "lens", "tokens", "vocab").unionByName(answers.select("shard", "kind", "bucket", "places", "totals", "size"), allowMissingColumns=True)
-    counted = written(rows.repartition("shard").sortWithinPartitions("shard", "kind", "bucket").mapInArrow(_counted, COUNTED))
+    counted = written(rows.repartition("shard").sortWithinPartitions("shard", "kind", "bucket").mapInArrow(frugal(_counted), COUNTED))
     for used in (shards, answers):
         for path in {p.rsplit("/", 1)[0] for p in used.inputFiles()}:
             drop_path(spark, path)
 
-    cells = counted.mapInArrow(_deleted(total, texts, known), "cell bigint, n bigint").groupBy("cell").agg(F.sum("n").alias("n")).collect()  # at most 64 * 128 * 128
+    cells = counted.mapInArrow(frugal(_deleted(total, texts, known)), "cell bigint, n bigint").groupBy("cell").agg(F.sum("n").alias("n")).collect()  # at most 64 * 128 * 128
     weights = interpolation_weights(np.array([r[0] for r in cells], np.int64), np.array([r[1] for r in cells], float))
-    out = counted.mapInArrow(_scored(total, texts, known, weights), "id bigint, held_out boolean, n_tokens bigint, n_known bigint, train_tokens bigint, base_score double, score double")
+    out = counted.mapInArrow(frugal(_scored(total, texts, known, weights)), "id bigint, held_out boolean, n_tokens bigint, n_known bigint, train_tokens bigint, base_score double, score double")
     return out.withColumnRenamed("id", id_col)
 
 

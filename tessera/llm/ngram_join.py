@@ -11,7 +11,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import table, text_of, written
+from .common import frugal, table, text_of, written
 from .components import components
 
 #: Words of an n-gram, least similarity, and the posterior below which a pair is dropped.
@@ -32,7 +32,7 @@ def _factors() -> tuple[np.ndarray, np.ndarray]:
 class Shingler:
     """Turns texts into sets of n-gram hashes; the hashes of words are kept in a bounded memo."""
 
-    def __init__(self, n: int, most: int = 500_000):
+    def __init__(self, n: int, most: int = 200_000):
         from xxhash import xxh3_64_intdigest
 
         self.n, self.most, self.memo, self.digest = n, most, {}, xxh3_64_intdigest
@@ -213,7 +213,7 @@ def by_block(df: DataFrame, keys: list[str], run: Callable[[dict[str, list]], It
             out.extend(run(rows))
         yield from emitted(True)
 
-    return df.repartition(*keys).sortWithinPartitions(*keys).mapInArrow(each, schema)
+    return df.repartition(*keys).sortWithinPartitions(*keys).mapInArrow(frugal(each), schema)
 
 
 def in_blocks(df: DataFrame, group: list[str], node: str, size: str) -> DataFrame:
@@ -320,7 +320,7 @@ def similar_classes(docs: DataFrame, words: int = WORDS, similar: float = SIMILA
     end = 2**63 - 1
     ident = F.coalesce(F.col(id_col).cast("long"), F.lit(end))
     base = docs.select(ident.alias("id"), text_of(text_col).alias("text"))
-    signed = written(base.mapInArrow(sign, "id bigint, node binary, sign binary"))
+    signed = written(base.mapInArrow(frugal(sign), "id bigint, node binary, sign binary"))
     classes = written(signed.groupBy("node").agg(F.min("id").alias("class_id"), F.count("*").alias("class_size"), F.first("sign").alias("sign")))
 
     # candidates: classes that share a band
@@ -335,7 +335,7 @@ def similar_classes(docs: DataFrame, words: int = WORDS, similar: float = SIMILA
     # exact verification of the pairs that survive
     members = parts.select("node").distinct().join(classes.select("node", "class_id"), "node")
     texts = base.join(members.select(F.col("class_id").alias("id")).distinct(), "id", "left_semi").select("text")
-    grams = texts.mapInArrow(sets, "node binary, grams binary").groupBy("node").agg(F.first("grams").alias("grams"))
+    grams = texts.mapInArrow(frugal(sets), "node binary, grams binary").groupBy("node").agg(F.first("grams").alias("grams"))
     found = written(by_block(parts.join(grams, "node"), ["part"], verify, "a binary, b binary, n bigint, m bigint"))
     groups = components(found.where("b IS NOT NULL").select("a", "b"))
     counts = found.where("b IS NULL").groupBy(F.col("a").alias("node")).agg(F.sum("n").alias("n_links"), F.sum("m").alias("n_linked"))

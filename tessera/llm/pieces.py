@@ -18,11 +18,11 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import table, text_of
+from .common import frugal, table, text_of
 
 SPACE = "▁"
 #: Entries that a memo may hold before it is emptied, and the longest chunk that is kept.
-MEMO, LONGEST = 800_000, 40
+MEMO, LONGEST = 400_000, 40
 
 
 class Pieces:
@@ -206,7 +206,7 @@ def encode_pieces(docs: DataFrame, model_path: str | None = None, id_col: str =
 
     kind = docs.schema[id_col].dataType.simpleString()
     schema = f"id {kind}, n_tokens bigint, ids_sha256 string, decoded_sha256 string" + ", token_ids array<int>" * ids + ", decoded string" * decoded
-    return docs.select(F.col(id_col).alias("id"), text_of(text_col).alias("text")).mapInArrow(run, schema).withColumnRenamed("id", id_col)
+    return docs.select(F.col(id_col).alias("id"), text_of(text_col).alias("text")).mapInArrow(frugal(run), schema).withColumnRenamed("id", id_col)
 
 
 def op7_sentencepiece_codec(spark: SparkSession, sf_dir: str) -> DataFrame:
