@@ -174,6 +174,49 @@ def test_sparse_sites_shrink_and_others_do_not(spark):
     assert got["bad", 1000].host_posterior < 0.05 and abs(got["one", 2000].host_posterior - mean) < 0.02
 
 
+def test_posteriors_by_hand(spark, small):
+    """Everything after the documents' own log odds, in plain Python."""
+    docs, labels = spark.read.parquet(f"{SF}/documents.parquet"), spark.read.parquet(f"{SF}/labels.parquet")
+    facts, model, _, _ = quality.fit(docs, labels, F.col("source"), F.col("lang"))
+    odds = {r.id: r for r in facts.collect()}
+    got = {r.doc_id: r for r in quality.quality_scores(docs, labels).collect()}
+    clip = lambda p: min(1 - 1e-6, max(1e-6, p))
+    logit = lambda p: math.log(clip(p) / (1 - clip(p)))
+    p = {k: 1 / (1 + math.exp(-r.log_odds)) for k, r in odds.items()}
+    mean = sum(p.values()) / len(p)
+
+    def strength(groups):  # [(n, s, prior mean)]
+        spread = sum(n * (s / n - m) ** 2 for n, s, m in groups)
+        noise = sum(m * (1 - m) for *_, m in groups)
+        size = sum(n for n, *_ in groups) - sum(n * n for n, *_ in groups) / sum(n for n, *_ in groups)
+        between = (spread - noise) / size if size else 0
+        return min(1e6, max(2, sum(m * (1 - m) for *_, m in groups) / len(groups) / between - 1)) if between > 0 else 1e6
+
+    hosts, paths = collections.defaultdict(list), collections.defaultdict(list)
+    for k, r in odds.items():
+        hosts[r.host].append(p[k]), paths[r.host, r.path].append(p[k])
+    hk = strength([(len(v), sum(v), mean) for v in hosts.values()])
+    own = {h: (hk * mean + sum(v)) / (hk + len(v)) for h, v in hosts.items()}
+    pk = strength([(len(v), sum(v), own[h]) for (h, _), v in paths.items()])
+    for k, r in odds.items():
+        host = (hk * mean + sum(hosts[r.host]) - p[k]) / (hk + len(hosts[r.host]) - 1)
+        path = (pk * host + sum(paths[r.host, r.path]) - p[k]) / (pk + len(paths[r.host, r.path]) - 1)
+        score = 1 / (1 + math.exp(-(r.log_odds + logit(path) - logit(mean))))
+        assert abs(got[k].host_posterior - host) < 1e-6 and abs(got[k].path_posterior - path) < 1e-6 and abs(got[k].score - score) < 1e-6
+        assert got[k].kept == (got[k].score >= 0.5)
+
+
+def test_words_are_evidence(spark):
+    random.seed(11)
+    good, bad = [f"g{i}" for i in range(40)], [f"b{i}" for i in range(40)]
+    text = lambda own: " ".join(random.choice(own) if random.random() < 0.5 else f"n{random.randint(0, 99)}" for _ in range(30))
+    docs = [(i, text(good if i % 2 else bad), "en", "s") for i in range(600)]
+    labels = spark.createDataFrame([(i, i % 2, 0) for i in range(400)], "doc_id bigint, quality int, toxic int")
+    got = quality.quality_scores(documents(spark, docs), labels).where("doc_id >= 400").collect()
+    assert sum(r.kept == (r.doc_id % 2 == 1) for r in got) > 190
+    assert quality.lexical_weights([], __import__("numpy").zeros(0)).any() == False  # noqa: E712
+
+
 # 3 ------------------------------------------------------------------------------------------------
 
 def test_exact_dedup_awkward_rows(spark):
