@@ -254,6 +254,43 @@ def test_lm_against_counts(spark, small, monkeypatch):
     assert sum(r.score for r in out) > sum(r.base_score for r in out)
 
 
+def test_lm_score_by_definition(spark, small, monkeypatch):
+    """Deleted interpolation in plain Python, its weights from unbinned ratios."""
+    monkeypatch.setattr(lm_score, "SHARD", 3000)
+    got = {r.doc_id: r for r in lm_score.lm_scores(spark.createDataFrame([x[:2] for x in small], "doc_id bigint, text string").repartition(3)).collect()}
+    tokens = {k: t.encode().lower().split() + [None] for k, t, _ in small}
+    train = [x for k, x in tokens.items() if zlib.crc32(str(k).encode()) % 5 != 1]
+    one, two = collections.Counter(w for x in train for w in x), collections.Counter(p for x in train for p in zip(["<s>", *x[:-1]], x, strict=True))
+    n, v, texts = sum(one.values()), len(one), len(train)
+    count = lambda c: texts if c == "<s>" else one[c]
+    held = collections.defaultdict(collections.Counter)  # by bucket: (bigram ratio, word ratio), the token taken out
+    for x in train:
+        for c, w in zip(["<s>", *x[:-1]], x, strict=True):
+            left = count(c) - 1
+            held[left.bit_length()][(two[c, w] - 1) / max(1, left), (one[w] - 1) / (n - 1)] += 1
+    weights = {}
+    for b, cells in held.items():
+        a = [1 / 3] * 3
+        for _ in range(100):
+            new = [0.0] * 3
+            for (p2, p1), k in cells.items():
+                parts = [a[0] * p2, a[1] * p1, a[2] / (v + 1)]
+                for i in range(3):
+                    new[i] += k * parts[i] / sum(parts)
+            a = [x / sum(cells.values()) for x in new]
+        weights[b] = [max(x, 1e-6) for x in a]
+    worst, total = 0.0, 0
+    for k, x in tokens.items():
+        want = 0.0
+        for c, w in zip(["<s>", *x[:-1]], x, strict=True):
+            a = weights[count(c).bit_length()] if count(c).bit_length() in weights else weights[max(b for b in weights if b <= count(c).bit_length())]
+            p = a[0] * two[c, w] / max(1, count(c)) + a[1] * one[w] / n + a[2] / (v + 1) + (a[0] * one[w] / n if not count(c) else 0)
+            want += math.log10(p)
+        total += len(x)
+        worst = max(worst, abs(got[k].score - want) / len(x))
+    assert worst < 0.02  # a token, from the steps of the ratios
+
+
 def test_lm_awkward_rows(spark):
     got = lm_score.lm_scores(documents(spark)).collect()
     assert len(got) == len(ROWS) and all(math.isfinite(r.score) and math.isfinite(r.base_score) for r in got)
@@ -591,6 +628,62 @@ def test_rare_lines_between_edited_ones(spark):
     assert got[11] == line("own11") and got[1] == want[1]  # copies of a row are one document
 
 
+def removable(docs):
+    """{id: numbers of lines that go}, by comparing each document with all earlier ones."""
+    lines = {k: [(i, " ".join(x.split())) for i, x in enumerate(t.split("\n")) if x.split()] for k, t in docs}
+    words = lambda x: len(x.split())
+    holders = collections.defaultdict(list)
+    for k, _ in docs:
+        for x in {x for _, x in lines[k]}:
+            holders[x].append(k)
+    rare = {x for x, ks in holders.items() if 2 <= len(ks) <= 10 and words(x) < 25}
+    out = collections.defaultdict(set)
+    for n, (k, _) in enumerate(docs):
+        mine = [x for _, x in lines[k]]
+        first = collections.Counter()
+        for x in rare & {*mine}:
+            if holders[x][0] != k:
+                first[holders[x][0]] += words(x)
+        for e, _ in docs[:n]:
+            theirs = [x for _, x in lines[e]]
+            long = False
+            for i in range(len(mine)):
+                for j in range(len(theirs)):
+                    m = 0
+                    while i + m < len(mine) and j + m < len(theirs) and mine[i + m] == theirs[j + m]:
+                        m += 1
+                    if sum(words(x) for x in mine[i : i + m]) >= 25:
+                        long = True
+                        out[k] |= {lines[k][i + a][0] for a in range(m)}
+            if long or first[e] >= 8:
+                out[k] |= {i for i, x in lines[k] if x in rare and x in {*theirs}}
+    return out
+
+
+def test_line_dedup_against_all_pairs(spark, small):
+    docs = [(k, t) for k, t, _ in small]
+    want = removable(docs)
+    df = spark.createDataFrame(docs, "doc_id bigint, text string")
+    got = {r.key.id: {*r.lines} for r in line_dedup.dropped_lines(df).collect()}
+    assert got.keys() == want.keys() and sum(map(len, want.values())) > 100
+    text = dict(docs)
+    for k, lines in want.items():
+        assert got[k] <= lines
+        left = [text[k].split("\n")[i] for i in lines - got[k]]  # ends of runs that the first holder of their parts lacks
+        assert sum(len(x.split()) for x in left) < 25
+
+
+def test_line_dedup_many_repeats_and_long_words(spark):
+    import time
+
+    began = time.time()
+    random.seed(4)
+    lines = "\n".join(f"value {random.randint(0, 3)} of four" for _ in range(4000))
+    docs = [(1, lines), (2, "x" * 1_000_000), (3, "own\n" + lines), (4, "x" * 1_000_000)]
+    got = {r.doc_id: r.text for r in line_dedup.dedup_lines(spark.createDataFrame(docs, "doc_id bigint, text string")).collect()}
+    assert got[1] == lines and got[3] == "own" and time.time() - began < 60
+
+
 def test_line_dedup_awkward_rows(spark):
     got = line_dedup.dedup_lines(documents(spark)).collect()
     assert len(got) == len(ROWS)
