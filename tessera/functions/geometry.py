@@ -103,3 +103,20 @@ def _by_view(view: Column, boxes: dict[str, Box], other: Box) -> Column:
     for name, b in boxes.items():
         out = F.when(view == name, pack(b)) if out is None else out.when(view == name, pack(b))
     return out.otherwise(pack(other))
+
+
+def clip_unit(xc: Column, yc: Column, w: Column, h: Column, least: float = 1e-6) -> Box:
+    """A normalised box with its centre in the unit square and sizes of least to 1."""
+    into = lambda v, low: F.greatest(F.lit(low), F.least(F.lit(1.0), v))
+    return (into(xc, 0.0), into(yc, 0.0), into(w, least), into(h, least))
+
+
+def affine(box: Box, scale: float, dx: float, dy: float) -> Box:
+    return tuple(v * scale + d for v, d in zip(box, (dx, dy, dx, dy), strict=True))
+
+
+def visible(box: Box, width: Column, height: Column) -> Column:
+    """struct(x1, y1, x2, y2, visible): the box clipped to the image, and the share of it that is left."""
+    inside = clip(box, width, height)
+    whole = (box[2] - box[0]) * (box[3] - box[1])
+    return F.struct(*[v.alias(n) for v, n in zip(inside, ("x1", "y1", "x2", "y2"), strict=True)], F.try_divide(area(inside), whole).alias("visible"))

@@ -30,3 +30,11 @@ def distance(a: Column, b: Column) -> Column:
 
 def similarity(a: Column, b: Column) -> Column:
     return 1 - distance(a, b) / 64.0
+
+
+def by_method(name: str):
+    """The hash function of a name: md5, fallback (size and first KiB), sign (of a vector)."""
+    methods = {"md5": content_hash, "fallback": fallback_hash, "sign": sign_bits}
+    if name not in methods:
+        raise ValueError(f"no hash method {name}; there are {', '.join(methods)}")
+    return methods[name]

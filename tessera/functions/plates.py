@@ -90,3 +90,21 @@ def display(text: Column) -> Column:
     n = F.length(text)
     cut = lambda k: F.concat(F.substring(text, 1, k), F.lit("-"), F.substring(text, k + 1, 1000))
     return F.when(n >= 8, cut(4)).when(n == 7, cut(3)).otherwise(text)
+
+
+# Forms of plates.
+FORMATS = (("car", "[0-9]{2}[A-Z][0-9]{4,5}"), ("bike", "[0-9]{2}[A-Z][A-Z0-9][0-9]{4,5}"), ("special", "[0-9]{2}[A-Z]{2}[0-9]{3,5}"))
+
+
+def format_of(text: Column) -> Column:
+    """The first form that the whole text has, else none."""
+    out = None
+    for name, pattern in FORMATS:
+        hit = F.regexp_like(text, F.lit(f"^(?:{pattern})$"))
+        out = F.when(hit, name) if out is None else out.when(hit, name)
+    return out.otherwise("none")
+
+
+def read_scale(height: Column) -> Column:
+    """How many times a crop of so many rows is enlarged before it is read."""
+    return F.when(height < 64, 3).when(height < 128, 2).otherwise(1)

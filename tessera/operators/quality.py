@@ -77,3 +77,8 @@ def cleaning_summary(images: DataFrame) -> DataFrame:
 
     each = images.select("split", F.explode("issues").alias("issue"))
     return of(images, each, ["split"]).unionByName(of(images, each, []).withColumn("split", F.lit("all")))
+
+
+def boxes_ok(boxes: Column) -> Column:
+    """All normalised boxes of an array lie in the unit square and have a size."""
+    return F.forall(boxes, lambda x: x["xc"].between(0, 1) & x["yc"].between(0, 1) & (x["w"] > 0) & (x["w"] <= 1) & (x["h"] > 0) & (x["h"] <= 1))

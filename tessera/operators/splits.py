@@ -8,10 +8,42 @@ from pyspark.sql import functions as F
 from ..functions.sampling import hash32
 
 
+def ranked_in_buckets(df: DataFrame, order: list[str], bucket: str, by: tuple[str, ...] | list[str] = ()) -> DataFrame:
+    """Adds rank (from 1) of each row in its group, and n, the group's rows, without sorting a group in
+    one task: rows are ranked within their bucket, a column that must rise with the order, and
+    the buckets' counts are summed up before. Replaces the bucket column."""
+    keys = [*by, bucket]
+    group = W.partitionBy(*by) if by else W.partitionBy(F.lit(0))  # over one row a bucket
+    counts = df.groupBy(*keys).agg(F.count("*").alias("__count"))
+    before = F.coalesce(F.sum("__count").over(group.orderBy(bucket).rowsBetween(W.unboundedPreceding, -1)), F.lit(0))
+    counts = counts.withColumn("__before", before).withColumn("n", F.sum("__count").over(group))
+    counts = counts.select(*[F.col(k).alias(f"__{k}") for k in keys], "__before", "n")
+    rows = df.withColumn("rank", F.row_number().over(W.partitionBy(*keys).orderBy(*order)))
+    same = F.lit(True)
+    for k in keys:
+        same = same & F.col(k).eqNullSafe(F.col(f"__{k}"))
+    out = rows.join(counts, same).withColumn("rank", F.col("rank") + F.col("__before"))
+    return out.drop(bucket, "__before", *[f"__{k}" for k in keys])
+
+
 def ranked(df: DataFrame, key: str, by: list[str], salt: str = "") -> DataFrame:
     """Adds rank (from 1) in the order of a hash of the key, and n, the group's rows."""
-    part = W.partitionBy(*by) if by else W.partitionBy(F.lit(0))
-    return df.withColumn("rank", F.row_number().over(part.orderBy(hash32(F.col(key), salt), key))).withColumn("n", F.count("*").over(part))
+    h = hash32(F.col(key), salt)
+    df = df.withColumn("__hash", h).withColumn("__bucket", F.shiftright("__hash", 20))
+    return ranked_in_buckets(df, ["__hash", key], "__bucket", by).drop("__hash")
+
+
+def first_of_each(df: DataFrame, by: list[str], order: list[str], k: int) -> DataFrame:
+    """The first k rows of each group; each task keeps k rows of a group before they are shuffled."""
+    return df.withColumn("__r", F.row_number().over(W.partitionBy(*by).orderBy(*order))).where(F.col("__r") <= k).drop("__r")
+
+
+def targets(df: DataFrame, by: list[str], multiple: float, tries: int) -> DataFrame:
+    """n rows of each group, how many are wanted to make it int(n * multiple), the tries for them, and how
+    often the rows have to be gone through."""
+    n = df.groupBy(*by).agg(F.count("*").alias("n"))
+    n = n.withColumn("wanted", F.floor(F.col("n") * F.lit(float(multiple))) - F.col("n"))
+    return n.withColumn("most_attempts", F.col("wanted") * tries).withColumn("rounds", F.ceil(F.col("wanted") / F.col("n")))
 
 
 def split_by_rank(df: DataFrame, key: str, train: float = 0.7, val: float = 0.2, salt: str = "") -> DataFrame:

@@ -12,9 +12,11 @@ from pyspark.sql.types import DoubleType, LongType, StructField, StructType
 
 # Suffixes of images.
 EXTENSIONS = ("jpg", "jpeg", "png", "bmp", "tiff", "webp", "jfif")
+# Those that narrower scans take: of a split, of one folder, for evaluation, for merging.
+SCANS = {"split": ("jpg", "jpeg", "png", "bmp"), "flat": ("jpg", "jpeg", "png", "bmp", "tiff"), "evaluation": ("jpg", "jpeg", "png"), "merge": ("jpg", "png")}
 
 
-def manifest(files: DataFrame, root: str = "") -> DataFrame:
+def manifest(files: DataFrame, root: str = "", extensions: tuple[str, ...] = EXTENSIONS) -> DataFrame:
     """path, dataset, split, name, stem, ext, length of a listing (path, length): image files only.
 
     The dataset is the first folder below root; __MACOSX and names with README are left out.
@@ -23,7 +25,7 @@ def manifest(files: DataFrame, root: str = "") -> DataFrame:
     parts = F.split(rest, "/")
     name = F.element_at(parts, -1)
     out = files.select("path", F.get(parts, F.lit(0)).alias("dataset"), F.when(F.size(parts) > 1, F.element_at(parts, -2)).alias("split"), name.alias("name"), F.regexp_replace(name, r"\.[^.]*$", "").alias("stem"), F.lower(F.regexp_extract(name, r"\.([^.]*)$", 1)).alias("ext"), "length")
-    return out.where(F.col("ext").isin(*EXTENSIONS) & (F.col("dataset") != "__MACOSX") & ~F.upper("name").contains("README")).distinct()
+    return out.where(F.col("ext").isin(*extensions) & (F.col("dataset") != "__MACOSX") & ~F.upper("name").contains("README")).distinct()
 
 
 def list_files(spark: SparkSession, root: str) -> DataFrame:
@@ -57,17 +59,17 @@ def _packed(bits: np.ndarray) -> int:
 
 def pixel_metrics(data: bytes, width: int, height: int, channels: int) -> tuple:
     """Blur (population variance of the Laplacian, borders mirrored), mean and deviation of grey,
-    least and greatest grey, 9x8 gradient hash and 8x8 low-frequency cosine hash."""
+    least and greatest byte of any channel, 9x8 gradient hash and 8x8 low-frequency cosine hash."""
     if width <= 0 or not data:
         return (None,) * 7
-    grey = _grey(data, width, height, channels)
+    grey, raw = _grey(data, width, height, channels), np.frombuffer(data, np.uint8)
     p = np.pad(grey, 1, mode="reflect") if min(grey.shape) > 1 else np.pad(grey, 1, mode="edge")
     lap = p[:-2, 1:-1] + p[2:, 1:-1] + p[1:-1, :-2] + p[1:-1, 2:] - 4 * grey
     small = _resized(grey, 8, 9)
     k = np.arange(32)
     cosine = np.cos(np.pi * (2 * k[None, :] + 1) * k[:, None] / 64)
     low = (cosine @ _resized(grey, 32, 32) @ cosine.T)[:8, :8]
-    return float(lap.var()), float(grey.mean()), float(grey.std()), float(grey.min()), float(grey.max()), _packed(small[:, 1:] > small[:, :-1]), _packed(low > np.median(low))
+    return float(lap.var()), float(grey.mean()), float(grey.std()), float(raw.min()), float(raw.max()), _packed(small[:, 1:] > small[:, :-1]), _packed(low > np.median(low))
 
 
 @F.pandas_udf(METRICS)
@@ -82,5 +84,6 @@ def image_metrics(images: DataFrame) -> DataFrame:
 
 
 def usable(length: Column, width: Column, height: Column, channels: Column, low: Column, high: Column) -> Column:
-    """At least 1 KiB, sides of 100 to 3840, 1, 3 or 4 channels, and not of one colour (grey value)."""
+    """At least 1 KiB, sides of 100 to 3840, 1, 3 or 4 channels, and not all bytes alike: a grey area goes, one of
+    another colour stays, and so does any image of one channel."""
     return (length >= 1024) & width.between(100, 3840) & height.between(100, 3840) & channels.isin(1, 3, 4) & ((channels == 1) | (low < high))

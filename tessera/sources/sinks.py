@@ -56,3 +56,27 @@ def data_yaml(splits: DataFrame, root: str, names: list[str]) -> str:
     found = {r[0] for r in splits.select("split").distinct().collect()}  # a handful
     lines = [f"path: {root}", *[f"{s}: images/{s}" for s in ("train", "val", "test") if s in found], f"nc: {len(names)}", "names:", *[f"  {i}: {n}" for i, n in enumerate(names)]]
     return "\n".join(lines) + "\n"
+
+
+def fixed_files(parsed: DataFrame, line: Column) -> DataFrame:
+    """split, stem, text: each label file's lines as rewritten (null ones left out), in order of line_no;
+    the original text where no line is rewritten."""
+    l = F.struct("line_no", line.alias("new"), F.col("line").alias("old"))
+    files = parsed.groupBy("split", "stem").agg(F.array_sort(F.collect_list(l)).alias("l"))
+    new = F.filter(F.transform("l", lambda x: x["new"]), lambda x: x.isNotNull())
+    text = F.when(F.size(new) > 0, F.array_join(new, "\n")).otherwise(F.array_join(F.transform("l", lambda x: x["old"]), "\n"))
+    return files.select("split", "stem", text.alias("text"))
+
+
+def descriptions(splits: DataFrame, root: str, names: list[str]) -> DataFrame:
+    """variant, text: the dataset description with names as a map, as a list, and as JSON."""
+    place = F.when(F.col("split") == "train", 0).when(F.col("split") == "val", 1).otherwise(2)
+    found = splits.select("split").distinct().agg(F.array_sort(F.collect_list(F.struct(place.alias("k"), "split"))).alias("s"))
+    join = lambda form, sep: F.array_join(F.transform("s", lambda x: F.format_string(form, x["split"], x["split"])), sep)
+    head = F.concat(F.lit(f"path: {root}\n"), join("%s: images/%s", "\n"), F.lit(f"\nnc: {len(names)}\n"))
+    forms = {
+        "map": F.concat(head, F.lit("names:\n" + "".join(f"  {i}: {n}\n" for i, n in enumerate(names)))),
+        "list": F.concat(head, F.lit(f"names: [{', '.join(names)}]\n")),
+        "json": F.concat(F.lit(f'{{"path":"{root}",'), join('"%s":"images/%s"', ","), F.lit(f',"nc":{len(names)},"names":[' + ",".join(f'"{n}"' for n in names) + "]}")),
+    }
+    return found.select(F.explode(F.array(*[F.struct(F.lit(k).alias("variant"), v.alias("text")) for k, v in forms.items()])).alias("d")).select("d.*")
