@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 # Province codes of the still-image rules, and those of the video rules.
@@ -57,13 +57,26 @@ def extract(text: Column, kind: Column) -> Column:
 
 
 def validate(text: Column, kind: Column) -> Column:
-    """struct(valid, text): two digits, a letter, digits; with a province that exists."""
+    """struct(valid, text) of one reading; for a table, validated() works each step out once."""
     s = extract(text, kind)
     fits = F.array_contains(_lengths(kind), F.length(s))
-    fixed = F.concat(as_number(F.substring(s, 1, 2)), as_letter(F.substring(s, 3, 1)), as_number(F.substring(s, 4, 1000)))
+    fixed = _formed(s)
     return F.struct((fits & F.substring(fixed, 1, 2).isin(PROVINCES)).alias("valid"), F.when(fits, fixed).otherwise(s).alias("text"))
 
 
+def _formed(s: Column) -> Column:
+    return F.concat(as_number(F.substring(s, 1, 2)), as_letter(F.substring(s, 3, 1)), as_number(F.substring(s, F.lit(4), F.length(s))))
+
+
+def validated(rows: DataFrame, text: str = "text", kind: str = "kind") -> DataFrame:
+    """Adds valid, and replaces text by its repair: two digits, a letter, digits; with a province that
+    exists. What is extracted stands as a column, so its windows are built once a row."""
+    rows = rows.withColumn("__s", extract(F.col(text), F.col(kind)))
+    fits = F.array_contains(_lengths(F.col(kind)), F.length("__s"))
+    rows = rows.withColumn("__f", F.when(fits, _formed(F.col("__s"))))
+    return rows.withColumn("valid", F.coalesce(F.substring("__f", 1, 2).isin(PROVINCES), F.lit(False))).withColumn(text, F.coalesce("__f", "__s")).drop("__s", "__f")
+
+
 def nearest_province(code: Column) -> Column:
     """Of the codes that share a character with this one, the greatest; null if there is none.
 
@@ -82,13 +95,13 @@ def smart_correct(text: Column) -> Column:
     code = F.when(code.isin(VIDEO_PROVINCES), code).otherwise(F.coalesce(nearest_province(code), code))
     third = F.translate(F.translate(F.substring(s, 3, 1), *VIDEO_TO_LETTER), "U0O", "LDD")
     fourth = F.translate(F.substring(s, 4, 1), "U", "L")
-    rest = F.when(F.length(s) >= 8, F.concat(fourth, digit(F.substring(s, 5, 1000)))).otherwise(digit(F.substring(s, 4, 1000)))
+    rest = F.when(F.length(s) >= 8, F.concat(fourth, digit(F.substring(s, F.lit(5), F.length(s))))).otherwise(digit(F.substring(s, F.lit(4), F.length(s))))
     return F.when(F.length(s).between(7, 10), F.concat(code, third, rest))
 
 
 def display(text: Column) -> Column:
     n = F.length(text)
-    cut = lambda k: F.concat(F.substring(text, 1, k), F.lit("-"), F.substring(text, k + 1, 1000))
+    cut = lambda k: F.concat(F.substring(text, 1, k), F.lit("-"), F.substring(text, F.lit(k + 1), n))
     return F.when(n >= 8, cut(4)).when(n == 7, cut(3)).otherwise(text)
 
 

@@ -76,10 +76,26 @@ def top(rows: DataFrame, by: Column, k: int, *ties: str) -> DataFrame:
     return rows.orderBy(by, *ties).limit(k)
 
 
-def average_precision(det: DataFrame, matches: DataFrame, n_truth: int, key: str = "image_id") -> DataFrame:
-    """Precision and recall after each detection by falling confidence, and the precision envelope."""
+def average_precision(det: DataFrame, matches: DataFrame, truth: DataFrame, key: str = "image_id", buckets: int = 4096) -> DataFrame:
+    """Precision and recall after each detection by falling confidence, and the precision envelope.
+
+    Detections are dealt by ranges of confidence (0 to 1). Ranks, hits and the envelope are worked out
+    inside each, with what comes before or after it from one row a range; so no task has all.
+    """
     hit = det.join(matches.select(key, "det_idx", F.lit(1).alias("hit")), [key, "det_idx"], "left").withColumn("hit", F.coalesce("hit", F.lit(0)))
-    order = W.orderBy(F.desc("conf"), key, "det_idx")
-    pr = hit.withColumn("tp", F.sum("hit").over(order.rowsBetween(W.unboundedPreceding, 0))).withColumn("rank", F.row_number().over(order))
-    pr = pr.select("rank", (F.col("tp") / F.col("rank")).alias("precision"), (F.col("tp") / F.lit(float(max(1, n_truth)))).alias("recall"))
-    return pr.withColumn("envelope", F.max("precision").over(W.orderBy("rank").rowsBetween(0, W.unboundedFollowing)))
+    hit = hit.withColumn("range", -F.floor(F.col("conf") * buckets))
+    inside, ranges = W.partitionBy("range").orderBy(F.desc("conf"), key, "det_idx"), W.partitionBy("one").orderBy("range")
+    upto = inside.rowsBetween(W.unboundedPreceding, 0)
+    hit = hit.select("range", "conf", key, "det_idx", F.sum("hit").over(upto).alias("tp"), F.row_number().over(inside).alias("rank"))
+    one = F.lit(1).alias("one")
+    sums = hit.groupBy("range").agg(F.max("tp").alias("tp"), F.max("rank").alias("n")).select("*", one)
+    before = ranges.rowsBetween(W.unboundedPreceding, -1)
+    sums = sums.select("range", "one", *[F.coalesce(F.sum(c).over(before), F.lit(0)).alias(f"{c}_before") for c in ("tp", "n")])
+    all_truth = truth.agg(F.greatest(F.count("*"), F.lit(1)).alias("truth")).select("*", one)
+    pr = hit.join(sums.join(all_truth, "one"), "range")
+    pr = pr.withColumn("tp", F.col("tp") + F.col("tp_before")).withColumn("rank", F.col("rank") + F.col("n_before"))
+    pr = pr.select("range", "one", "rank", (F.col("tp") / F.col("rank")).alias("precision"), (F.col("tp") / F.col("truth")).alias("recall"))
+    best = pr.groupBy("range", "one").agg(F.max("precision").alias("best"))
+    best = best.select("range", F.max("best").over(ranges.rowsBetween(1, W.unboundedFollowing)).alias("later"))
+    envelope = F.max("precision").over(W.partitionBy("range").orderBy("rank").rowsBetween(0, W.unboundedFollowing))
+    return pr.withColumn("envelope", envelope).join(best, "range").select("rank", "precision", "recall", F.greatest("envelope", "later").alias("envelope"))

@@ -13,13 +13,33 @@ def unpivoted(df: DataFrame, columns: list[str]) -> DataFrame:
     return df.select(*[F.col(c).cast("double").alias(c) for c in columns]).unpivot([], columns, "metric", "value").where("value IS NOT NULL")
 
 
+def quantiles(values: DataFrame, by: str, wanted: dict[str, float], value: str = "value", buckets: int = 4096) -> DataFrame:
+    """Exact interpolated quantiles of each group: by, and a column for each that is wanted.
+
+    Equal values are counted before they are shuffled, then ranked within ranges of values and offset by
+    the counts of the ranges below; so a group is dealt over many tasks, none of which holds a map of
+    its values.
+    """
+    v = values.where(F.col(value).isNotNull()).groupBy(by, F.col(value).alias("v")).agg(F.count("*").alias("n"))
+    limits = v.groupBy(by).agg(F.min("v").alias("low"), F.max("v").alias("high"), F.sum("n").alias("total"))
+    at = F.coalesce(F.floor(F.try_divide(F.col("v") - F.col("low"), F.col("high") - F.col("low")) * (buckets - 1)), F.lit(0))
+    v = v.join(limits, by).withColumn("range", at)
+    sums = v.groupBy(by, "range").agg(F.sum("n").alias("k"))
+    before = F.coalesce(F.sum("k").over(W.partitionBy(by).orderBy("range").rowsBetween(W.unboundedPreceding, -1)), F.lit(0))
+    v = v.withColumn("upto", F.sum("n").over(W.partitionBy(by, "range").orderBy("v"))).join(sums.select(by, "range", before.alias("before")), [by, "range"])
+    first, last = F.col("before") + F.col("upto") - F.col("n"), F.col("before") + F.col("upto")
+    place = lambda q: (F.col("total") - 1) * F.lit(q)
+    pick = lambda rank: F.max(F.when((first <= rank) & (rank < last), F.col("v")))
+    out = v.groupBy(by).agg(F.max("total").alias("total"), *[pick(f(place(q))).alias(f"{name}_{side}") for name, q in wanted.items() for side, f in (("lo", F.floor), ("hi", F.ceil))])
+    return out.select(by, *[(F.col(f"{c}_lo") + (F.col(f"{c}_hi") - F.col(f"{c}_lo")) * (place(q) - F.floor(place(q)))).alias(c) for c, q in wanted.items()])
+
+
 def describe(df: DataFrame, columns: list[str], quartiles: bool = True, digits: int = 6) -> DataFrame:
     """metric, n, mean, std (of the population), min, max, and median, q1, q3 (interpolated)."""
-    v = F.col("value")
-    aggs = [F.avg(v).alias("mean"), F.stddev_pop(v).alias("std"), F.min(v).alias("min"), F.max(v).alias("max")]
+    v, long = F.col("value"), unpivoted(df, columns)
+    out = long.groupBy("metric").agg(F.count("*").alias("n"), F.avg(v).alias("mean"), F.stddev_pop(v).alias("std"), F.min(v).alias("min"), F.max(v).alias("max"))
     if quartiles:
-        aggs += [F.percentile(v, p).alias(n) for n, p in (("median", 0.5), ("q1", 0.25), ("q3", 0.75))]
-    out = unpivoted(df, columns).groupBy("metric").agg(F.count("*").alias("n"), *aggs)
+        out = out.join(quantiles(long, "metric", {"median": 0.5, "q1": 0.25, "q3": 0.75}), "metric")
     return out.select("metric", "n", *[F.round(c, digits).alias(c) for c in out.columns[2:]])
 
 

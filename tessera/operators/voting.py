@@ -23,21 +23,15 @@ def best_read(reads: DataFrame, key: str = "track", conf: str = "conf", frame: s
 
 
 def running_winner(reads: DataFrame, key: str = "track", text: str = "text", conf: str = "conf", frame: str = "frame") -> DataFrame:
-    """After each frame, the leading text of its track.
+    """After each frame, the leading text of its track: that with the most confidence so far, ties to the
+    one seen first.
 
-    A text's total changes only at its own readings, but another can lead at any frame; so totals
-    are kept as a map per text, built up by the fold of a track's readings.
+    Confidence is not negative, so a text's total only rises, and what leads after a frame is the greatest
+    of all totals up to it: a running sum per text and a running maximum per track, without arrays. Totals
+    compare by whole millionths.
     """
-    rows = reads.groupBy(key).agg(F.sort_array(F.collect_list(F.struct(F.col(frame).alias("f"), F.col(text).alias("t"), F.col(conf).alias("c")))).alias("r"))
-    item = "array<struct<t:string,v:double>>"
-    state = F.struct(F.array().cast(item).alias("tot"), F.array().cast("array<struct<f:bigint,t:string,v:double>>").alias("out"))
-
-    def step(acc, x):
-        has = F.exists(acc["tot"], lambda p: p["t"] == x["t"])
-        tot = F.when(has, F.transform(acc["tot"], lambda p: F.struct(p["t"].alias("t"), F.when(p["t"] == x["t"], p["v"] + x["c"]).otherwise(p["v"]).alias("v")))).otherwise(F.concat(acc["tot"], F.array(F.struct(x["t"].alias("t"), x["c"].alias("v")))))
-        most = F.array_max(F.transform(tot, lambda p: F.round(p["v"], 6)))
-        lead = F.get(F.filter(tot, lambda p: F.round(p["v"], 6) == most), F.lit(0))
-        return F.struct(tot.alias("tot"), F.concat(acc["out"], F.array(F.struct(x["f"].alias("f"), lead["t"].alias("t"), lead["v"].alias("v")))).alias("out"))
-
-    out = rows.select(key, F.explode(F.aggregate("r", state, step, lambda acc: acc["out"])).alias("o"))
-    return out.select(key, F.col("o.f").alias(frame), F.col("o.t").alias("leader"), F.round("o.v", 4).alias("votes"))
+    texts = W.partitionBy(key, text).orderBy(frame)
+    rows = reads.select(key, frame, text, F.sum(conf).over(texts.rowsBetween(W.unboundedPreceding, 0)).alias("v"), F.min(frame).over(texts).alias("first"))
+    best = F.max(F.struct(F.round("v", 6).alias("at"), (-F.col("first")).alias("first"), F.col("v"), F.col(text).alias("t")))
+    rows = rows.withColumn("o", best.over(W.partitionBy(key).orderBy(frame).rowsBetween(W.unboundedPreceding, 0)))
+    return rows.select(key, frame, F.col("o.t").alias("leader"), F.round("o.v", 4).alias("votes"))

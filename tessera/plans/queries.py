@@ -2,20 +2,16 @@
 
 from __future__ import annotations
 
-import tempfile
-import uuid
 from collections.abc import Callable
 from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession, Window as W
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import geometry as g
-from ..functions import hashing, plates
-from ..functions.sampling import hash32, uniform, weighted_choice
-from ..operators import matching, merging, quality, splits, stats, voting
+from ..functions import hashing
+from ..operators import matching, merging, quality, splits, stats
 from ..sources import images, json_labels, labels
-from ..streaming import votes as stream
 from . import bindings as b
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -79,7 +75,8 @@ def split_counts(spark, sf):
 @query(f"WITH {FILES} SELECT doc_id, CASE WHEN length < 1024 THEN 'too_small' WHEN length > 20000 THEN 'too_large' ELSE 'ok' END AS size_check, CASE WHEN (SELECT count(*) FROM f) < 1000 THEN 'critical' WHEN (SELECT count(*) FROM f) < 3000 THEN 'low' ELSE 'good' END AS tier FROM f")
 def file_predicates(spark, sf):
     f = _files(spark, sf)
-    n = F.count("*").over(W.partitionBy(F.lit(0)))
+    f = f.withColumn("one", F.lit(1)).join(f.agg(F.count("*").alias("n")).withColumn("one", F.lit(1)), "one")  # one row
+    n = F.col("n")
     return f.select("doc_id", F.when(F.col("length") < 1024, "too_small").when(F.col("length") > 20000, "too_large").otherwise("ok").alias("size_check"), F.when(n < 1000, "critical").when(n < 3000, "low").otherwise("good").alias("tier"))
 
 
@@ -100,13 +97,13 @@ def fallback_hashes(spark, sf):
 
 @query(f"WITH {FILES} SELECT doc_id, dataset, row_number() OVER (PARTITION BY dataset ORDER BY doc_id) - 1 AS counter, printf('%s_%08d', split, row_number() OVER (PARTITION BY dataset ORDER BY doc_id) - 1) AS name FROM f")
 def per_dataset_counter(spark, sf):
-    n = splits.numbered(_files(spark, sf), ["dataset"], ["doc_id"])
-    return n.select("doc_id", "dataset", F.col("counter").cast("bigint").alias("counter"), F.format_string("%s_%08d", F.col("split"), F.col("counter")).alias("name"))
+    n = splits.ranked_in_buckets(_files(spark, sf).withColumn("bucket", F.floor(F.col("doc_id") / 4096)), ["doc_id"], "bucket", ["dataset"]).withColumn("counter", F.col("rank") - 1)
+    return n.select("doc_id", "dataset", "counter", F.format_string("%s_%08d", F.col("split"), F.col("counter")).alias("name"))
 
 
 @query(f"WITH {FILES} SELECT doc_id, split FROM (SELECT doc_id, split, row_number() OVER (PARTITION BY split ORDER BY doc_id) AS r FROM f) WHERE r <= 66")
 def first_n_per_split(spark, sf):
-    return splits.numbered(_files(spark, sf), ["split"], ["doc_id"], 1, "r").where("r <= 66").select("doc_id", "split")
+    return splits.first_of_each(_files(spark, sf).select("doc_id", "split"), ["split"], ["doc_id"], 66)
 
 
 @query(f"""WITH r AS (SELECT doc_id, row_number() OVER (ORDER BY {H.format('doc_id')}, doc_id) AS r, count(*) OVER () AS n FROM documents)
@@ -196,8 +193,9 @@ def _merged(spark, sf):
 
 @query(MERGE + " SELECT doc_id, outcome, CASE WHEN outcome = 'accepted' THEN printf('img_%08d', row_number() OVER (PARTITION BY outcome ORDER BY prio, pos) - 1) END AS name FROM m")
 def merge_clean_pseudo(spark, sf):
-    m = splits.numbered(_merged(spark, sf), ["outcome"], ["prio", "pos"])
-    return m.select("doc_id", "outcome", F.when(F.col("outcome") == "accepted", F.format_string("img_%08d", F.col("counter"))).alias("name"))
+    m = _merged(spark, sf).withColumn("bucket", F.col("prio") * 2**40 + F.floor(F.col("pos") / 4096))
+    m = splits.ranked_in_buckets(m, ["prio", "pos"], "bucket", ["outcome"])
+    return m.select("doc_id", "outcome", F.when(F.col("outcome") == "accepted", F.format_string("img_%08d", F.col("rank") - 1)).alias("name"))
 
 
 @query(MERGE + " SELECT count(*) FILTER (outcome = 'accepted' AND prio = 0) AS clean_added, count(*) FILTER (outcome = 'accepted' AND prio = 1) AS pseudo_added, count(*) FILTER (outcome = 'duplicate') AS duplicates_skipped, count(*) FILTER (outcome = 'invalid') AS invalid_labels, count(*) FILTER (outcome = 'accepted') AS total FROM m")
@@ -233,7 +231,7 @@ UNIT = "NOT isnan(xc) AND xc BETWEEN 0 AND 1 AND yc BETWEEN 0 AND 1 AND w BETWEE
 SELECT stem, line_no, 0 AS class_id, round(x1, 6) AS x1, round(y1, 6) AS y1, round(x2, 6) AS x2, round(y2, 6) AS y2, concat_ws(' ', '0', array_to_string(tokens[2:], ' ')) AS rewritten FROM v WHERE x2 > x1 AND y2 > y1""")
 def label_lines_parse(spark, sf):
     v = labels.valid_boxes(_parsed(spark, sf), *_size())
-    return shown(v.select("stem", "line_no", F.lit(0).alias("class_id"), *CORNERS, F.concat_ws(" ", F.lit("0"), F.array_join(F.slice("tokens", 2, 1000), " ")).alias("rewritten")))
+    return shown(v.select("stem", "line_no", F.lit(0).alias("class_id"), *CORNERS, F.concat_ws(" ", F.lit("0"), F.array_join(F.slice("tokens", F.lit(2), F.size("tokens")), " ")).alias("rewritten")))
 
 
 @query(f"""WITH {b.LINES}, v AS (SELECT stem, line_no, class_cut AS class_id, greatest(0::DOUBLE, least(639::DOUBLE, xc * 640::DOUBLE - w * 640::DOUBLE / 2)) AS x1, greatest(0::DOUBLE, least(479::DOUBLE, yc * 480::DOUBLE - h * 480::DOUBLE / 2)) AS y1, greatest(0::DOUBLE, least(639::DOUBLE, xc * 640::DOUBLE + w * 640::DOUBLE / 2)) AS x2, greatest(0::DOUBLE, least(479::DOUBLE, yc * 480::DOUBLE + h * 480::DOUBLE / 2)) AS y2 FROM n WHERE {OK.replace('class_id', 'class_cut')} AND NOT isnan(xc))
@@ -364,10 +362,6 @@ def _cleaned(spark, sf):
     return out.withColumn("issues", F.sort_array("issues")).withColumn("kept", quality.keep(F.col("issues")))
 
 
-CLEAN = f"""WITH {b.BOXES}, e AS (SELECT image_id, split, {BOX_ISSUES} AS i FROM b),
-n AS (SELECT image_id, split, flatten(list(i)) AS l FROM e WHERE image_id % 4 = 0 OR len(i) = 0 GROUP BY image_id, split)"""
-
-
 ALL_ISSUES = f"""WITH {b.BOXES}, e AS (SELECT image_id, split, {BOX_ISSUES} AS i FROM b), n AS (SELECT image_id AS i, split, flatten(list(i)) AS l FROM e GROUP BY ALL),
 c AS (SELECT i AS image_id, split, list_sort(list_concat(CASE WHEN i % 31 = 0 THEN ['unreadable_image'] WHEN i % 23 = 0 THEN ['missing_label'] ELSE {IMAGE_ISSUES} END, l)) AS l FROM n),
 k AS (SELECT *, NOT list_has_any(l, ['unreadable_image', 'missing_label']) AND len(l) <= 3 AS kept FROM c)"""
@@ -467,7 +461,7 @@ def box_nms(spark, sf):
 @query()
 def box_fusion(spark, sf):
     """Views weigh 1, 1/2, 1/3 ... in turn."""
-    return shown(matching.fuse(b.boxes(spark, sf), F.col("value") / (F.col("box_id") % 3 + 1)))
+    return shown(matching.fuse(b.boxes(spark, sf), F.col("value") / (F.col("box_id") % 3 + 1)), 8)
 
 
 def _errors(spark, sf):
@@ -499,7 +493,7 @@ def detection_stats(spark, sf):
 @query()
 def precision_recall(spark, sf):
     gt, det = b.truth(spark, sf), b.detections(spark, sf)
-    return shown(matching.average_precision(det, matching.greedy(matching.pairs(gt, det)), gt.count()))
+    return shown(matching.average_precision(det, matching.greedy(matching.pairs(gt, det)), gt))
 
 
 VIEW_SQL = """v AS (SELECT unnest(['original', 'flip_h', 'flip_v', 'rotate_90', 'rotate_180', 'rotate_270', 'scale_up', 'scale_down']) AS view)"""

@@ -87,3 +87,13 @@ def usable(length: Column, width: Column, height: Column, channels: Column, low:
     """At least 1 KiB, sides of 100 to 3840, 1, 3 or 4 channels, and not all bytes alike: a grey area goes, one of
     another colour stays, and so does any image of one channel."""
     return (length >= 1024) & width.between(100, 3840) & height.between(100, 3840) & channels.isin(1, 3, 4) & ((channels == 1) | (low < high))
+
+
+def adjusted(images: DataFrame, factor: float, offset: float) -> DataFrame:
+    """Images with every byte times factor plus offset, cut to 0 to 255."""
+
+    @F.pandas_udf("binary")
+    def run(data: pd.Series) -> pd.Series:
+        return data.map(lambda x: np.clip(np.floor(np.frombuffer(x, np.uint8) * factor + offset), 0, 255).astype(np.uint8).tobytes())
+
+    return images.withColumn("data", run("data"))

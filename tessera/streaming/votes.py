@@ -25,13 +25,36 @@ def stream_sessions(reads: DataFrame, gap: str = "30 minutes", late: str = "1 ho
     return reads.withWatermark("ts", late).groupBy(F.session_window("ts", gap).alias("s"), "track").agg(F.count("*").alias("n"), F.sum("conf").alias("votes")).select("track", F.col("s.start").alias("start"), F.col("s.end").alias("end"), "n", "votes")
 
 
-def run_available(df: DataFrame, name: str, checkpoint: str, mode: str = "complete") -> DataFrame:
-    """Processes all there is, in micro-batches, into an in-memory table of that name."""
-    q = df.writeStream.format("memory").queryName(name).outputMode(mode).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
-    q.awaitTermination()
-    return df.sparkSession.table(name)
-
-
 def run_to_files(df: DataFrame, path: str, checkpoint: str) -> None:
     """Appends to Parquet, each input once over any number of runs on one checkpoint."""
     df.writeStream.format("parquet").outputMode("append").option("path", path).option("checkpointLocation", checkpoint).trigger(availableNow=True).start().awaitTermination()
+
+
+def sessions(reads: DataFrame, gap: str = "30 minutes") -> DataFrame:
+    """What stream_sessions gives, of a table."""
+    return reads.groupBy(F.session_window("ts", gap).alias("s"), "track").agg(F.count("*").alias("n"), F.sum("conf").alias("votes")).select("track", F.col("s.start").alias("start"), F.col("s.end").alias("end"), "n", "votes")
+
+
+def flushed(closed: DataFrame, whole: DataFrame) -> DataFrame:
+    """At the end of a stream: the sessions that its watermark closed, and those of all its input that it did
+    not, as no later row came."""
+    seen = closed.select("track", "start", F.lit(True).alias("seen"))
+    # not an anti join, which the optimiser would push below the session windows, where starts are other ones
+    return closed.unionByName(whole.join(seen, ["track", "start"], "left").where("seen IS NULL").drop("seen"))
+
+
+def run_updates(df: DataFrame, path: str, checkpoint: str) -> DataFrame:
+    """Runs in update mode; each batch's changed rows go to files, with the batch's number. A batch that runs
+    again replaces its files. Nothing gathers on the driver."""
+
+    def write(rows: DataFrame, batch: int) -> None:
+        rows.write.mode("overwrite").parquet(f"{path}/batch={batch}")
+
+    df.writeStream.outputMode("update").foreachBatch(write).option("checkpointLocation", checkpoint).trigger(availableNow=True).start().awaitTermination()
+    return df.sparkSession.read.parquet(path)
+
+
+def last_state(changes: DataFrame, keys: list[str]) -> DataFrame:
+    """Each key's row as the last batch that changed it left it."""
+    rest = [c for c in changes.columns if c not in (*keys, "batch")]
+    return changes.groupBy(*keys).agg(F.max_by(F.struct(*rest), "batch").alias("s")).select(*keys, "s.*")
