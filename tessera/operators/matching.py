@@ -53,6 +53,14 @@ def fuse(boxes: DataFrame, weight: Column, least: float = 0.5, key: str = "image
     return own.groupBy(key, "head").agg(*mean, F.count("*").alias("n"), F.sum("weight").alias("weight"))
 
 
+def ensemble(method: str):
+    """How the boxes of several models or views become one set: fusion (weighted) or nms."""
+    methods = {"fusion": fuse, "nms": suppress}
+    if method not in methods:
+        raise ValueError(f"no ensemble method {method}; there are {', '.join(methods)}")
+    return methods[method]
+
+
 def best_iou(pairs: DataFrame, above: float = 0.5, key: str = "image_id") -> DataFrame:
     """Each ground truth's best IoU; matched where it is above the threshold."""
     return pairs.groupBy(key, "gt_idx").agg(F.max("iou").alias("best")).withColumn("matched", F.col("best") > above)

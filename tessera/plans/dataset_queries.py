@@ -9,7 +9,7 @@ from ..functions import geometry as g
 from ..functions import hashing, plates
 from ..functions.sampling import hash32, uniform
 from ..operators import matching, quality, splits, stats
-from ..sources import images, labels, sinks
+from ..sources import config, images, labels, sinks
 from . import bindings as b
 from .more_queries import VOTES
 from .queries import AREA, ASPECT, BOX_ISSUES, CORNERS, FILES, H, IMAGE_ISSUES, MERGE, OK, UNIT, XYWH, _files, _image_issues, _measured, _merged, _pairs, _parsed, _size, query, shown
@@ -170,9 +170,6 @@ def review_categories(spark, sf):
     return b.table(spark, sf, "events").select("event_id", made.alias("l")).where(F.size("l") > 0).select("event_id", quality.category(F.col("l")).alias("category"))
 
 
-GROUP = "event_id // 4"
-
-
 @query(f"WITH {b.ANNOTATIONS} SELECT box_id // 4 AS item, count(*) AS n, bool_and(xc BETWEEN 0 AND 1 AND yc BETWEEN 0 AND 1 AND w > 0 AND w <= 1 AND h > 0 AND h <= 1) AS boxes_ok FROM a GROUP BY 1")
 def boxes_all_ok(spark, sf):
     """Whether all boxes of an item are within bounds."""
@@ -203,9 +200,9 @@ def crop_rows(spark, sf):
 @query("SELECT event_id, coalesce(json_extract_string(props, '$.mAP50')::DOUBLE, json_extract_string(props, '$.k')::DOUBLE, value, 0)::DOUBLE AS metric FROM events")
 def metric_fallbacks(spark, sf):
     """A metric by the first of its names that the result has, else the attribute, else 0."""
-    m = F.from_json("props", "map<string,string>")
-    found = F.coalesce(*[F.get(F.array(m[k]), F.lit(0)).try_cast("double") for k in ("mAP50", "k")], F.col("value"), F.lit(0.0))
-    return b.table(spark, sf, "events").select("event_id", found.alias("metric"))
+    e = b.table(spark, sf, "events").withColumn("value", F.coalesce("value", F.lit(0.0)))
+    found = config.first_of(F.from_json("props", "map<string,string>"), "mAP50", "k", default=None)
+    return e.select("event_id", F.coalesce(found, "value").alias("metric"))
 
 
 @query("SELECT event_id, CASE WHEN event_id % 300 < 64 THEN 3 WHEN event_id % 300 < 128 THEN 2 ELSE 1 END AS scale, (event_id % 300) * CASE WHEN event_id % 300 < 64 THEN 3 WHEN event_id % 300 < 128 THEN 2 ELSE 1 END AS height FROM events")

@@ -9,11 +9,11 @@ from pyspark.sql import functions as F
 
 from ..functions.images import drawn
 from ..operators import matching, quality, voting
-from ..sources import images, labels
+from ..sources import config, images, labels
 from ..streaming import votes as stream
 from . import bindings as b
 from .more_queries import NEAR_SQL, VOTES, _shared
-from .queries import ALL_ISSUES, CORNERS, OK, ORACLE, _cleaned, _parsed, query, shown
+from .queries import ALL_ISSUES, CORNERS, OK, ORACLE, QUERIES, _cleaned, _parsed, query, shown
 
 # greedy choices in order ------------------------------------------------------------------------
 
@@ -72,6 +72,12 @@ ORACLE["fallback_hashes"] = "SELECT doc_id, substr(md5(strlen(text)::VARCHAR::BL
 ORACLE["report_json"] = "WITH z AS (" + ORACLE["clean_report"] + """) SELECT '{' || string_agg('"' || split || '":{"total":' || total || ',"kept":' || kept || ',"flagged":' || flagged || ',"cleaning_rate":' || cleaning_rate || ',"issues_per_image":' || issues_per_image || ',"worst":"' || worst || '"}', ',' ORDER BY split) || '}' AS report FROM z"""
 
 
+@query("WITH z AS (" + ORACLE["clean_report"] + """) SELECT split AS section, unnest(['total', 'kept', 'flagged', 'worst']) AS stat, unnest([total::VARCHAR, kept::VARCHAR, flagged::VARCHAR, worst]) AS value FROM z""")
+def report_values(spark, sf):
+    """A JSON report, read back: section, stat, value."""
+    return config.tidy(QUERIES["report_json"](spark, sf), "report").where("stat IN ('total', 'kept', 'flagged', 'worst')")
+
+
 # cleaning by image ------------------------------------------------------------------------------
 
 @query(ALL_ISSUES + """, s2 AS (SELECT split, l, kept FROM k UNION ALL SELECT 'all', l, kept FROM k), u2 AS (SELECT split, unnest(l) AS issue FROM s2), c2 AS (SELECT split, issue, count(*) AS n FROM u2 GROUP BY ALL),

@@ -28,6 +28,17 @@ def query(sql: str | None = None):
     return add
 
 
+def run_each(spark: SparkSession, sf_dir: str, names: list[str]) -> dict[str, DataFrame | dict[str, str]]:
+    """Builds queries by name; one that fails gives its error and leaves the others alone."""
+    out: dict[str, DataFrame | dict[str, str]] = {}
+    for name in names:
+        try:
+            out[name] = QUERIES[name](spark, sf_dir)
+        except Exception as e:  # noqa: BLE001  whatever a module raises is its result
+            out[name] = {"error": f"{type(e).__name__}: {e}"}
+    return out
+
+
 def shown(df: DataFrame, digits: int = 6) -> DataFrame:
     """Doubles rounded, so that engines agree."""
     return df.select(*[F.round(c, digits).alias(c) if t == "double" else F.col(c) for c, t in df.dtypes])

@@ -2,6 +2,7 @@ import difflib
 import random
 import re
 
+import pytest
 from pyspark.sql import functions as F
 
 from tessera.functions import geometry as g
@@ -122,3 +123,51 @@ def test_fusion(spark):
     rows = [(1, 1, 0.0, 0.0, 10.0, 10.0, 3.0), (1, 2, 2.0, 0.0, 10.0, 10.0, 1.0), (1, 3, 50.0, 50.0, 60.0, 60.0, 2.0)]
     got = {r.head: r for r in matching.fuse(spark.createDataFrame(rows, "image_id bigint, box_id bigint, x1 double, y1 double, x2 double, y2 double, s double"), F.col("s")).collect()}
     assert got.keys() == {1, 3} and got[1].x1 == 0.5 and got[1].n == 2 and got[3].weight == 2.0
+
+
+def test_yaml():
+    from tessera.sources.config import parse_yaml
+
+    text = "# data\npath: data\ntrain: images/train\nnc: 1\nnames:\n  0: plate\nsizes: [640, 768]\nuse:\n  - a\n  - 'b c'\nnested:\n  deep:\n    lr: 0.01\n    on: true\nlast: ~\n"
+    assert parse_yaml(text) == {"path": "data", "train": "images/train", "nc": 1, "names": {"0": "plate"}, "sizes": [640, 768], "use": ["a", "b c"], "nested": {"deep": {"lr": 0.01, "on": True}}, "last": None}
+    assert parse_yaml('{"nc": 1}') == {"nc": 1} and parse_yaml("") == {}
+    with pytest.raises(ValueError):
+        parse_yaml("no key here")
+
+
+def test_methods_by_name():
+    from tessera.functions.hashing import by_method
+    from tessera.operators.matching import ensemble, fuse
+
+    assert ensemble("fusion") is fuse
+    for make in (by_method, ensemble):
+        with pytest.raises(ValueError):
+            make("other")
+
+
+def test_one_failing_query_leaves_the_others(spark):
+    from tessera.plans import queries
+
+    got = queries.run_each(spark, "/root/testdata/sf0.001", ["split_counts", "no such query"])
+    assert got["split_counts"].count() == 3 and got["no such query"]["error"].startswith("KeyError")
+
+
+def test_ranks_and_quantiles(spark):
+    import random
+
+    from tessera.operators import splits, stats
+
+    random.seed(3)
+    values = [(k % 3, random.choice([0.0, 1.5, random.random() * 100])) for k in range(900)] + [(7, 2.0)] * 5 + [(8, None)]
+    df = spark.createDataFrame(values, "metric int, value double")
+    got = {r.metric: r for r in stats.quantiles(df, "metric", {"a": 0.1, "b": 0.5, "c": 0.99}, buckets=16).collect()}
+    for k in (0, 1, 2, 7):
+        have = sorted(v for m, v in values if m == k)
+        for name, q in (("a", 0.1), ("b", 0.5), ("c", 0.99)):
+            at = (len(have) - 1) * q
+            want = have[int(at)] + (have[min(len(have) - 1, int(at) + 1)] - have[int(at)]) * (at - int(at))
+            assert abs(got[k][name] - want) < 1e-9
+    rows = splits.ranked_in_buckets(df.where("value IS NOT NULL").withColumn("bucket", F.floor(F.col("value") / 10)), ["value"], "bucket", ["metric"]).collect()
+    for k in (0, 1, 2, 7):
+        mine = sorted((r["rank"], r.value) for r in rows if r.metric == k)
+        assert [x for x, _ in mine] == list(range(1, len(mine) + 1)) and [v for _, v in mine] == sorted(v for _, v in mine) and all(r.n == len(mine) for r in rows if r.metric == k)
