@@ -21,27 +21,32 @@ def _counted(docs: DataFrame, columns: list[str]) -> DataFrame:
 
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Without the documents that the quality classifier rejects."""
+    """Without the documents that the quality classifier rejects. Null text counts as empty, null sources and
+    languages as groups of their own; rows without an id are judged, not learned from."""
     return keep_quality(docs, table(spark, sf_dir, "labels"))
 
 
 def lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """With each text less the blocks of lines that an earlier document has."""
+    """With each text less the blocks of lines that an earlier document has, null ids last. Every row stays;
+    null text stays null, and n_chars is then null too."""
     return _counted(dedup_lines(docs), docs.columns)
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of similar ones: that with the smallest id."""
+    """One document of each group of similar ones: that with the smallest id. Texts without words are one
+    group; a row without an id stays if nothing with one is like it; rows with the kept id stay all."""
     return keep_one(docs)
 
 
 def mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Sources mixed to their target weights: a row for each time that a document is taken."""
+    """Sources mixed to their target weights: a row for each time that a document is taken, in the order of the
+    schedule. Texts without words are never taken; null sources are one source, the last."""
     return _counted(mixed_documents(docs), docs.columns)
 
 
 def encoding(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Token ids of each row, their number, and digests of them and of what they decode to."""
+    """Token ids of each row, their number, and digests of them and of what they decode to. Null text counts
+    as empty; an empty table gives an empty result in every stage."""
     return encode_pieces(docs, ids=True, decoded=False)
 
 

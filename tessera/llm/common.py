@@ -9,6 +9,7 @@ import uuid
 from collections.abc import Callable, Iterator
 from functools import wraps
 
+from pyspark import SparkContext
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -48,8 +49,12 @@ def scratch(spark: SparkSession) -> str:
 
 
 def _drop(spark: SparkSession, path: str) -> None:
-    if spark.sparkContext._jsc is not None:  # a session that still runs
+    """At the driver's end, whether the session still runs or was stopped."""
+    if spark.sparkContext._jsc is not None:
         drop_path(spark, path)
+    elif (jvm := SparkContext._jvm) is not None:
+        where = jvm.org.apache.hadoop.fs.Path(path)
+        where.getFileSystem(jvm.org.apache.hadoop.conf.Configuration()).delete(where, True)
 
 
 def drop_path(spark: SparkSession, path: str) -> None:
@@ -57,8 +62,8 @@ def drop_path(spark: SparkSession, path: str) -> None:
     where.getFileSystem(spark._jsc.hadoopConfiguration()).delete(where, True)
 
 
-def written(df: DataFrame) -> DataFrame:
-    """df, computed once and read back from a table in the shared folder.
+def written_at(df: DataFrame) -> tuple[DataFrame, str]:
+    """df, computed once and read back from a table in the shared folder; and where that is.
 
     Unlike a cache it outlives lost executors, and unlike checkpoint() it runs the last
     stage once.
@@ -66,7 +71,11 @@ def written(df: DataFrame) -> DataFrame:
     spark = df.sparkSession
     path = f"{scratch(spark)}/{uuid.uuid4().hex}"
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    return spark.read.schema(df.schema).parquet(path), path
+
+
+def written(df: DataFrame) -> DataFrame:
+    return written_at(df)[0]
 
 
 def frugal(run: Callable[..., Iterator]) -> Callable[..., Iterator]:

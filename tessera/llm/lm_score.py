@@ -10,7 +10,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import drop_path, frugal, table, text_of, written
+from .common import drop_path, frugal, table, text_of, written, written_at
 
 #: Tokens of a shard, and requests that one bucket of counts takes, about.
 SHARD, BUCKET = 2_000_000, 4_000_000
@@ -300,27 +300,28 @@ def lm_scores(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -
 
     Texts are packed in shards of token places. A shard asks for the total count of each
     kind of word and bigram that it has once, in buckets by hash; a frequent word is one
-    request of each shard, so no key is hot. Only bounded histograms come to the driver; words
-    and bigrams go by 64-bit hashes.
+    request of each shard, so no key is hot. Only bounded histograms come to the driver. Words go
+    by 64-bit hashes. Of a bigram's hash its bucket (the top ``bits``, 8 at least) and the lowest 48 bits
+    go to be counted: 56 bits in all for the smallest inputs, more as the buckets grow with the input, so
+    that the chance of two bigrams counting as one stays small.
 
-    Null text counts as empty: an end only. Null ids count as the empty text for the split;
+    Ids must be whole numbers or text that reads as such. Null text counts as empty: an end only. Null ids count as the empty text for the split;
     repeated rows count each; other columns are ignored; an empty table gives an empty result.
     """
     spark = docs.sparkSession
     base = docs.select(F.col(id_col).cast("bigint").alias("id"), text_of(text_col).alias("text"))
-    shards = written(base.mapInArrow(frugal(_sharded), SHARDS))
+    shards, shards_path = written_at(base.mapInArrow(frugal(_sharded), SHARDS))
     n, total, texts = (int(x or 0) for x in shards.agg(F.sum("n"), F.sum("train"), F.sum("texts")).first())
     bits = min(20, max(8, (n // BUCKET).bit_length() + 2))
     asked = shards.mapInArrow(frugal(_requests(bits)), "kind int, bucket int, shard string, keys binary, counts binary")
     answers = asked.repartition("kind", "bucket").sortWithinPartitions("kind", "bucket").mapInArrow(frugal(_totals()), "kind int, bucket int, shard string, places binary, totals binary, size bigint, known bigint")
-    answers = written(answers)
+    answers, answers_path = written_at(answers)
     known = int(answers.where("kind = 0").agg(F.sum("known")).first()[0] or 0)
 
     rows = shards.select("shard", F.lit(-1).alias("kind"), F.lit(-1).alias("bucket"), "ids", "held", "lens", "tokens", "vocab").unionByName(answers.select("shard", "kind", "bucket", "places", "totals", "size"), allowMissingColumns=True)
     counted = written(rows.repartition("shard").sortWithinPartitions("shard", "kind", "bucket").mapInArrow(frugal(_counted), COUNTED))
-    for used in (shards, answers):
-        for path in {p.rsplit("/", 1)[0] for p in used.inputFiles()}:
-            drop_path(spark, path)
+    drop_path(spark, shards_path)
+    drop_path(spark, answers_path)
 
     cells = counted.mapInArrow(frugal(_deleted(total, texts, known)), "cell bigint, n bigint").groupBy("cell").agg(F.sum("n").alias("n")).collect()  # at most 64 * 128 * 128
     weights = interpolation_weights(np.array([r[0] for r in cells], np.int64), np.array([r[1] for r in cells], float))

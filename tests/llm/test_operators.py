@@ -709,3 +709,17 @@ def test_pipeline(spark):
     assert sizes[0] < 200 and sizes[1] == sizes[0] and sizes[2] < sizes[1]
     ids = sorted((r.doc_id, r.ids_sha256) for r in corpus_pipeline.STAGES[-1][1](spark, docs, SF).collect())
     assert ids == sorted((r.doc_id, r.ids_sha256) for r in corpus_pipeline.run(spark, SF).collect())
+
+
+def test_pipeline_awkward_rows(spark):
+    import corpus_pipeline
+
+    for docs in (documents(spark), empty(spark)):
+        rows_ = docs.count()
+        for k, (name, stage) in enumerate(corpus_pipeline.STAGES):
+            out = stage(spark, docs, SF)
+            if k < 4:
+                assert out.columns == docs.columns, name
+            n = written(out).count()
+            assert n == rows_ if name in ("lines", "encoding") else n <= 2 * rows_
+            assert rows_ == 0 or n > 0, name
