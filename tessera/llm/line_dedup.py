@@ -16,6 +16,8 @@ from .common import frugal, table, text_of, written
 MIN_WORDS = 25
 #: Documents that have a rare line at most, and words of shared rare lines that make two documents a pair.
 RARE, LINK_WORDS = 10, 8
+#: Pairs of one first document that a task gets, about.
+DEAL = 256
 KEY = "struct<none:boolean,id:bigint,sign:bigint>"
 
 
@@ -156,8 +158,8 @@ def dropped_lines(docs: DataFrame, min_words: int = MIN_WORDS, id_col: str = "do
     Documents are paired by the hashes of their runs of lines with min_words words or more, which
     recur by copying only, however many documents have them, and by those of single lines that
     at most RARE documents have, if the pair's have LINK_WORDS words together. Each hash links its
-    documents to the first that has it; so a passage in n documents makes n - 1 pairs. Only line
-    hashes go to the pairs. From a pair go blocks of min_words words, and rare lines of any length.
+    documents to the first that has it; so a passage in n documents makes n - 1 pairs, and a document
+    that is first for many is dealt over parts. Only line hashes go to the pairs. From a pair go blocks of min_words words, and rare lines of any length.
     """
     names = ["key", "hashes", "words", "at", "runs"]
 
@@ -183,12 +185,18 @@ def dropped_lines(docs: DataFrame, min_words: int = MIN_WORDS, id_col: str = "do
     runs = lines.select("key", F.explode("runs").alias("hash"), F.lit(LINK_WORDS).alias("n"), F.lit(False).alias("line"))
     short = lines.select("key", F.explode(F.array_distinct(F.arrays_zip("hashes", "words"))).alias("l")).select("key", F.col("l.hashes").alias("hash"), F.col("l.words").alias("n"), F.lit(True).alias("line"))
     marks = runs.unionByName(short.where(F.col("n") < min_words))
-    first = marks.groupBy("hash", "line").agg(F.min("key").alias("first"), F.count("*").alias("docs")).where((F.col("docs") > 1) & (~F.col("line") | (F.col("docs") <= RARE))).drop("docs")
+    first = marks.groupBy("hash", "line").agg(F.min("key").alias("first"), F.count("*").alias("docs")).where((F.col("docs") > 1) & (~F.col("line") | (F.col("docs") <= RARE)))
     shared = marks.join(first, ["hash", "line"]).where("key > first")
-    shared = written(shared.groupBy("key", "first").agg(F.sum("n").alias("n"), F.collect_list(F.when(F.col("line"), F.col("hash"))).alias("rare")))
+    shared = shared.groupBy("key", "first").agg(F.sum("n").alias("n"), F.collect_list(F.when(F.col("line"), F.col("hash"))).alias("rare"), F.max("docs").alias("docs"))
+    # a document that is the first for many is dealt over a power of two of parts, by how many share a hash of its
+    parts = F.when(F.col("docs") > DEAL, F.length(F.bin(F.floor((F.col("docs") - 1) / DEAL)))).otherwise(0)
+    shared = written(shared.withColumn("parts", F.call_function("shiftleft", F.lit(1).cast("bigint"), parts)).drop("docs"))
     rare = shared.groupBy("key").agg(F.flatten(F.collect_list("rare")).alias("rare"))
-    pairs = shared.where(F.col("n") >= LINK_WORDS).select("key", "first").join(rare, "key").join(lines.select("key", "hashes", "words", "at"), "key")
-    pairs = pairs.join(lines.select(F.col("key").alias("first"), F.col("hashes").alias("other")), "first").select("key", "hashes", "words", "at", "rare", "other")
+    linked = shared.where(F.col("n") >= LINK_WORDS)
+    pairs = linked.select("key", "first", "parts", F.pmod(F.xxhash64("key"), "parts").alias("part")).join(rare, "key").join(lines.select("key", "hashes", "words", "at"), "key")
+    firsts = linked.select("first", "parts").distinct().withColumn("part", F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("parts") - 1)))
+    others = firsts.join(lines.select(F.col("key").alias("first"), F.col("hashes").alias("other")), "first")
+    pairs = pairs.join(others, ["first", "parts", "part"]).select("key", "hashes", "words", "at", "rare", "other")
     gone = pairs.mapInArrow(frugal(align), f"key {KEY}, lines array<int>").select("key", F.explode("lines").alias("line"))
     return gone.groupBy("key").agg(F.collect_set("line").alias("lines"))
 

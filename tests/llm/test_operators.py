@@ -673,6 +673,15 @@ def test_line_dedup_against_all_pairs(spark, small):
         assert sum(len(x.split()) for x in left) < 25
 
 
+@pytest.mark.parametrize("deal", [1, 7])
+def test_a_first_document_of_many(spark, monkeypatch, deal):
+    monkeypatch.setattr(line_dedup, "DEAL", deal)
+    docs = [(k, f"own line of number {k}\n" + passage(1) + "\n" + (passage(2) if k % 3 else "")) for k in range(60)]
+    got = {r.doc_id: r.text.strip("\n") for r in line_dedup.dedup_lines(spark.createDataFrame(docs, "doc_id bigint, text string")).collect()}
+    first = {0: docs[0][1].strip("\n"), 1: "own line of number 1\n" + passage(2)}
+    assert got == {k: first.get(k, f"own line of number {k}") for k in range(60)}
+
+
 def test_line_dedup_many_repeats_and_long_words(spark):
     import time
 
