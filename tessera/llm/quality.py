@@ -7,12 +7,12 @@ from collections.abc import Iterator
 from operator import eq
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType
 
-from .common import table, text_of, written
+from .common import frugal, table, text_of, written
 
 FEATURES = ("upper", "marks", "symbols", "pipes", "digits", "repeats", "distinct", "lines", "length", "word_length", "lexical")
 SURFACE = len(FEATURES) - 1
@@ -24,53 +24,53 @@ SAMPLE = 20_000
 WORDS, PRIOR = 2**14, 2.0
 
 
-def word_hashes(words: list[bytes]) -> list[int]:
-    return list({zlib.crc32(w.lower()) % WORDS for w in set(words)})
-
-
-def features_of(text: str) -> list[float]:
-    """The surface FEATURES of a text: shares by word or letter, and logs of lengths. All 0 without words."""
+def read(text: str) -> tuple[list[float], np.ndarray]:
+    """The surface FEATURES of a text, shares by word or letter and logs of lengths, all 0 without words;
+    and the hashes of its distinct words, a number below WORDS for each."""
     raw = text.encode(errors="surrogatepass")
     words = raw.split()
     n = len(words)
     if not n:
-        return [0.0] * SURFACE
+        return [0.0] * SURFACE, np.zeros(0, np.uint32)
+    distinct = set(words)
     count = lambda chars: len(raw) - len(raw.translate(None, chars))
     lines = [x for x in raw.split(b"\n") if x.strip()]
-    return [
+    found = [
         count(_UPPER) / len(raw),
         count(b"!?") / n,
         count(_SYMBOLS) / n,
         count(b"|\t") / n,
         count(b"0123456789") / len(raw),
         sum(map(eq, words, words[1:])) / n,
-        np.log(len(set(words))) / np.log(n + 1),
+        np.log(len(distinct)) / np.log(n + 1),
         len(set(lines)) / len(lines),
         np.log(n),
         (len(raw) - n) / n,
     ]
+    return found, np.fromiter(map(zlib.crc32, distinct), np.uint32, len(distinct)) % WORDS
 
 
-def lexical_weights(rows: list[list[int]], y: np.ndarray) -> np.ndarray:
+def lexical_weights(rows: list[np.ndarray], y: np.ndarray) -> np.ndarray:
     """Of each word hash: the log ratio of its shares of good and of bad documents, with PRIOR in each."""
     n = np.full((2, WORDS), PRIOR)
     for words, good in zip(rows, y, strict=True):
-        n[int(good), words] += 1
+        n[int(good), words] += 1  # once a document
     total = np.array([(y == k).sum() for k in (0, 1)]) + 2 * PRIOR
     return np.log(n[1] / total[1]) - np.log(n[0] / total[0])
 
 
-def lexical(weights: np.ndarray, words: list[int]) -> float:
-    """The mean weight of a document's word hashes, 0 without words."""
-    return float(weights[words].mean()) if words else 0.0
+def lexical(weights: np.ndarray, words: np.ndarray) -> float:
+    """The mean weight of a document's words, 0 without words."""
+    return float(weights[words].mean()) if len(words) else 0.0
 
 
-def evidence(batches: Iterator[tuple]) -> Iterator[pd.DataFrame]:
-    """surface features and word hashes of (quality, text)."""
+def evidence(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """quality, surface features and word hashes (two bytes each) of (quality, text)."""
     for batch in batches:
         for at in range(0, len(batch), 256):
-            part = batch.iloc[at : at + 256]
-            yield pd.DataFrame({"quality": part["quality"], "feats": [features_of(t) for t in part["text"]], "words": [word_hashes(t.encode(errors="surrogatepass").split()) for t in part["text"]]})
+            part = batch.slice(at, 256)
+            found = [read(t) for t in part.column(1).to_pylist()]
+            yield pa.RecordBatch.from_arrays([part.column(0), pa.array([x for x, _ in found], pa.list_(pa.float64())), pa.array([w.astype(np.uint16).tobytes() for _, w in found], pa.binary())], ["quality", "feats", "words"])
 
 
 class Model:
@@ -80,7 +80,7 @@ class Model:
     regression sees what it is worth for documents that the weights do not know.
     """
 
-    def __init__(self, x: np.ndarray, words: list[list[int]], y: np.ndarray, ridge: float = 1.0, rounds: int = 30):
+    def __init__(self, x: np.ndarray, words: list[np.ndarray], y: np.ndarray, ridge: float = 1.0, rounds: int = 30):
         self.words = lexical_weights(words, y)
         size = len(FEATURES) + SURFACE
         self.weights, self.mean, self.scale = np.zeros(size + 1), np.zeros(size), np.ones(size)
@@ -107,17 +107,20 @@ class Model:
         """The log odds of good quality of each text, within -12 and 12."""
         by_word, mean, scale, weights = self.words, self.mean, self.scale, self.weights
 
-        @F.pandas_udf(DoubleType())
-        def run(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        def odds(text: str) -> float:
+            x, words = read(text)
+            z = np.array([*x, lexical(by_word, words), *np.sqrt(np.abs(x))])
+            return float(min(12.0, max(-12.0, ((z - mean) / scale) @ weights[:-1] + weights[-1])))
+
+        def run(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
             for texts in batches:
-                out = []
-                for t in texts:
-                    x = features_of(t)
-                    z = np.array([*x, lexical(by_word, word_hashes(t.encode(errors="surrogatepass").split())), *np.sqrt(np.abs(x))])
-                    out.append(float(np.clip(((z - mean) / scale) @ weights[:-1] + weights[-1], -12, 12)))
-                yield pd.Series(out, dtype=float)
+                yield pa.concat_arrays([pa.array([odds(t) for t in texts.slice(at, 256).to_pylist()], pa.float64()) for at in range(0, max(1, len(texts)), 256)])
+
+        @F.arrow_udf(DoubleType())
+        def scores(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+            yield from frugal(run)(batches)
 
-        return run(text)
+        return scores(text)
 
 
 def _logit(p: Column) -> Column:
@@ -150,9 +153,11 @@ def fit(docs: DataFrame, labels: DataFrame, host: Column, path: Column, sample:
     marks = marks.withColumn("at", F.pmod(F.xxhash64("id"), F.lit(2**31)))
     marks = marks.where(F.col("at") < int(2**31 * min(1.0, sample / max(1, n))))
     known = docs.select(F.col(id_col).alias("id"), text_of(text_col).alias("text")).join(marks, "id").select("quality", "text")
-    rows = known.mapInPandas(evidence, "quality int, feats array<double>, words array<int>").collect()  # about ``sample``
-    rows.sort(key=lambda r: (r["quality"], r["feats"], r["words"]))  # reruns agree, and halves have both kinds
-    model = Model(np.array([r["feats"] for r in rows]), [r["words"] for r in rows], np.array([r["quality"] > 0 for r in rows], float))
+    known = known.mapInArrow(frugal(evidence), "quality int, feats array<double>, words binary").toArrow()  # about ``sample``
+    x = np.array(known["feats"].combine_chunks().flatten() if len(known) else [], float).reshape(len(known), SURFACE)
+    y, raw = np.array(known["quality"].to_pylist(), float) > 0, known["words"].to_pylist()
+    order = sorted(range(len(raw)), key=lambda i: (y[i], x[i].tobytes(), raw[i]))  # reruns agree, and halves have both kinds
+    model = Model(x[order], [np.frombuffer(raw[i], np.uint16) for i in order], y[order].astype(float))
     facts = docs.select(F.col(id_col).alias("id"), F.coalesce(host, F.lit("")).alias("host"), F.coalesce(path, F.lit("")).alias("path"), model.log_odds(text_of(text_col)).alias("log_odds"))
     facts = written(facts)
     p = 1 / (1 + F.exp(-F.col("log_odds")))
