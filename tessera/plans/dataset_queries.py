@@ -290,14 +290,14 @@ def ensemble_bench(spark, sf):
 
 
 @query("""SELECT o_custkey AS study, count(*) AS trials, first(o_orderkey ORDER BY o_totalprice DESC, o_orderkey) AS best_trial, first(o_orderpriority ORDER BY o_totalprice DESC, o_orderkey) AS best_params,
-array_to_string(list(round(o_totalprice, 2)::VARCHAR ORDER BY o_orderkey), ',') AS convergence, round(max(0.5 * (o_totalprice / 1000) + 0.3 * (o_totalprice / 2000) + 0.1 * (o_orderkey % 10 / 10.0) + 0.1 * (o_orderkey % 7 / 7.0)), 6) AS fitness FROM orders GROUP BY o_custkey""")
+array_to_string(list(round(o_totalprice, 2)::VARCHAR ORDER BY o_orderkey), ',') AS convergence, round(max(0.5 * (o_totalprice / 1000) + 0.3 * (o_totalprice / 2000) + 0.1 * (o_orderkey % 10 / 10.0) + 0.1 * (o_orderkey % 7 / 7.0)), 9) AS fitness FROM orders GROUP BY o_custkey""")
 def study_best(spark, sf):
     """Best trial, its parameters, the scores in order, and the best weighted fitness of each study."""
     p, k = F.col("o_totalprice"), F.col("o_orderkey")
     best = F.struct(-p, k)
     scores = F.transform(F.array_sort(F.collect_list(F.struct(k.alias("k"), F.round(p, 2).alias("p")))), lambda x: x["p"].cast("string"))
     fitness = 0.5 * (p / 1000) + 0.3 * (p / 2000) + 0.1 * (k % 10 / 10.0) + 0.1 * (k % 7 / 7.0)
-    return b.table(spark, sf, "orders").groupBy(F.col("o_custkey").alias("study")).agg(F.count("*").alias("trials"), F.min_by(k, best).alias("best_trial"), F.min_by("o_orderpriority", best).alias("best_params"), F.array_join(scores, ",").alias("convergence"), F.round(F.max(fitness), 6).alias("fitness"))
+    return b.table(spark, sf, "orders").groupBy(F.col("o_custkey").alias("study")).agg(F.count("*").alias("trials"), F.min_by(k, best).alias("best_trial"), F.min_by("o_orderpriority", best).alias("best_params"), F.array_join(scores, ",").alias("convergence"), F.round(F.max(fitness), 9).alias("fitness"))
 
 
 @query("SELECT count(DISTINCT regexp_replace('scene' || conv_id || '_aug_' || turn, '_aug(_\\d+)?$', '')) AS scenes, count(*) AS files FROM conversations")
