@@ -19,6 +19,10 @@ WS = " \t\n\x0b\x0c\r"
 WORD = r"[^\x20\x09-\x0D]+"
 
 _scratch: dict[str, str] = {}
+#: Bytes of a batch between the JVM and Python workers: Spark's own limit, and the one that this subpackage
+#: puts in its place. A task holds a batch on both sides, with room to grow, beside the heap.
+BATCH = "spark.sql.execution.arrow.maxBytesPerBatch"
+SPARK_BYTES, LESS_BYTES = "67108864b", "8388608b"
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -34,10 +38,13 @@ def scratch(spark: SparkSession) -> str:
     """A folder of this session below spark.checkpoint.dir, which driver and executors share.
 
     Where the setting is absent (tests, a single machine) a temporary folder serves.
-    The folder goes when the driver's process ends.
+    The folder goes when the driver's process ends. With the first call the session gets the smaller
+    batches of LESS_BYTES, unless it has a limit of its own.
     """
     app = spark.sparkContext.applicationId
     if app not in _scratch:
+        if spark.conf.get(BATCH, None) == SPARK_BYTES:
+            spark.conf.set(BATCH, LESS_BYTES)
         base = spark.conf.get("spark.checkpoint.dir", None)
         if not base:
             if not spark.sparkContext.master.startswith("local"):
