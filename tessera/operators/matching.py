@@ -2,12 +2,25 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable, Iterator
+from functools import reduce
+from math import ceil, log2
+
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window as W
 from pyspark.sql import functions as F
 
 from ..functions import geometry as g
+from ..sources.scratch import written
 
 CORNERS = ("x1", "y1", "x2", "y2")
+#: Pairs of one image up to which one task decides them in order; images with more are decided in rounds first.
+MOST_PAIRS = 200_000
+Keys = str | list[str]
+
+
+def _names(key: Keys) -> list[str]:
+    return [key] if isinstance(key, str) else [*key]
 
 
 def box(prefix: str = "") -> g.Box:
@@ -22,33 +35,143 @@ def pairs(gt: DataFrame, det: DataFrame, key: str = "image_id") -> DataFrame:
     return a.join(b, key).select(key, "gt_idx", "det_idx", "conf", g.iou(box("g"), box("d")).alias("iou"))
 
 
-def greedy(pairs: DataFrame, least: float = 0.5, key: str = "image_id") -> DataFrame:
+def close(a: DataFrame, b: DataFrame, least: float, key: Keys = "image_id") -> DataFrame:
+    """Rows of a and b in one image whose boxes have an IoU of least (over 0) or more: a's columns, b's with o_ before
+    their names, and iou.
+
+    A join on cells of a grid, not of all with all. A box lies in the cells that it touches of the grid as coarse as its
+    longer side, at most four, and of those as much coarser as the other box can be larger: sides of such a pair differ
+    by the factor 1 / least at most. A pair meets on the coarser of its two grids, in the one cell that has the upper left
+    corner of what both share. Boxes without area, or with a null, have no pairs.
+    """
+    keys, up = _names(key), ceil(log2(1 / least) + 1e-9)
+
+    def celled(df: DataFrame) -> DataFrame:
+        side = F.greatest(F.col("x2") - F.col("x1"), F.col("y2") - F.col("y1"))
+        df = df.where((F.col("x2") > F.col("x1")) & (F.col("y2") > F.col("y1"))).withColumn("__level", F.ceil(F.log2(side)).cast("int"))
+        df = df.withColumn("__grid", F.explode(F.sequence("__level", F.col("__level") + up))).withColumn("__size", F.pow(F.lit(2.0), F.col("__grid")))
+        at = lambda c: F.floor(F.col(c) / F.col("__size")).cast("long")
+        return df.withColumn("__cx", F.explode(F.sequence(at("x1"), at("x2")))).withColumn("__cy", F.explode(F.sequence(at("y1"), at("y2"))))
+
+    cell = ["__grid", "__cx", "__cy"]
+    right = celled(b)
+    right = right.select(*keys, *cell, *[F.col(c).alias(f"o_{c}") for c in right.columns if c not in (*keys, *cell, "__size")])
+    corner = lambda n, i: F.floor(F.greatest(n, f"o_{n}") / F.col("__size")) == F.col(i)
+    met = celled(a).join(right, [*keys, *cell]).where((F.col("__grid") == F.greatest("__level", "o___level")) & corner("x1", "__cx") & corner("y1", "__cy"))
+    met = met.withColumn("iou", g.iou(box(), box("o_"))).where(F.col("iou") >= least)
+    return met.drop(*cell, "__size", "__level", "o___level")
+
+
+def close_pairs(gt: DataFrame, det: DataFrame, least: float = 0.5, key: Keys = "image_id") -> DataFrame:
+    """What pairs() has with an IoU of least or more, without making the others."""
+    keys = _names(key)
+    return close(gt.select(*keys, "gt_idx", *CORNERS), det.select(*keys, "det_idx", "conf", *CORNERS), least, key).select(*keys, "gt_idx", F.col("o_det_idx").alias("det_idx"), F.col("o_conf").alias("conf"), "iou")
+
+
+def _in_order(rows: DataFrame, keys: list[str], order: list[Column | str], decide: Callable[[], Callable[[dict], bool]], out: list[str]) -> DataFrame:
+    """Of each image's rows in order, those that decide()(row) takes; a new decide() for each image. Rows stream by, so a
+    task holds what the decisions of one image need."""
+    kept = rows.select(*out).schema
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        last, takes = None, None
+        for batch in batches:
+            mask = []
+            for row in batch.to_pylist():
+                if (image := [row[k] for k in keys]) != last:
+                    last, takes = image, decide()
+                mask.append(takes(row))
+            yield batch.filter(pa.array(mask, pa.bool_())).select(out)
+
+    return rows.repartition(*keys).sortWithinPartitions(*keys, *order).mapInArrow(run, kept)
+
+
+def _settled(rows: DataFrame, keys: list[str], at_once: Callable[[DataFrame], DataFrame], one_round: Callable[[DataFrame], tuple[DataFrame, DataFrame]]) -> DataFrame:
+    """at_once for images of MOST_PAIRS rows at most; the others in rounds (decided, rest) until the rest is as small."""
+    rows, done = written(rows), []
+    while True:
+        many = rows.groupBy(*keys).agg(F.count("*").alias("n")).where(F.col("n") > MOST_PAIRS).select(*keys)
+        if many.isEmpty():
+            return reduce(DataFrame.unionByName, [*done, at_once(rows)])
+        done.append(at_once(rows.join(many, keys, "left_anti")))
+        decided, rest = one_round(rows.join(many, keys, "left_semi"))
+        decided = written(decided)
+        done.append(decided)
+        rows = written(rest(decided) if callable(rest) else rest)
+
+
+def greedy(pairs: DataFrame, least: float = 0.5, key: Keys = "image_id") -> DataFrame:
     """One-to-one matches per image (gt_idx, det_idx, iou): pairs by falling IoU, ties by gt_idx, then
-    det_idx, each taken if both sides are still free. One image's pairs are folded in one row."""
-    order = F.sort_array(F.collect_list(F.struct((-F.col("iou")).alias("k"), "gt_idx", "det_idx", "iou")))
-    rows = pairs.where(F.col("iou") >= least).groupBy(key).agg(order.alias("p"))
-    kind = "array<struct<gt_idx:bigint,det_idx:bigint,iou:double>>"
-    item = lambda x: F.array(F.struct(x["gt_idx"].cast("long").alias("gt_idx"), x["det_idx"].cast("long").alias("det_idx"), x["iou"].alias("iou")))
-    taken = F.aggregate("p", F.array().cast(kind), lambda acc, x: F.when(F.exists(acc, lambda m: (m["gt_idx"] == x["gt_idx"]) | (m["det_idx"] == x["det_idx"])), acc).otherwise(F.concat(acc, item(x))))
-    return rows.select(key, F.explode(taken).alias("m")).select(key, "m.*")
+    det_idx, each taken if both sides are still free.
+
+    An image's pairs go through one task in order. Where they are many, rounds come first: a pair that is the best of
+    both its sides is taken, and all others of the two go.
+    """
+    keys, out = _names(key), [*_names(key), "gt_idx", "det_idx", "iou"]
 
+    def decide() -> Callable[[dict], bool]:
+        taken: tuple[set, set] = (set(), set())
 
-def suppress(boxes: DataFrame, least: float = 0.9, key: str = "image_id", idx: str = "box_id", score: Column | None = None) -> DataFrame:
-    """Rows that no kept row of their image with a higher score (ties: smaller idx) overlaps by least."""
-    order = F.sort_array(F.collect_list(F.struct((-(score if score is not None else F.lit(1.0))).alias("k"), F.col(idx).alias("i"), *CORNERS)))
-    rows = boxes.groupBy(key).agg(order.alias("b"))
-    corners = lambda s: tuple(s[c] for c in CORNERS)
-    kept = F.aggregate("b", F.slice("b", 1, 0), lambda acc, x: F.when(F.exists(acc, lambda m: g.iou(corners(m), corners(x)) >= least), acc).otherwise(F.concat(acc, F.array(x))))
-    return rows.select(key, F.explode(kept).alias("m")).select(key, F.col("m.i").alias(idx))
+        def takes(row: dict) -> bool:
+            free = row["gt_idx"] not in taken[0] and row["det_idx"] not in taken[1]
+            if free:
+                taken[0].add(row["gt_idx"])
+                taken[1].add(row["det_idx"])
+            return free
+
+        return takes
+
+    def one_round(rows: DataFrame):
+        best = F.min(F.struct((-F.col("iou")).alias("k"), "gt_idx", "det_idx")).alias("o")
+        of = lambda side: rows.groupBy(*keys, side).agg(best).select(*keys, "o.*")
+        mutual = of("gt_idx").join(of("det_idx"), [*keys, "k", "gt_idx", "det_idx"]).select(*keys, "gt_idx", "det_idx", (-F.col("k")).alias("iou"))
+        return mutual, lambda m: rows.join(m.select(*keys, "gt_idx"), [*keys, "gt_idx"], "left_anti").join(m.select(*keys, "det_idx"), [*keys, "det_idx"], "left_anti").select(*out)
+
+    rows = pairs.where(F.col("iou") >= least).select(*out)
+    return _settled(rows, keys, lambda r: _in_order(r, keys, [F.desc("iou"), "gt_idx", "det_idx"], decide, out), one_round)
+
+
+def suppress(boxes: DataFrame, least: float = 0.9, key: Keys = "image_id", idx: str = "box_id", score: Column | None = None) -> DataFrame:
+    """Rows that no kept row of their image with a higher score (ties: smaller idx) overlaps by least.
+
+    Only overlapping pairs are looked at. An image's go through one task in order; where they are many, rounds come
+    first: what nothing earlier overlaps is kept, and what it overlaps goes.
+    """
+    keys = _names(key)
+    each = boxes.select(*keys, F.struct((-(score if score is not None else F.lit(1.0))).alias("k"), F.col(idx).alias("i")).alias("at"), *CORNERS)
+    # a pair: the row at comes before the row o_at
+    edges = close(each, each, least, key).where("at < o_at").select(*keys, "at", "o_at")
+
+    def decide() -> Callable[[dict], bool]:
+        gone: set = set()
+
+        def goes(row: dict) -> bool:
+            at, other = ((r["k"], r["i"]) for r in (row["at"], row["o_at"]))
+            new = at not in gone and other not in gone
+            if new:
+                gone.add(other)
+            return new
+
+        return goes
+
+    def one_round(rows: DataFrame):
+        heads = rows.select(*keys, "at").distinct().join(rows.select(*keys, F.col("o_at").alias("at")).distinct(), [*keys, "at"], "left_anti")
+        new = rows.join(heads, [*keys, "at"], "left_semi").select(*keys, "o_at").distinct()
+        out = lambda n: rows.join(n, [*keys, "o_at"], "left_anti").join(n.select(*keys, F.col("o_at").alias("at")), [*keys, "at"], "left_anti").select(*keys, "at", "o_at")
+        return new, out
+
+    at_once = lambda r: _in_order(r, keys, ["o_at", "at"], decide, [*keys, "o_at"])
+    gone = _settled(edges, keys, at_once, one_round).select(*keys, F.col("o_at.i").alias(idx))
+    return boxes.select(*keys, idx).join(gone, [*keys, idx], "left_anti")
 
 
 def fuse(boxes: DataFrame, weight: Column, least: float = 0.5, key: str = "image_id", idx: str = "box_id") -> DataFrame:
     """Weighted fusion: each box joins the first kept box (by weight, as suppress keeps them) that it
     overlaps by least; a cluster becomes the weighted mean of its corners, with n and summed weight."""
-    boxes = boxes.withColumn("weight", weight)
-    heads = boxes.join(suppress(boxes, least, key, idx, F.col("weight")), [key, idx]).select(key, F.col(idx).alias("head"), F.col("weight").alias("hw"), *[F.col(c).alias(f"h{c}") for c in CORNERS])
-    near = boxes.join(heads, key).where(g.iou(box(), box("h")) >= least)
-    own = near.groupBy(key, idx, "weight", *CORNERS).agg(F.min_by("head", F.struct(-F.col("hw"), "head")).alias("head"))
+    boxes = boxes.withColumn("weight", weight).select(key, idx, "weight", *CORNERS)
+    heads = boxes.join(suppress(boxes, least, key, idx, F.col("weight")), [key, idx])
+    near = close(boxes, heads, least, key).groupBy(key, idx).agg(F.min_by(f"o_{idx}", F.struct(-F.col("o_weight"), f"o_{idx}")).alias("head"))
+    own = boxes.join(near, [key, idx], "left").withColumn("head", F.coalesce("head", idx))  # a box without area heads itself
     mean = [(F.sum(F.col(c) * F.col("weight")) / F.sum("weight")).alias(c) for c in CORNERS]
     return own.groupBy(key, "head").agg(*mean, F.count("*").alias("n"), F.sum("weight").alias("weight"))
 
@@ -84,26 +207,50 @@ def top(rows: DataFrame, by: Column, k: int, *ties: str) -> DataFrame:
     return rows.orderBy(by, *ties).limit(k)
 
 
-def average_precision(det: DataFrame, matches: DataFrame, truth: DataFrame, key: str = "image_id", buckets: int = 4096) -> DataFrame:
-    """Precision and recall after each detection by falling confidence, and the precision envelope.
+def average_precision(det: DataFrame, matches: DataFrame, truth: DataFrame, key: Keys = "image_id", by: Keys = (), buckets: int = 4096) -> DataFrame:
+    """Precision and recall after each detection by falling confidence, the precision envelope, and whether it is a hit;
+    for each of ``by`` apart, columns that all three inputs have.
 
     Detections are dealt by ranges of confidence (0 to 1). Ranks, hits and the envelope are worked out
     inside each, with what comes before or after it from one row a range; so no task has all.
     """
-    hit = det.join(matches.select(key, "det_idx", F.lit(1).alias("hit")), [key, "det_idx"], "left").withColumn("hit", F.coalesce("hit", F.lit(0)))
-    hit = hit.withColumn("range", -F.floor(F.col("conf") * buckets))
-    inside, ranges = W.partitionBy("range").orderBy(F.desc("conf"), key, "det_idx"), W.partitionBy("one").orderBy("range")
+    keys, by = _names(key), _names(by)
+    hit = det.join(matches.select(*by, *keys, "det_idx", F.lit(1).alias("hit")), [*by, *keys, "det_idx"], "left").withColumn("hit", F.coalesce("hit", F.lit(0)))
+    hit = hit.withColumn("range", -F.floor(F.col("conf") * buckets)).withColumn("one", F.lit(1))
+    group = [*by, "one"]
+    inside, ranges = W.partitionBy(*group, "range").orderBy(F.desc("conf"), *keys, "det_idx"), W.partitionBy(*group).orderBy("range")
     upto = inside.rowsBetween(W.unboundedPreceding, 0)
-    hit = hit.select("range", "conf", key, "det_idx", F.sum("hit").over(upto).alias("tp"), F.row_number().over(inside).alias("rank"))
-    one = F.lit(1).alias("one")
-    sums = hit.groupBy("range").agg(F.max("tp").alias("tp"), F.max("rank").alias("n")).select("*", one)
+    hit = hit.select(*group, "range", "hit", F.sum("hit").over(upto).alias("tp"), F.row_number().over(inside).alias("rank"))
+    sums = hit.groupBy(*group, "range").agg(F.max("tp").alias("tp"), F.max("rank").alias("n"))
     before = ranges.rowsBetween(W.unboundedPreceding, -1)
-    sums = sums.select("range", "one", *[F.coalesce(F.sum(c).over(before), F.lit(0)).alias(f"{c}_before") for c in ("tp", "n")])
-    all_truth = truth.agg(F.greatest(F.count("*"), F.lit(1)).alias("truth")).select("*", one)
-    pr = hit.join(sums.join(all_truth, "one"), "range")
+    sums = sums.select(*group, "range", *[F.coalesce(F.sum(c).over(before), F.lit(0)).alias(f"{c}_before") for c in ("tp", "n")])
+    all_truth = truth.withColumn("one", F.lit(1)).groupBy(*group).agg(F.count("*").alias("truth"))
+    pr = hit.join(sums.join(all_truth, group, "left").withColumn("truth", F.coalesce("truth", F.lit(1))), [*group, "range"])
     pr = pr.withColumn("tp", F.col("tp") + F.col("tp_before")).withColumn("rank", F.col("rank") + F.col("n_before"))
-    pr = pr.select("range", "one", "rank", (F.col("tp") / F.col("rank")).alias("precision"), (F.col("tp") / F.col("truth")).alias("recall"))
-    best = pr.groupBy("range", "one").agg(F.max("precision").alias("best"))
-    best = best.select("range", F.max("best").over(ranges.rowsBetween(1, W.unboundedFollowing)).alias("later"))
-    envelope = F.max("precision").over(W.partitionBy("range").orderBy("rank").rowsBetween(0, W.unboundedFollowing))
-    return pr.withColumn("envelope", envelope).join(best, "range").select("rank", "precision", "recall", F.greatest("envelope", "later").alias("envelope"))
+    pr = pr.select(*group, "range", "hit", "rank", (F.col("tp") / F.col("rank")).alias("precision"), (F.col("tp") / F.col("truth")).alias("recall"))
+    best = pr.groupBy(*group, "range").agg(F.max("precision").alias("best"))
+    best = best.select(*group, "range", F.max("best").over(ranges.rowsBetween(1, W.unboundedFollowing)).alias("later"))
+    envelope = F.max("precision").over(W.partitionBy(*group, "range").orderBy("rank").rowsBetween(0, W.unboundedFollowing))
+    return pr.withColumn("envelope", envelope).join(best, [*group, "range"]).select(*by, "rank", "precision", "recall", F.greatest("envelope", "later").alias("envelope"), "hit")
+
+
+#: The IoU thresholds that mean average precision is over.
+THRESHOLDS = tuple(round(0.5 + 0.05 * k, 2) for k in range(10))
+
+
+def mean_average_precision(gt: DataFrame, det: DataFrame, key: str = "image_id", class_id: str = "class_id", thresholds: tuple[float, ...] = THRESHOLDS) -> DataFrame:
+    """Average precision of every class at each threshold: class, iou_threshold, truth, ap.
+
+    ap is the area under the precision envelope over recall, which rises by 1 / truth with each hit. Detections match
+    ground truth of their class and image, greedily by IoU, at all thresholds in one pass: a pair goes to each threshold
+    that it reaches, and is matched there on its own. A class without ground truth has no ap; one without detections has 0.
+    """
+    pairs = close_pairs(gt, det, min(thresholds), [key, class_id])
+    at = F.explode(F.filter(F.array(*[F.lit(t) for t in thresholds]), lambda t: t <= F.col("iou")))
+    matches = greedy(pairs.withColumn("t", at), min(thresholds), [key, class_id, "t"])
+    every = F.explode(F.array(*[F.lit(t) for t in thresholds])).alias("t")
+    by = [class_id, "t"]
+    curve = average_precision(det.select("*", every), matches, gt.select(key, class_id, every), key, by)
+    area = curve.groupBy(*by).agg(F.sum(F.when(F.col("hit") == 1, F.col("envelope"))).alias("area"))
+    truth = gt.groupBy(class_id).agg(F.count("*").alias("truth")).select(class_id, "truth", every)
+    return truth.join(area, by, "left").select(class_id, F.col("t").alias("iou_threshold"), "truth", (F.coalesce("area", F.lit(0.0)) / F.col("truth")).alias("ap"))

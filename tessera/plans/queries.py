@@ -448,12 +448,13 @@ def gt_pred_iou(spark, sf):
 
 @query("WITH RECURSIVE " + b.GREEDY.lstrip() + " SELECT image_id, gt_idx, det_idx FROM m")
 def greedy_match(spark, sf):
-    return matching.greedy(_pairs(spark, sf)).select("image_id", "gt_idx", "det_idx")
+    return matching.greedy(matching.close_pairs(b.truth(spark, sf), b.detections(spark, sf))).select("image_id", "gt_idx", "det_idx")
 
 
 @query("WITH RECURSIVE " + b.GREEDY.lstrip() + " SELECT (SELECT count(*) FROM m) AS tp, (SELECT count(*) FROM det) - (SELECT count(*) FROM m) AS fp, (SELECT count(*) FROM gt) - (SELECT count(*) FROM m) AS fn, (SELECT count(*) FROM gt) AS total_gt, (SELECT count(*) FROM det) AS total_preds")
 def match_totals(spark, sf):
-    gt, det, m = b.truth(spark, sf), b.detections(spark, sf), matching.greedy(_pairs(spark, sf))
+    gt, det = b.truth(spark, sf), b.detections(spark, sf)
+    m = matching.greedy(matching.close_pairs(gt, det))
     each = reduce(DataFrame.unionByName, [x.select(F.lit(k).alias("k")) for k, x in (("gt", gt), ("det", det), ("m", m))])
     n = lambda k: F.count_if(F.col("k") == k)
     return each.agg(n("m").alias("tp"), (n("det") - n("m")).alias("fp"), (n("gt") - n("m")).alias("fn"), n("gt").alias("total_gt"), n("det").alias("total_preds"))
@@ -477,7 +478,7 @@ def box_fusion(spark, sf):
 
 def _errors(spark, sf):
     gt, det = b.truth(spark, sf), b.detections(spark, sf)
-    return matching.errors(gt, det, matching.greedy(matching.pairs(gt, det)))
+    return matching.errors(gt, det, matching.greedy(matching.close_pairs(gt, det)))
 
 
 @query("WITH RECURSIVE " + b.GREEDY.lstrip() + " SELECT image_id, det_idx, round(conf, 6) AS conf FROM det WHERE (image_id, det_idx) NOT IN (SELECT (image_id, det_idx) FROM m) ORDER BY conf DESC, det_idx LIMIT 100")
@@ -504,7 +505,7 @@ def detection_stats(spark, sf):
 @query()
 def precision_recall(spark, sf):
     gt, det = b.truth(spark, sf), b.detections(spark, sf)
-    return shown(matching.average_precision(det, matching.greedy(matching.pairs(gt, det)), gt))
+    return shown(matching.average_precision(det, matching.greedy(matching.close_pairs(gt, det)), gt).drop("hit"))
 
 
 VIEW_SQL = """v AS (SELECT unnest(['original', 'flip_h', 'flip_v', 'rotate_90', 'rotate_180', 'rotate_270', 'scale_up', 'scale_down']) AS view)"""
