@@ -1,18 +1,15 @@
-"""More queries: suppression and grouping in order, precision and recall, image cleaning, images, streams."""
+"""More queries: suppression and grouping in order, precision and recall, image cleaning, images."""
 
 from __future__ import annotations
 
-import uuid
-
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.images import drawn
-from ..operators import matching, quality, voting
+from ..operators import matching, quality
 from ..sources import config, images, labels
-from ..streaming import votes as stream
 from . import bindings as b
-from .more_queries import NEAR_SQL, VOTES, _shared
+from .more_queries import NEAR_SQL
 from .queries import ALL_ISSUES, CORNERS, OK, ORACLE, QUERIES, _cleaned, _parsed, query, shown
 
 # greedy choices in order ------------------------------------------------------------------------
@@ -154,40 +151,3 @@ def image_usable(spark, sf):
     """Whether an image is taken at all, by its size, sides, channels and bytes."""
     k = F.col("c_custkey")
     return b.table(spark, sf, "customer").select(k.alias("k"), images.usable(k % 2000, k % 4100, k % 3000, k % 5, F.lit(0.0), (k % 7).cast("double")).alias("usable"))
-
-
-# streams ------------------------------------------------------------------------------------------
-
-def _place(spark) -> str:
-    """A folder for a stream's input and checkpoint."""
-    return f"{_shared(spark).rstrip('/')}/tessera-stream-{uuid.uuid4().hex}"
-
-
-def _reads_stream(spark, sf, at: str, slices: int = 4) -> DataFrame:
-    """The readings as a stream that gets a slice of time with each batch, so none comes late."""
-    reads = b.reads(spark, sf).select("track", "frame", "text", "conf", "ts")
-    low, high = reads.agg(F.min("frame"), F.max("frame")).first()
-    cuts = [low + (high + 1 - low) * k // slices for k in range(slices + 1)] if low is not None else [0, 0]
-    for first, last in zip(cuts, cuts[1:], strict=False):
-        reads.where((F.col("frame") >= first) & (F.col("frame") < last)).coalesce(1).write.mode("append").parquet(f"{at}/in")
-    return stream.read_stream(spark, f"{at}/in", 1)
-
-
-@query(VOTES + ", r AS (SELECT *, row_number() OVER (PARTITION BY track ORDER BY round(votes, 6) DESC, first_seen) AS r FROM v) SELECT track, text, round(votes, 4) AS votes FROM r WHERE r = 1")
-def stream_winner(spark, sf):
-    """Each track's winner after the last batch of a stream in update mode, whose batches hold changes only."""
-    at = _place(spark)
-    changes = stream.run_updates(stream.stream_votes(_reads_stream(spark, sf, at)), f"{at}/out", f"{at}/ck")
-    return shown(voting.winner(stream.last_state(changes, ["track", "text"])).select("track", "text", "votes"), 4)
-
-
-@query("""WITH e AS (SELECT user_id AS track, ts, value, ts - lag(ts) OVER (PARTITION BY user_id ORDER BY ts) >= INTERVAL 30 MINUTE AS gap FROM events), s AS (SELECT *, sum(coalesce(gap, true)::INT) OVER (PARTITION BY track ORDER BY ts ROWS UNBOUNDED PRECEDING) AS k FROM e)
-SELECT track, strftime(min(ts), '%Y-%m-%d %H:%M:%S') AS start, count(*) AS n, round(sum(value), 4) AS votes FROM s GROUP BY track, k""")
-def stream_session(spark, sf):
-    """Sessions of a stream: those that its watermark closes, and at its end those that are still open."""
-    at = _place(spark)
-    reads = _reads_stream(spark, sf, at)
-    stream.run_to_files(stream.stream_sessions(reads), f"{at}/out", f"{at}/ck")
-    closed = spark.read.schema("track bigint, start timestamp, end timestamp, n bigint, votes double").parquet(f"{at}/out")
-    out = stream.flushed(closed, stream.sessions(spark.read.schema(stream.READS).parquet(f"{at}/in")))
-    return shown(out.select("track", F.date_format("start", "yyyy-MM-dd HH:mm:ss").alias("start"), "n", "votes"), 4)

@@ -1,17 +1,14 @@
-"""The rest of the queries: plate text, statistics, votes, streams, trials, near duplicates."""
+"""The rest of the queries: plate text, statistics, votes, trials, near duplicates."""
 
 from __future__ import annotations
 
-import tempfile
-import uuid
-
 from pyspark.sql import DataFrame, Window as W
 from pyspark.sql import functions as F
 
 from ..functions import hashing, plates
 from ..functions.sampling import hash32, uniform, weighted_choice
 from ..operators import merging, quality, stats, voting
-from ..streaming import votes as stream
+from ..sources import scratch
 from . import bindings as b
 from .queries import FILES, H, _files, _measured, clean_report, query, shown
 
@@ -241,7 +238,7 @@ def near_dupes(spark, sf):
 @query()
 def near_dupe_groups(spark, sf):
     if spark.sparkContext.getCheckpointDir() is None:
-        spark.sparkContext.setCheckpointDir(_shared(spark))
+        spark.sparkContext.setCheckpointDir(scratch.folder(spark))
     return merging.star_groups(merging.near_pairs(_signs(spark, sf), "id", "sign"))
 
 
@@ -278,22 +275,6 @@ def ocr_line_order(spark, sf):
     return r.select("track", F.array_join(F.transform(F.array_sort("l"), lambda x: x["t"]), "").alias("joined"))
 
 
-def _shared(spark) -> str:
-    """A folder that driver and executors share; a temporary one in a local session only."""
-    base = spark.conf.get("spark.checkpoint.dir", None)
-    if not base and not spark.sparkContext.master.startswith("local"):
-        raise ValueError("set spark.checkpoint.dir to a folder that driver and executors share")
-    return base or "file://" + tempfile.mkdtemp(prefix="tessera-")
-
-
-@query(VOTES + " SELECT track, text, round(votes, 4) AS votes, first_seen, n FROM v")
-def stream_vote(spark, sf):
-    at = f"{_shared(spark).rstrip('/')}/tessera-stream-{uuid.uuid4().hex}"
-    b.reads(spark, sf).select("track", "frame", "text", "conf", "ts").repartition(4, "track").write.parquet(f"{at}/in")
-    changes = stream.run_updates(stream.stream_votes(stream.read_stream(spark, f"{at}/in")), f"{at}/out", f"{at}/ck")
-    return shown(stream.last_state(changes, ["track", "text"]), 4)
-
-
 @query()
 def report_json(spark, sf):
     r = clean_report(spark, sf)

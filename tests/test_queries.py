@@ -1,7 +1,7 @@
 import pytest
 
 import __spark_entry__ as entry
-from tessera.plans import dataset_queries, evaluation_queries, group_queries, more_queries, queries  # noqa: F401
+from tessera.plans import dataset_queries, evaluation_queries, group_queries, more_queries, queries, stream_queries  # noqa: F401
 from tests.conftest import SF
 
 
