@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-from bisect import bisect_left
 from collections import Counter
 from collections.abc import Iterable, Iterator
 
@@ -44,14 +43,40 @@ def line_facts(text: str, min_words: int) -> tuple[list[int], list[int], list[in
     return at, hashes, words, list(runs)
 
 
-def patience(a: list[int], b: list[int]) -> list[tuple[int, int]]:
+def heaviest_chain(places: list[int], weights: list[int]) -> list[int]:
+    """Of different numbers with weights, those that rise from left to right and weigh most together, by their place."""
+    rank = {x: k for k, x in enumerate(sorted(places), 1)}
+    best: list[tuple[int, int]] = [(0, -1)] * (len(places) + 1)  # a tree of prefix maxima: weight so far, and the last place
+    back = []
+    for k, x in enumerate(places):
+        r, top = rank[x] - 1, (0, -1)
+        while r:
+            top = max(top, best[r])
+            r &= r - 1
+        back.append(top[1])
+        new, r = (top[0] + weights[k], k), rank[x]
+        while r <= len(places):
+            best[r] = max(best[r], new)
+            r += r & -r
+    r, top = len(places), (0, -1)
+    while r:
+        top = max(top, best[r])
+        r &= r - 1
+    chain, k = [], top[1]
+    while k >= 0:
+        chain.append(k)
+        k = back[k]
+    return chain[::-1]
+
+
+def patience(a: list, b: list, weight: dict | None = None) -> list[tuple[int, int]]:
     """Aligned places of two sequences, in order.
 
-    Between equal ends, values that both have once are put in the longest order that both
-    share, and the gaps between them are aligned likewise. A gap without such values goes by
-    the rarest value that both have.
+    Between equal ends, values that both have once are put in the order that both share and that weighs most (by
+    ``weight``, 1 where it says nothing), and the gaps between them are aligned likewise. A gap without such values
+    goes by the rarest value that both have.
     """
-    out, todo = [], [(0, len(a), 0, len(b))]
+    out, todo, weight = [], [(0, len(a), 0, len(b))], weight or {}
     while todo:
         i0, i1, j0, j1 = todo.pop()
         while i0 < i1 and j0 < j1 and a[i0] == b[j0]:
@@ -70,18 +95,7 @@ def patience(a: list[int], b: list[int]) -> list[tuple[int, int]]:
         if rarest == 1:
             place = {b[j]: j for j in range(j0, j1) if nb[b[j]] == 1}
             pairs = [(i, place[a[i]]) for i in range(i0, i1) if na[a[i]] == 1 and a[i] in place]
-            tops: list[int] = []
-            ends: list[int] = []
-            back: list[int] = []
-            for k, (_, j) in enumerate(pairs):
-                at = bisect_left(tops, j)
-                back.append(ends[at - 1] if at else -1)
-                tops[at:], ends[at:] = ([j], [k]) if at == len(tops) else ([j, *tops[at + 1 :]], [k, *ends[at + 1 :]])
-            chain, k = [], ends[-1]
-            while k >= 0:
-                chain.append(pairs[k])
-                k = back[k]
-            chain.reverse()
+            chain = [pairs[k] for k in heaviest_chain([j for _, j in pairs], [weight.get(a[i], 1) for i, _ in pairs])]
         else:
             x = next(a[i] for i in range(i0, i1) if a[i] in common and na[a[i]] * nb[a[i]] == rarest)
             chain = [(a.index(x, i0, i1), b.index(x, j0, j1))]
@@ -93,73 +107,98 @@ def patience(a: list[int], b: list[int]) -> list[tuple[int, int]]:
     return sorted(out)
 
 
+#: A run of lines: what it says, and its first and last place and one more.
+Run = tuple[tuple[int, ...], int, int]
+
+
+def common_runs(lines: list[int], count: dict[int, int], min_words: int) -> tuple[list[Run], list[Run]]:
+    """The shortest runs of min_words words or more from every line on, and up to every line, of lines that count
+    has words of. Any longer run is covered by those in it."""
+    from_, upto, i, n = [], [], 0, 0
+    for j, x in enumerate(lines):
+        if x not in count:
+            i, n = j + 1, 0
+            continue
+        n += count[x]
+        while n - count[lines[i]] >= min_words:
+            n -= count[lines[i]]
+            i += 1
+        if n >= min_words:
+            upto.append((tuple(lines[i : j + 1]), i, j + 1))
+    j, n = len(lines), 0
+    for i in range(len(lines) - 1, -1, -1):
+        if lines[i] not in count:
+            j, n = i, 0
+            continue
+        n += count[lines[i]]
+        while n - count[lines[j - 1]] >= min_words:
+            j -= 1
+            n -= count[lines[j]]
+        if n >= min_words:
+            from_.append((tuple(lines[i:j]), i, j))
+    return from_[::-1], upto
+
+
+def alignment(later: list[int], earlier: list[int], count: dict[int, int], min_words: int, rare: set[int]) -> list[tuple[int, int]]:
+    """Aligned places of two documents' lines: common runs of min_words words and rare lines are anchors, weighed by
+    their words, and the gaps between them are aligned by lines."""
+
+    def anchors(lines: list[int]) -> list[Run]:
+        single = [((x,), i, i + 1) for i, x in enumerate(lines) if x in rare and count.get(x, min_words) < min_words]
+        return sorted(common_runs(lines, count, min_words)[0] + single, key=lambda r: (r[1], -r[2]))
+
+    mine, theirs = anchors(later), anchors(earlier)
+    weight = {run: sum(count[x] for x in run) for run, *_ in mine}
+    out, i0, j0 = [], 0, 0
+    for x, y in [*patience([r[0] for r in mine], [r[0] for r in theirs], weight), (None, None)]:
+        (run, i, _), (_, j, _) = (mine[x], theirs[y]) if x is not None else (((), len(later), 0), ((), len(earlier), 0))
+        if i >= i0 and j >= j0:
+            out += [(i0 + p, j0 + q) for p, q in patience(later[i0:i], earlier[j0:j], count)]
+        for k in range(len(run)):
+            if i + k >= i0 and j + k >= j0:
+                out.append((i + k, j + k))
+                i0, j0 = i + k + 1, j + k + 1
+    return out
+
+
 def aligned_lines(later: list[int], words: list[int], earlier: list[int], min_words: int, rare: Iterable[int] = ()) -> list[int]:
-    """Places in ``later`` that lie in blocks aligned with ``earlier``, of min_words words or more or of rare lines.
+    """Places in ``later`` that lie in blocks aligned with ``earlier``: lines that follow one another in both.
 
-    What stays between blocks is aligned with the whole of ``earlier`` again until nothing more is
-    found. An alignment can prefer many short lines to a long block in another order, so the runs
-    that both have are added: no common run of min_words words stays whole. A rare line that both
-    have is a block by itself.
+    From the alignment of the whole documents go blocks of min_words words or more, and of smaller blocks the rare lines.
+    Passages that stand in another order are aligned after that, run by run of min_words words, until no such run
+    that both have is left; so no common block of that length stays. A rare line outside all blocks stays.
     """
-    gone = [*common_runs(later, words, earlier, min_words)]
-    shared = {*rare} & {*earlier}
-    gone += [i for i, x in enumerate(later) if x in shared]
-    parts = [list(range(len(later)))]
-    while parts:
-        part = parts.pop()
-        pairs = patience([later[i] for i in part], earlier)
-        blocks, start = [], 0
-        for k in range(1, len(pairs) + 1):
-            if k == len(pairs) or pairs[k][0] != pairs[k - 1][0] + 1 or pairs[k][1] != pairs[k - 1][1] + 1:
-                block = [x for x, _ in pairs[start:k]]
-                if sum(words[part[x]] for x in block) >= min_words:
-                    blocks.append(block)
-                start = k
-        last = 0
-        for block in blocks:
-            gone += [part[x] for x in block]
-            parts.append(part[last : block[0]])
-            last = block[-1] + 1
-        if blocks:
-            parts.append(part[last:])
-        parts = [p for p in parts if p]
-    return sorted({*gone})
-
-
-def common_runs(later: list[int], words: list[int], earlier: list[int], min_words: int) -> set[int]:
-    """Places in ``later`` that lie in a run of lines, of min_words words or more, that ``earlier`` has too."""
-    count = dict(zip(later, words, strict=True))
-
-    def ending(lines: list[int]) -> Iterator[tuple[int, int]]:
-        """The shortest long enough run up to every line, as start and end."""
-        i, n = 0, 0
-        for j, x in enumerate(lines):
-            if x not in count:
-                i, n = j + 1, 0
-                continue
-            n += count[x]
-            while n - count[lines[i]] >= min_words:
-                n -= count[lines[i]]
-                i += 1
-            if n >= min_words:
-                yield i, j + 1
-
-    def runs(lines: list[int]) -> set[tuple[int, int]]:
-        """Those up to every line and from every line on: together they cover any longer run."""
-        return {*ending(lines), *((len(lines) - j, len(lines) - i) for i, j in ending(lines[::-1]))}
-
-    there = {tuple(earlier[i:j]) for i, j in runs(earlier)}
-    return {x for i, j in runs(later) if tuple(later[i:j]) in there for x in range(i, j)}
-
-
-def dropped_lines(docs: DataFrame, min_words: int = MIN_WORDS, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    count, rare, gone = dict(zip(later, words, strict=True)), {*rare}, set()
+    pairs, start = alignment(later, earlier, count, min_words, rare), 0
+    for k in range(1, len(pairs) + 1):
+        if k == len(pairs) or pairs[k] != (pairs[k - 1][0] + 1, pairs[k - 1][1] + 1):
+            block = [x for x, _ in pairs[start:k]]
+            long = sum(words[x] for x in block) >= min_words
+            gone.update(x for x in block if long or later[x] in rare)
+            start = k
+    for mine, theirs in zip(common_runs(later, count, min_words), common_runs(earlier, count, min_words), strict=True):
+        there = {run for run, *_ in theirs}
+        left = [r for r in mine if r[0] in there]
+        while left := [r for r in left if not gone.issuperset(range(r[1], r[2]))]:
+            wanted = {run for run, *_ in left}
+            weight = {run: sum(count[x] for x in run) for run in wanted}
+            moved = patience([r[0] for r in left], [r[0] for r in theirs if r[0] in wanted], weight)
+            if not moved:
+                break
+            for x, _ in moved:
+                gone.update(range(left[x][1], left[x][2]))
+    return sorted(gone)
+
+
+def dropped_lines(docs: DataFrame, min_words: int = MIN_WORDS, id_col: str = "doc_id", text_col: str = "text", rare_docs: int = RARE, link_words: int = LINK_WORDS) -> DataFrame:
     """(key, lines): numbers of the lines to delete, of each document that loses some.
 
     Documents are paired by the hashes of their runs of lines with min_words words or more, which
     recur by copying only, however many documents have them, and by those of single lines that
-    at most RARE documents have, if the pair's have LINK_WORDS words together. Each hash links its
+    at most ``rare_docs`` documents have, if the pair's have ``link_words`` words together. Each hash links its
     documents to the first that has it; so a passage in n documents makes n - 1 pairs, and a document
-    that is first for many is dealt over parts. Only line hashes go to the pairs. From a pair go blocks of min_words words, and rare lines of any length.
+    that is first for many is dealt over parts. Only line hashes go to the pairs. The two are
+    aligned, and from the later one go the aligned blocks of min_words words, and rare lines of any length in aligned blocks.
     """
     names = ["key", "hashes", "words", "at", "runs"]
 
@@ -182,17 +221,17 @@ def dropped_lines(docs: DataFrame, min_words: int = MIN_WORDS, id_col: str = "do
     keyed = docs.select(document_key(id_col, text_col).alias("key"), text_of(text_col).alias("text"))
     lines = keyed.mapInArrow(frugal(facts), f"key {KEY}, hashes array<bigint>, words array<int>, at array<int>, runs array<bigint>")
     lines = written(lines.dropDuplicates(["key"]))
-    runs = lines.select("key", F.explode("runs").alias("hash"), F.lit(LINK_WORDS).alias("n"), F.lit(False).alias("line"))
+    runs = lines.select("key", F.explode("runs").alias("hash"), F.lit(link_words).alias("n"), F.lit(False).alias("line"))
     short = lines.select("key", F.explode(F.array_distinct(F.arrays_zip("hashes", "words"))).alias("l")).select("key", F.col("l.hashes").alias("hash"), F.col("l.words").alias("n"), F.lit(True).alias("line"))
     marks = runs.unionByName(short.where(F.col("n") < min_words))
-    first = marks.groupBy("hash", "line").agg(F.min("key").alias("first"), F.count("*").alias("docs")).where((F.col("docs") > 1) & (~F.col("line") | (F.col("docs") <= RARE)))
+    first = marks.groupBy("hash", "line").agg(F.min("key").alias("first"), F.count("*").alias("docs")).where((F.col("docs") > 1) & (~F.col("line") | (F.col("docs") <= rare_docs)))
     shared = marks.join(first, ["hash", "line"]).where("key > first")
     shared = shared.groupBy("key", "first").agg(F.sum("n").alias("n"), F.collect_list(F.when(F.col("line"), F.col("hash"))).alias("rare"), F.max("docs").alias("docs"))
     # a document that is the first for many is dealt over a power of two of parts, by how many share a hash of its
     parts = F.when(F.col("docs") > DEAL, F.length(F.bin(F.floor((F.col("docs") - 1) / DEAL)))).otherwise(0)
     shared = written(shared.withColumn("parts", F.call_function("shiftleft", F.lit(1).cast("bigint"), parts)).drop("docs"))
     rare = shared.groupBy("key").agg(F.flatten(F.collect_list("rare")).alias("rare"))
-    linked = shared.where(F.col("n") >= LINK_WORDS)
+    linked = shared.where(F.col("n") >= link_words)
     pairs = linked.select("key", "first", "parts", F.pmod(F.xxhash64("key"), "parts").alias("part")).join(rare, "key").join(lines.select("key", "hashes", "words", "at"), "key")
     firsts = linked.select("first", "parts").distinct().withColumn("part", F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("parts") - 1)))
     others = firsts.join(lines.select(F.col("key").alias("first"), F.col("hashes").alias("other")), "first")
@@ -206,9 +245,9 @@ def document_key(id_col: str, text_col: str):
     return F.struct(F.col(id_col).isNull().alias("none"), F.coalesce(F.col(id_col).cast("long"), F.lit(0)).alias("id"), F.xxhash64(text_of(text_col)).alias("sign"))
 
 
-def dedup_lines(docs: DataFrame, min_words: int = MIN_WORDS, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """All of docs' columns, with the text less the blocks of lines that an earlier document has
-    too (long ones, and rare lines of documents that are paired), and n_removed: how many lines went. Lines compare without white space at their ends
+def dedup_lines(docs: DataFrame, min_words: int = MIN_WORDS, id_col: str = "doc_id", text_col: str = "text", rare_docs: int = RARE, link_words: int = LINK_WORDS) -> DataFrame:
+    """All of docs' columns, with the text less the blocks of lines that are aligned with an earlier document
+    (long ones, and rare lines of documents that are paired), and n_removed: how many lines went. Lines compare without white space at their ends
     and with runs of it as one space; lines without words are never removed.
 
     Null text stays null and has no lines; texts that lose nothing stay as they are to the
@@ -216,7 +255,7 @@ def dedup_lines(docs: DataFrame, min_words: int = MIN_WORDS, id_col: str = "doc_
     hash of the text; rows that are equal in both are one document and get the same result. An
     empty table gives an empty result. A column n_removed of the input is replaced.
     """
-    gone = dropped_lines(docs, min_words, id_col, text_col)
+    gone = dropped_lines(docs, min_words, id_col, text_col, rare_docs, link_words)
     key, lines = "__key", "__lines"
     out = docs.drop("n_removed").withColumn(key, document_key(id_col, text_col)).join(gone.select(F.col("key").alias(key), F.col("lines").alias(lines)), key, "left")
     kept = F.array_join(F.filter(F.split(F.col(text_col), "\n", -1), lambda _, i: ~F.array_contains(F.col(lines), i)), "\n")
