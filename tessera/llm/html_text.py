@@ -35,166 +35,239 @@ CLOSES = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td
 SCOPE = {"li": {"ul", "ol"}, "dt": {"dl"}, "dd": {"dl"}, "tr": {"table"}, "td": {"table"}, "th": {"table"}}
 HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
 #: What a block's score is multiplied by if its elements, or words of their class, id or role, say that it is
-#: beside the text: weak evidence, as a text of its own outweighs it.
-BESIDE = 0.05
+#: beside the text; and if a name has such a word beside words of another kind, as in share-price. Both are evidence, not
+#: a verdict: a block whose path scores enough in spite of it stays.
+BESIDE, DOUBT = 0.05, 0.5
 OUTSIDE = frozenset("nav footer aside form button fieldset dialog menu head".split())
 HINTS = frozenset(
     "ad ads adv advert adverts advertisement advertising sponsor sponsored promo promotion banner cookie cookies consent gdpr notice notices alert popup modal overlay newsletter subscribe subscription nav navbar navigation menu breadcrumb breadcrumbs sidebar aside widget footer masthead comment comments disqus replies respond share sharing social related recommended recommendations login signup toolbar pagination pager copyright complementary contentinfo search skip".split()
 )
 
 
-@dataclass
-class Block:
-    """A leaf of the page: its path, text, the length of link text, if its elements' names say that it
-    lies beside the main text, if it is a heading or hidden, and the numbers of its path's elements."""
+#: Words that say what part of a page something is, not what it is about.
+PARTS = frozenset(
+    "a bar block body bottom box btn button buttons card center col column container content count cta data desktop entry feed fixed float form group header heading heads hidden icon icons id inline inner item items js label left link links list lists main media message messages meta mobile module more my name outer page pane panel post posts primary right row secondary section show site slot small static sticky tab table tag text theme thread title toggle tool tools top ui unit view wrap wrapper zone".split()
+)
 
-    path: tuple[str, ...]
-    text: str
-    linked: int
-    outside: bool
-    heading: bool
-    hidden: bool = False
-    elements: tuple[int, ...] = ()
 
+@dataclass(slots=True, eq=False)
+class Element:
+    """An open tag with what it passes on to what is in it. path: a number for the labels from the root to it."""
 
-@dataclass(slots=True)
-class Open:
     tag: str
     label: str
-    outside: bool
-    hinted: bool
-    header: bool
-    holds_main: bool = False
+    parent: Element | None
+    number: int
+    path: int
+    outside: bool = False
+    header: bool = False
+    in_main: bool = False
     hidden: bool = False
-    number: int = 0
+    hinted: bool = False
+    doubted: bool = False
+    holds_main: bool = False
 
 
-def blocks_of(page: str) -> list[Block]:
-    """The text blocks of a page in order, white space folded, references decoded.
+@dataclass
+class Block:
+    """A leaf of the page: its path, text, the length of link text, if its elements' names say that it lies beside the
+    main text or may do so, if it is a heading or hidden, and the innermost element around it."""
 
-    Broken markup is read as browsers read it where that matters for blocks: an open p ends at
-    the next block, list items and table cells end at the next of their kind, ends without a start
-    count for nothing.
-    """
-    stack: list[Open] = [Open("", "", False, False, False)]
-    found: list[tuple[list[Open], str, int]] = []
-    text: list[str] = []
-    linked = 0
-
-    def flush() -> None:
-        nonlocal linked
-        if text:
-            if folded := SPACES.sub(" ", "".join(text)).strip(" "):
-                found.append(([o for o in stack if o.tag not in INLINE], folded, linked))
-            text.clear()
-        linked = 0
-
-    def say(raw: str) -> None:
-        nonlocal linked
+    path: int
+    text: str
+    linked: int
+    outside: bool
+    heading: bool
+    hidden: bool = False
+    doubted: bool = False
+    element: Element | None = None
+
+
+def folded(text: str) -> str:
+    return SPACES.sub(" ", text).strip(" ")
+
+
+def hints_of(names: list[str]) -> tuple[bool, bool]:
+    """Whether one of the names says that something lies beside the text, and whether one has a word that may say so."""
+    sure = doubt = False
+    for name in names:
+        words = {x.lower() for x in NAME.findall(name)}
+        if not HINTS.isdisjoint(words):
+            plain = words <= HINTS | PARTS or "comment" in words or "comments" in words
+            sure, doubt = sure or plain, doubt or not plain
+    return sure, doubt
+
+
+class Reader:
+    """Reads a page into blocks. Open elements are found by their tag and place, never by going through them all, so the
+    work does not grow with the depth."""
+
+    def __init__(self) -> None:
+        self.stack: list[Element] = [Element("", "", None, 0, 0)]
+        self.places: dict[str, list[int]] = defaultdict(list)
+        self.outer: list[int] = [0]  # places of elements that are not inline
+        self.paths: dict[tuple[int, str], int] = {}
+        self.found: list[tuple[Element, str, int]] = []
+        self.text: list[str] = []
+        self.linked = 0
+
+    def flush(self) -> None:
+        if self.text:
+            if text := folded("".join(self.text)):
+                self.found.append((self.stack[self.outer[-1]], text, min(self.linked, len(text))))
+            self.text.clear()
+        self.linked = 0
+
+    def say(self, raw: str) -> None:
         if raw:
-            text.append(html.unescape(raw) if "&" in raw else raw)
-            if any(o.tag == "a" for o in stack):
-                linked += len(raw)
-
-    def pop_to(i: int) -> None:
-        if any(o.tag not in INLINE for o in stack[i:]):
-            flush()
-        del stack[i:]
-
-    at = 0
-    for m in MARKUP.finditer(page):
-        say(page[at : m.start()])
-        at = m.end()
-        if m["tag"] is None:
-            continue
-        tag = m["tag"].lower()
-        if m["end"]:
-            for i in range(len(stack) - 1, 0, -1):
-                if stack[i].tag == tag:
-                    pop_to(i)
-                    break
-                if tag in INLINE and stack[i].tag not in INLINE:
-                    break
-            else:
-                if tag == "p":
-                    flush()
-            continue
+            said = html.unescape(raw) if "&" in raw else raw
+            self.text.append(said)
+            if self.places["a"]:
+                self.linked += len(folded(said))
+
+    def last(self, tags) -> int:
+        """The place of the innermost open element with one of the tags, 0 for none."""
+        return max((self.places[t][-1] for t in tags if self.places[t]), default=0)
+
+    def pop_to(self, i: int) -> None:
+        if self.outer[-1] >= i:
+            self.flush()
+        while len(self.stack) > i:
+            o = self.stack.pop()
+            self.places[o.tag].pop()
+            if self.outer[-1] == len(self.stack):
+                self.outer.pop()
+
+    def end(self, tag: str) -> None:
+        i = self.last((tag,))
+        if i and (tag not in INLINE or i > self.outer[-1]):
+            self.pop_to(i)
+        elif tag == "p":
+            self.flush()
+
+    def start(self, tag: str, rest: str, number: int) -> None:
         if tag in VOID:
             if tag == "br":
-                text.append(" ")
+                self.text.append(" ")
             elif tag not in INLINE:
-                flush()
-            continue
+                self.flush()
+            return
         if tag not in INLINE:
-            flush()
-            for i in range(len(stack) - 1, 0, -1):  # an open p ends here
-                if stack[i].tag == "p":
-                    pop_to(i)
-                    break
-                if stack[i].tag not in INLINE:
-                    break
+            self.flush()
+            if self.stack[self.outer[-1]].tag == "p":  # an open p ends here
+                self.pop_to(self.outer[-1])
             if tag in CLOSES:
-                for i in range(len(stack) - 1, 0, -1):
-                    if stack[i].tag in CLOSES[tag]:
-                        pop_to(i)
-                        if tag != "tr":
-                            break
-                        continue
-                    if stack[i].tag in SCOPE.get(tag, ()):
+                while (i := self.last(CLOSES[tag])) > self.last(SCOPE.get(tag, ())):
+                    self.pop_to(i)
+                    if tag != "tr":
                         break
-        outside, hinted, hidden, names = tag in OUTSIDE, False, False, ""
-        if m["rest"].strip(" /"):
-            for k, v in ATTRIBUTE.findall(m["rest"]):
+        hidden, names = False, []
+        if rest.strip(" /"):
+            for k, v in ATTRIBUTE.findall(rest):
                 k, v = k.lower(), v.strip("\"'")
                 if k in ("class", "id", "role"):
-                    names += " " + v
-                    hinted |= not HINTS.isdisjoint(x.lower() for x in NAME.findall(v))
+                    names += v.split()
                 elif k == "style":
                     hidden |= "display:none" in v.replace(" ", "").lower()
                 else:
                     hidden |= k == "hidden" or (k == "aria-hidden" and v.lower() == "true")
+        hinted, doubted = hints_of(names)
         if tag in ("html", "body", "main"):
-            hinted = False
+            hinted = doubted = False
         if tag == "article":
-            hinted = hinted and "comment" in names.lower()
+            hinted, doubted = hinted and "comment" in " ".join(names).lower(), False
+        parent = self.stack[self.outer[-1]]
         if tag in ("article", "main") and not hinted:
-            for o in stack:
-                o.holds_main = True
-        stack.append(Open(tag, tag + "".join(sorted(f".{x}" for x in names.split())), outside, hinted, tag == "header", hidden=hidden or tag == "head", number=m.start()))
-    if page[at:].startswith("<!--"):
-        at = len(page)
-    say(page[at:])
-    flush()
-    out, hinted_by = [], []
-    for opened, folded, links in found:
-        heading = opened[-1].tag in HEADINGS
-        inside = [o.tag for o in opened]
-        outside = any(o.outside or (o.header and not (heading and ("article" in inside or "main" in inside))) for o in opened)
-        out.append(Block(tuple(o.label for o in opened[1:]), folded, links, outside, heading, any(o.hidden for o in opened), tuple(o.number for o in opened[1:])))
-        hinted_by.append([o for o in opened if o.hinted and not o.holds_main])
-    if any(hinted_by):
-        drop_wrong_hints(out, hinted_by)
-    for b, hints in zip(out, hinted_by, strict=True):
-        b.outside |= any(o.hinted for o in hints)
+            o = parent
+            while o is not None and not o.holds_main:
+                o.holds_main, o = True, o.parent
+        label = tag + "".join(sorted(f".{x}" for x in names))
+        path = parent.path if tag in INLINE else self.paths.setdefault((parent.path, label), len(self.paths) + 1)
+        self.places[tag].append(len(self.stack))
+        if tag not in INLINE:
+            self.outer.append(len(self.stack))
+        in_main = parent.in_main or tag in ("article", "main")
+        self.stack.append(Element(tag, label, parent, number, path, parent.outside or tag in OUTSIDE, parent.header or tag == "header", in_main, parent.hidden or hidden or tag == "head", hinted, doubted))
+
+
+def blocks_of(page: str) -> list[Block]:
+    """The text blocks of a page in order, white space folded, references decoded.
+
+    Broken markup is read as browsers read it where that matters for blocks: an open p ends at
+    the next block, list items and table cells end at the next of their kind, ends without a start
+    count for nothing. The work is linear in the page, however deep it is.
+    """
+    r, at = Reader(), 0
+    for m in MARKUP.finditer(page):
+        r.say(page[at : m.start()])
+        at = m.end()
+        if m["tag"] is not None:
+            (r.end(m["tag"].lower()) if m["end"] else r.start(m["tag"].lower(), m["rest"], m.start()))
+    r.say("" if page[at:].startswith("<!--") else page[at:])
+    r.flush()
+    out = []
+    for e, text, linked in r.found:
+        heading = e.tag in HEADINGS
+        outside = e.outside or (e.header and not (heading and e.in_main))
+        out.append(Block(e.path, text, linked, outside, heading, e.hidden, False, e))
+    drop_wrong_hints(out)
+    hinted: dict[int, bool] = {}
+    doubted: dict[int, bool] = {}
+    for e in elements_of(out):  # outer ones first
+        hinted[id(e)] = (e.hinted and not e.holds_main) or (e.parent is not None and hinted[id(e.parent)])
+        doubted[id(e)] = (e.doubted and not e.holds_main) or (e.parent is not None and doubted[id(e.parent)])
+    for b in out:
+        b.outside |= hinted[id(b.element)]
+        b.doubted = doubted[id(b.element)] and not b.outside
     return out
 
 
-def drop_wrong_hints(blocks: list[Block], hinted_by: list[list[Open]]) -> None:
+def elements_of(blocks: list[Block]) -> list[Element]:
+    """All elements that hold blocks, outer ones before inner ones."""
+    seen: dict[int, Element] = {}
+    for b in blocks:
+        e = b.element
+        while e is not None and id(e) not in seen:
+            seen[id(e)], e = e, e.parent
+    return sorted(seen.values(), key=lambda e: (e.parent is not None, e.number))
+
+
+def summed_up(elements: list[Element], own: dict[int, float]) -> dict[int, float]:
+    """own (by id) of each element with that of all that is in it."""
+    out = {id(e): own.get(id(e), 0.0) for e in elements}
+    for e in reversed(elements):
+        if e.parent is not None:
+            out[id(e.parent)] += out[id(e)]
+    return out
+
+
+def drop_wrong_hints(blocks: list[Block]) -> None:
     """Takes the hint from elements, outer ones first, that hold most of the page's text while less
     than a tenth of theirs lies without a hint: they hold the page, not something beside it."""
-    held: dict[int, int] = defaultdict(int)
-    known, total = {}, 0
-    size = [0 if b.outside or b.hidden else max(0, len(b.text) - b.linked) for b in blocks]
-    for n, hints in zip(size, hinted_by, strict=True):
-        total += n
-        for o in hints:
-            known[id(o)] = o
-            held[id(o)] += n
-    for k in sorted(held, key=lambda k: -held[k]):  # equal ones stay in order, the outer first
-        free = sum(n for n, hints in zip(size, hinted_by, strict=True) if not any(o.hinted for o in hints))
-        if 2 * held[k] <= total or 10 * free >= held[k]:
+    elements = elements_of(blocks)
+    if not any(e.hinted and not e.holds_main for e in elements):
+        return
+    own: dict[int, float] = defaultdict(float)
+    for b in blocks:
+        own[id(b.element)] += 0 if b.outside or b.hidden else max(0, len(b.text) - b.linked)
+    held = summed_up(elements, own)
+    nearest: dict[int, int] = {}  # of each element, the innermost hinted one around it
+    under: dict[int, float] = defaultdict(float)
+    for e in elements:
+        nearest[id(e)] = id(e) if e.hinted and not e.holds_main else nearest.get(id(e.parent), 0)
+        under[nearest[id(e)]] += own.get(id(e), 0)
+    total, free = sum(own.values()), under[0]
+    # elements with most of the text lie in one another, so each frees what has no hint within it
+    for e in sorted((e for e in elements if e.hinted and not e.holds_main), key=lambda e: -held[id(e)]):
+        if 2 * held[id(e)] <= total or 10 * free >= held[id(e)]:
             break
-        known[k].hinted = False
+        e.hinted = False
+        free += under[id(e)]
+
+
+def evidence(b: Block) -> float:
+    """What the names around a block leave of its score."""
+    return BESIDE if b.outside else DOUBT if b.doubted else 1.0
 
 
 def path_scores(blocks: list[Block], radius: int = 1) -> list[float]:
@@ -203,19 +276,19 @@ def path_scores(blocks: list[Block], radius: int = 1) -> list[float]:
     A path's ratio is its text per node, times one more than its punctuation marks per node, less
     what is link text. Ratios are smoothed in page order by a Gaussian; the path's own ratio and the
     mean of its blocks' smoothed ones are fused by their geometric mean. Names that speak against a
-    block leave BESIDE of its score, and of what its neighbours get from it.
+    block leave a part of its score (evidence), and of what its neighbours get from it.
     """
-    paths: dict[tuple[str, ...], list[float]] = defaultdict(lambda: [0.0, 0.0, 0.0, 0.0, 0.0])
+    paths: dict[int, list[float]] = defaultdict(lambda: [0.0, 0.0, 0.0, 0.0, 0.0])
     for b in blocks:
         for i, v in enumerate((1, len(b.text), len(PUNCTUATION.findall(b.text)), b.linked)):
             paths[b.path][i] += v
     own = {p: n / k * (1 + marks / k) * max(0.0, 1 - linked / max(1.0, n)) for p, (k, n, marks, linked, _) in paths.items()}
-    ratios = [own[b.path] * (BESIDE if b.outside else 1.0) for b in blocks]
+    ratios = [own[b.path] * evidence(b) for b in blocks]
     kernel = [exp(-(d * d) / 2) for d in range(-radius, radius + 1)]
     for i, b in enumerate(blocks):
         near = [(kernel[d + radius], ratios[i + d]) for d in range(-radius, radius + 1) if 0 <= i + d < len(blocks)]
         paths[b.path][4] += sum(k * v for k, v in near) / sum(k for k, _ in near)
-    return [sqrt(own[b.path] * paths[b.path][4] / paths[b.path][0]) * (BESIDE if b.outside else 1.0) for b in blocks]
+    return [sqrt(own[b.path] * paths[b.path][4] / paths[b.path][0]) * evidence(b) for b in blocks]
 
 
 def main_blocks(page: str, strictness: float = 0.25, most: float = 0.8) -> list[str]:
@@ -225,38 +298,58 @@ def main_blocks(page: str, strictness: float = 0.25, most: float = 0.8) -> list[
     (weighed by length, names and links) or more. The main text lies in the deepest element that has
     ``most`` of the content paths' scores. If that is the page's body, which tells nothing, it is the
     content paths and the headings beside them; else all that the element holds, short paragraphs and
-    lists too, but for what is mostly links or, by its names, beside the text. The element is widened to
+    lists too, but for paths that are mostly links, and for blocks whose names speak against them while their path scores
+    less than the mean (less than a content path, where the names are in doubt). The element is widened to
     an article or main around it, and the heading before it belongs to it.
     """
     blocks = [b for b in blocks_of(page) if not b.hidden]
     scores = path_scores(blocks)
-    weights = [(len(b.text) - min(b.linked, len(b.text))) * (BESIDE if b.outside else 1.0) for b in blocks]
+    weights = [(len(b.text) - b.linked) * evidence(b) for b in blocks]
     if not sum(weights):
         return []
-    least = strictness * sum(s * w for s, w in zip(scores, weights, strict=True)) / sum(weights)
+    mean = sum(s * w for s, w in zip(scores, weights, strict=True)) / sum(weights)
+    least = strictness * mean
     content = {b.path for b, s in zip(blocks, scores, strict=True) if s >= least and s > 0}
-    held: dict[tuple[int, ...], float] = defaultdict(float)
+    elements = elements_of(blocks)
+    top, own = elements[0], defaultdict(float)
+    of_path: dict[int, list[int]] = defaultdict(lambda: [0, 0])
     for b, s in zip(blocks, scores, strict=True):
+        of_path[b.path][0] += b.linked
+        of_path[b.path][1] += len(b.text)
         if b.path in content:
-            for i in range(len(b.elements) or 1):
-                held[b.elements[:i]] += s
-    root = max((p for p, s in held.items() if s >= most * held[()]), key=len, default=())
-    names = next((b.path[: len(root)] for b in blocks if b.elements[: len(root)] == root), ())
-    root = next((root[: i + 1] for i, x in enumerate(names) if x.split(".")[0] in ("article", "main")), root)
-    beside = {b.elements[:-1] for b in blocks if b.path in content}
-    bare = all(x.split(".")[0] in ("html", "body") for x in names)
-
-    def kept(b: Block) -> bool:
-        if b.elements[: len(root)] != root:
+            own[id(b.element.parent or top)] += s
+    held = summed_up(elements, own)
+    # elements with most of the scores lie in one another: the last is the deepest
+    root = [e for e in elements if held[id(e)] >= most * held[id(top)]][-1] if most > 0.5 else top
+    chain = [root]
+    while chain[-1].parent is not None:
+        chain.append(chain[-1].parent)
+    root = next((e for e in reversed(chain) if e.tag in ("article", "main")), root)
+    names = {e.tag for e in chain} - {""}
+    beside = {id(b.element.parent or top) for b in blocks if b.path in content}
+    bare = names <= {"html", "body"}
+
+    def inside(whole: Element) -> set[int]:
+        out: set[int] = set()
+        for e in elements:
+            if e is whole or (e.parent is not None and id(e.parent) in out):
+                out.add(id(e))
+        return out
+
+    here = inside(root)
+
+    def kept(b: Block, score: float) -> bool:
+        if id(b.element) not in here:
             return False
         if bare:
-            return b.path in content or (b.heading and not b.outside and b.elements[:-1] in beside)
-        return not b.outside and 2 * b.linked <= len(b.text)
+            return b.path in content or (b.heading and not b.outside and id(b.element.parent or top) in beside)
+        linked, length = of_path[b.path]
+        return 2 * linked <= length and (score >= mean if b.outside else score >= least if b.doubted else True)
 
-    on = [kept(b) for b in blocks]
+    on = [kept(b, s) for b, s in zip(blocks, scores, strict=True)]
     if not bare and True in on:
         first = on.index(True)
-        if first and blocks[first - 1].heading and not blocks[first].heading and not blocks[first - 1].outside and blocks[first - 1].elements[: len(root) - 1] == root[:-1]:
+        if first and blocks[first - 1].heading and not blocks[first].heading and not blocks[first - 1].outside and id(blocks[first - 1].element) in inside(root.parent or root):
             on[first - 1] = True
     return [b.text for b, k in zip(blocks, on, strict=True) if k]
 
