@@ -50,7 +50,13 @@ def _resized(grey: np.ndarray, rows: int, columns: int) -> np.ndarray:
     """Means over a grid of areas."""
     ys = np.linspace(0, grey.shape[0], rows + 1)
     xs = np.linspace(0, grey.shape[1], columns + 1)
-    return np.array([[grey[int(a) : max(int(a) + 1, int(b)), int(c) : max(int(c) + 1, int(d))].mean() for c, d in zip(xs, xs[1:], strict=False)] for a, b in zip(ys, ys[1:], strict=False)])
+    tops, lefts = (np.minimum(x[:-1].astype(int), n - 1) for x, n in ((ys, grey.shape[0]), (xs, grey.shape[1])))
+    rows_ = np.maximum(tops + 1, ys[1:].astype(int)) - tops
+    columns_ = np.maximum(lefts + 1, xs[1:].astype(int)) - lefts
+    if min(grey.shape[0] - rows, grey.shape[1] - columns) >= 0:  # areas side by side
+        sums = np.add.reduceat(np.add.reduceat(grey, tops, axis=0), lefts, axis=1)
+        return sums / rows_[:, None] / columns_[None, :]
+    return np.array([[grey[a : a + h, c : c + w].mean() for c, w in zip(lefts, columns_, strict=True)] for a, h in zip(tops, rows_, strict=True)])
 
 
 def _packed(bits: np.ndarray) -> int:
@@ -60,8 +66,9 @@ def _packed(bits: np.ndarray) -> int:
 def pixel_metrics(data: bytes, width: int, height: int, channels: int) -> tuple:
     """Blur (population variance of the Laplacian, borders mirrored), mean and deviation of grey,
     least and greatest byte of any channel, 9x8 gradient hash and 8x8 low-frequency cosine hash."""
-    if width <= 0 or not data:
+    if not (data and width and width > 0):  # a missing number comes as NaN
         return (None,) * 7
+    width, height, channels = int(width), int(height), int(channels)
     grey, raw = _grey(data, width, height, channels), np.frombuffer(data, np.uint8)
     p = np.pad(grey, 1, mode="reflect") if min(grey.shape) > 1 else np.pad(grey, 1, mode="edge")
     lap = p[:-2, 1:-1] + p[2:, 1:-1] + p[1:-1, :-2] + p[1:-1, 2:] - 4 * grey

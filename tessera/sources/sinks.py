@@ -6,6 +6,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from .dataset import write_files
 from .labels import render
 
 
@@ -17,18 +18,9 @@ def label_files(boxes: DataFrame, class_id: Column | None = None, conf: Column |
 
 
 def write_label_files(files: DataFrame, path: str) -> None:
-    """One text file per label file, named by its stem, in a folder per split; written by the executors to
-    a path that all of them see."""
-
-    def put(rows):
-        import os
-
-        for r in rows:
-            os.makedirs(f"{path}/{r.split}", exist_ok=True)
-            with open(f"{path}/{r.split}/{r.stem}.txt", "w") as f:
-                f.write(r.text + "\n")
-
-    files.foreachPartition(put)
+    """One text file per label file, named by its stem, in a folder per split, in any store that driver and
+    executors reach."""
+    write_files(files.select(F.concat("split", F.lit("/"), "stem", F.lit(".txt")).alias("path"), F.concat("text", F.lit("\n")).alias("content")), path)
 
 
 def copy_manifest(files: DataFrame, root: str, link: Column | None = None) -> DataFrame:
