@@ -7,9 +7,12 @@ import shutil
 import uuid
 from collections.abc import Iterator
 from contextlib import contextmanager
+from functools import reduce
 from urllib.parse import urlparse
 
+import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
@@ -21,6 +24,8 @@ UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 PIECE_END, WORD = r"[.,;:!?\x0A-\x0D]+", r"[^\x20\x09]+"
 #: Bytes of pieces whose phrases are counted at once, rows of partial counts in a hash bucket, memory of one database.
 CHUNK, BUCKET_ROWS, MEMORY = 4 << 20, 2_000_000, "256MB"
+#: Bits of the filter of frequent phrases, whatever their number: what a task gets has this size, 16 MB.
+FILTER_BITS = 1 << 27
 #: Score of a phrase whose words occur only in it, and the scale of all scores.
 SCALE = 1_000_000
 #: Parts that a language's candidates are dealt over when its best are sought.
@@ -37,13 +42,48 @@ def pieces(docs: DataFrame, text_col: str = "text", lang_col: str = "lang") -> D
     return each.groupBy("lang", "piece", "words").agg(F.count("*").alias("m"))
 
 
-def phrases_sql(longest: int) -> str:
-    """Counts the phrases of 1 to ``longest`` words of chunk(lang, piece, m), by their multiplicities."""
-    shifted = lambda k: ", ".join(f"w[{j}:]" for j in range(1, k + 1))
-    joined = lambda k: " || ' ' || ".join(f"p[{j}]" for j in range(1, k + 1))
-    lists = ["w"] + [f"list_transform(list_zip({shifted(k)}, true), lambda p: {joined(k)})" for k in range(2, longest + 1)]
-    grams = f"flatten([{', '.join(lists)}])"
-    return f"SELECT lang, phrase, sum(m)::BIGINT AS n FROM (SELECT lang, m, unnest({grams}) AS phrase FROM (SELECT lang, m, string_split(piece, ' ') AS w FROM chunk)) GROUP BY ALL ORDER BY ALL"
+class Grams:
+    """The phrases of k words of a chunk of pieces, as places of their first words, and hashes of phrases."""
+
+    def __init__(self, chunk: pa.Table, column: str = "piece"):
+        from xxhash import xxh3_64_intdigest as digest
+
+        words = pc.split_pattern(chunk.column(column).combine_chunks(), " ")
+        of = lambda a: np.array([digest(x) for x in a.to_pylist()], np.uint64)
+        self.words, lang = words.flatten().dictionary_encode(), chunk.column("lang").combine_chunks().dictionary_encode()
+        size = pc.list_value_length(words).to_numpy(zero_copy_only=False)
+        self.row = np.repeat(np.arange(len(size)), size)
+        self.left = np.repeat(np.cumsum(size), size) - np.arange(len(self.row))  # words of the piece from each on
+        self.word = self.words.indices.to_numpy(zero_copy_only=False)
+        self.seed, self.hash = (of(lang.dictionary)[lang.indices.to_numpy(zero_copy_only=False)])[self.row], of(self.words.dictionary)[self.word]
+
+    def at(self, k: int) -> np.ndarray:
+        """Where phrases of k words begin."""
+        return np.nonzero(self.left >= k)[0]
+
+    def hashes(self, at: np.ndarray, k: int) -> np.ndarray:
+        """Of phrases of k words in their language; the same in any chunk."""
+        out = self.seed[at]
+        for j in range(k):
+            out = (out ^ self.hash[at + j]) * np.uint64(0x9E3779B97F4A7C15)
+            out ^= out >> np.uint64(29)
+        return out
+
+    def phrases(self, at: np.ndarray, k: int) -> pa.Array:
+        parts = [self.words.dictionary.take(pa.array(self.word[at + j])) for j in range(k)]
+        return pc.binary_join_element_wise(*parts, " ") if k > 1 else parts[0]
+
+
+def passing(grams: Grams, k: int, bits: np.ndarray | None) -> np.ndarray:
+    """Where phrases of k words begin, less those that have a shorter phrase in them which is surely not frequent."""
+    at = grams.at(k)
+    if bits is None:
+        return at
+    slots = np.uint64(len(bits) * 8)
+    for j in (0, 1):
+        h = grams.hashes(at + j, k - 1) % slots
+        at = at[(bits[h >> np.uint64(3)] >> (h & np.uint64(7)).astype(np.uint8)) & 1 == 1]
+    return at
 
 
 @contextmanager
@@ -82,40 +122,70 @@ def chunks(batches: Iterator[pa.RecordBatch], size: int) -> Iterator[pa.Table]:
         yield pa.Table.from_batches(held)
 
 
-def counted(found: DataFrame, longest: int, least: int, bucket_rows: int = BUCKET_ROWS) -> DataFrame:
+def frequent_bits(counts: DataFrame, k: int, bits: int) -> np.ndarray:
+    """A filter of ``bits`` bits in which each of these phrases of k words has its bit: no phrase of theirs is missed."""
+
+    def slots(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for chunk in chunks(batches, CHUNK):
+            grams = Grams(chunk, "phrase")
+            h = np.unique(grams.hashes(grams.at(k), k) % np.uint64(bits))
+            yield pa.RecordBatch.from_arrays([pa.array((h >> np.uint64(6)).astype(np.int64)), pa.array((np.uint64(1) << (h & np.uint64(63))).view(np.int64))], ["word", "mask"])
+
+    found = counts.select("lang", "phrase").mapInArrow(frugal(slots), "word bigint, mask bigint").groupBy("word").agg(F.bit_or("mask").alias("mask")).toArrow()
+    out = np.zeros(bits // 64, np.int64)
+    out[found.column("word").to_numpy()] = found.column("mask").to_numpy()
+    return out.view(np.uint8)
+
+
+def counted(found: DataFrame, longest: int, least: int, bits: int = FILTER_BITS, bucket_rows: int = BUCKET_ROWS) -> DataFrame:
     """(lang, phrase, n) of phrases of 1 to ``longest`` words that occur ``least`` times or more, from pieces.
 
-    Each task counts the phrases of a bounded chunk of pieces at a time, so a phrase that stands in a third of all
-    pieces leaves it as a row a chunk; those partial counts go to hash buckets of about ``bucket_rows`` rows at most,
-    and a database in each bucket sums them, out of core where MEMORY is not enough.
+    Shorter phrases first. Each task takes the phrases of a bounded chunk of pieces, leaves out those with a shorter phrase
+    in them that is not frequent, and sums the chunk's in a database; so a phrase that stands in a third of all
+    pieces leaves the task as a row a chunk. Partial counts go to hash buckets of about ``bucket_rows`` rows, and a database
+    in each bucket sums them, out of core where MEMORY is not enough. What is not frequent is known from a filter of a fixed
+    number of ``bits`` that all tasks get: it never leaves out a frequent phrase, and where frequent phrases are too
+    many for it, it leaves out less.
     """
-    spark, sql = found.sparkSession, phrases_sql(longest)
-    folder, kind = _shared_folder(spark), "lang string, phrase string, n bigint"
-    types = [pa.string(), pa.string(), pa.int64()]
+    spark, kind = found.sparkSession, "lang string, phrase string, n bigint"
+    folder, types = _shared_folder(spark), [pa.string(), pa.string(), pa.int64()]
 
     def results(con, sql: str) -> Iterator[pa.RecordBatch]:
         for batch in con.sql(sql).to_arrow_reader(50_000):
             yield pa.RecordBatch.from_arrays([c.cast(t) for c, t in zip(batch.columns, types, strict=True)], ["lang", "phrase", "n"])
 
-    def partial(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        with _database(folder) as con:
-            for chunk in chunks(batches, CHUNK):
-                con.register("chunk", chunk)
-                yield from results(con, sql)
-                con.unregister("chunk")
-
-    def total(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        with _database(folder) as con:
-            con.execute("CREATE TABLE t (lang VARCHAR, phrase VARCHAR, n BIGINT)")
-            for batch in batches:
-                con.register("batch", pa.Table.from_batches([batch]))
-                con.execute("INSERT INTO t SELECT lang, phrase, n FROM batch")
-                con.unregister("batch")
-            yield from results(con, f"SELECT lang, phrase, sum(n)::BIGINT AS n FROM t GROUP BY ALL HAVING sum(n) >= {int(least)}")
-
-    parts = written(found.select("lang", "piece", "m").mapInArrow(frugal(partial), kind))
-    buckets = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-parts.count() // bucket_rows))
-    return parts.repartition(buckets, "lang", "phrase").mapInArrow(frugal(total), kind)
+    def of_length(k: int, known) -> DataFrame:
+        def partial(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            with _database(folder) as con:
+                for chunk in chunks(batches, CHUNK):
+                    grams = Grams(chunk)
+                    at = passing(grams, k, known.value if known else None)
+                    row = pa.array(grams.row[at])
+                    con.register("grams", pa.table({"lang": chunk.column("lang").take(row), "phrase": grams.phrases(at, k), "m": chunk.column("m").take(row)}))
+                    yield from results(con, "SELECT lang, phrase, sum(m)::BIGINT AS n FROM grams GROUP BY ALL ORDER BY ALL")
+                    con.unregister("grams")
+
+        def total(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            with _database(folder) as con:
+                con.execute("CREATE TABLE t (lang VARCHAR, phrase VARCHAR, n BIGINT)")
+                for batch in batches:
+                    con.register("batch", pa.Table.from_batches([batch]))
+                    con.execute("INSERT INTO t SELECT lang, phrase, n FROM batch")
+                    con.unregister("batch")
+                yield from results(con, f"SELECT lang, phrase, sum(n)::BIGINT AS n FROM t GROUP BY ALL HAVING sum(n) >= {int(least)}")
+
+        parts = found.where(F.col("words") >= k).select("lang", "piece", "m").mapInArrow(frugal(partial), kind)
+        return written(parts.repartition(buckets, "lang", "phrase").mapInArrow(frugal(total), kind))
+
+    words = found.agg(F.coalesce(F.sum("words"), F.lit(0))).first()[0]
+    buckets = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-words // bucket_rows))
+    out = []
+    for k in range(1, longest + 1):
+        known = spark.sparkContext.broadcast(frequent_bits(out[-1], k - 1, bits)) if out else None
+        out.append(of_length(k, known))
+        if known:
+            known.unpersist()
+    return reduce(DataFrame.unionByName, out)
 
 
 def scored(counts: DataFrame, longest: int, least: int) -> DataFrame:
@@ -172,7 +242,7 @@ def collocations(docs: DataFrame, longest: int = 3, least: int = 10, share: int
     """
     found = written(pieces(docs, text_col, lang_col))
     words = found.groupBy("lang").agg(F.sum(F.col("words") * F.col("m")).alias("n"))
-    counts = written(counted(found, longest, least))
+    counts = counted(found, longest, least)
     kept = not_inside(scored(counts, longest, least), share)
     return best_per_lang(kept, most).join(words, "lang").select("lang", "rank", "phrase", "a", "l", "r", "n", "score")
 

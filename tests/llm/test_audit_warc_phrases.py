@@ -237,3 +237,18 @@ def test_database_goes_on_in_the_shared_folder(tmp_path):
         assert con.sql("SELECT count(*) FROM (SELECT s, sum(i) FROM t GROUP BY s)").fetchall() == [(6_000_000,)]
         assert os.listdir(tmp_path)
     assert not os.listdir(tmp_path)
+
+
+@pytest.mark.parametrize("bits", [64, 1 << 12])
+def test_the_filter_misses_no_frequent_phrase(spark, bits):
+    import random
+
+    r = random.Random(8)
+    texts = [(" ".join(r.choice("abcdefgh") * r.choice([1, 1, 1, 2, r.randint(1, 40)]) for _ in range(30)), "en") for _ in range(60)]
+    found = collocations.pieces(spark.createDataFrame(texts, "text string, lang string"))
+    got = {(r.phrase): r.n for r in collocations.counted(found, 4, 5, bits=bits, bucket_rows=500).collect()}
+    want = Counter()
+    for t, _ in texts:
+        w = t.split()
+        want.update(" ".join(w[i : i + k]) for k in range(1, 5) for i in range(len(w) - k + 1))
+    assert got == {p: n for p, n in want.items() if n >= 5} and len(got) > 100
