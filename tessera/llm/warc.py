@@ -18,7 +18,7 @@ from .common import drop_path, frugal, scratch, table, text_of, written
 #: Bytes of payload of a shard, shards at least, and compressed bytes after which a shard goes on in another file.
 SHARD_BYTES, LEAST_SHARDS, ROLL_BYTES = 1 << 30, 64, 256 << 20
 #: Rows that the bounds of the shards are found from, about: those whose hash is small.
-SAMPLE = 100_000
+SAMPLE = 20_000
 #: The date of records, a setting, as archives have to come out the same each time.
 DATE = "2000-01-01T00:00:00Z"
 #: Fixed values of the WARC 1.1 format.
@@ -262,7 +262,8 @@ def read_archives(spark: SparkSession, path: str, payloads: bool = True) -> Data
                             rows, held = [], 0
                 yield pa.RecordBatch.from_pylist(rows, schema)
 
-    return manifest_of(spark, path).select("file").repartition("file").mapInArrow(frugal(read), RECORD)
+    files = manifest_of(spark, path).select("file")
+    return files.repartition(max(1, files.count()), "file").mapInArrow(frugal(read), RECORD)
 
 
 def op12_warc_archives(spark: SparkSession, sf_dir: str) -> DataFrame:
