@@ -134,19 +134,31 @@ def greedy(pairs: DataFrame, least: float = 0.5, key: Keys = "image_id") -> Data
 def suppress(boxes: DataFrame, least: float = 0.9, key: Keys = "image_id", idx: str = "box_id", score: Column | None = None) -> DataFrame:
     """Rows that no kept row of their image with a higher score (ties: smaller idx) overlaps by least.
 
-    Only overlapping pairs are looked at. An image's go through one task in order; where they are many, rounds come
-    first: what nothing earlier overlaps is kept, and what it overlaps goes.
+    Only overlapping pairs are looked at, an image's in order or, where they are many, in rounds.
     """
     keys = _names(key)
     each = boxes.select(*keys, F.struct((-(score if score is not None else F.lit(1.0))).alias("k"), F.col(idx).alias("i")).alias("at"), *CORNERS)
     # a pair: the row at comes before the row o_at
     edges = close(each, each, least, key).where("at < o_at").select(*keys, "at", "o_at")
 
+    gone = settled_in_order(edges, keys, "at", "o_at").select(*keys, F.col("o_at.i").alias(idx))
+    return boxes.select(*keys, idx).join(gone, [*keys, idx], "left_anti")
+
+
+def settled_in_order(edges: DataFrame, keys: list[str], a: str, b: str) -> DataFrame:
+    """(keys, b): the nodes that go if nodes are visited in order and each takes away what it has edges to. Edges lead
+    from an earlier node a to a later one b; those with other keys know nothing of one another.
+
+    The edges of a key go through one task in order; where they are over MOST_PAIRS, rounds come first: what nothing
+    earlier leads to stays, and what it leads to goes.
+    """
+    plain = lambda x: tuple(x.values()) if isinstance(x, dict) else x
+
     def decide() -> Callable[[dict], bool]:
         gone: set = set()
 
         def goes(row: dict) -> bool:
-            at, other = ((r["k"], r["i"]) for r in (row["at"], row["o_at"]))
+            at, other = plain(row[a]), plain(row[b])
             new = at not in gone and other not in gone
             if new:
                 gone.add(other)
@@ -155,14 +167,13 @@ def suppress(boxes: DataFrame, least: float = 0.9, key: Keys = "image_id", idx:
         return goes
 
     def one_round(rows: DataFrame):
-        heads = rows.select(*keys, "at").distinct().join(rows.select(*keys, F.col("o_at").alias("at")).distinct(), [*keys, "at"], "left_anti")
-        new = rows.join(heads, [*keys, "at"], "left_semi").select(*keys, "o_at").distinct()
-        out = lambda n: rows.join(n, [*keys, "o_at"], "left_anti").join(n.select(*keys, F.col("o_at").alias("at")), [*keys, "at"], "left_anti").select(*keys, "at", "o_at")
-        return new, out
+        heads = rows.select(*keys, a).distinct().join(rows.select(*keys, F.col(b).alias(a)).distinct(), [*keys, a], "left_anti")
+        new = rows.join(heads, [*keys, a], "left_semi").select(*keys, b).distinct()
+        rest = lambda n: rows.join(n, [*keys, b], "left_anti").join(n.select(*keys, F.col(b).alias(a)), [*keys, a], "left_anti").select(*keys, a, b)
+        return new, rest
 
-    at_once = lambda r: _in_order(r, keys, ["o_at", "at"], decide, [*keys, "o_at"])
-    gone = _settled(edges, keys, at_once, one_round).select(*keys, F.col("o_at.i").alias(idx))
-    return boxes.select(*keys, idx).join(gone, [*keys, idx], "left_anti")
+    at_once = lambda r: _in_order(r, keys, [b, a], decide, [*keys, b])
+    return _settled(edges, keys, at_once, one_round)
 
 
 def fuse(boxes: DataFrame, weight: Column, least: float = 0.5, key: str = "image_id", idx: str = "box_id") -> DataFrame:

@@ -8,6 +8,12 @@ from pyspark.sql import DataFrame, Window as W
 from pyspark.sql import functions as F
 
 from ..functions import hashing
+from ..sources.scratch import written
+from .graphs import components
+from .matching import settled_in_order
+
+#: Signatures of a band's cell that are compared with one another.
+HOT = 100
 
 
 def correspondence(images: DataFrame, labels: DataFrame, key: list[str]) -> DataFrame:
@@ -32,21 +38,38 @@ def exact_groups(files: DataFrame, hash_col: str, path: str) -> DataFrame:
     return files.groupBy(hash_col).agg(F.count("*").alias("n"), F.min(path).alias("first")).where("n > 1")
 
 
+def _bands(fixed: int, most: int) -> list[int]:
+    """Masks that cut the bits which are not fixed in most + 1 bands, each with the fixed bits."""
+    free, n = [i for i in range(64) if not fixed >> i & 1], most + 1
+    return [fixed | sum(1 << i for i in free[len(free) * k // n : len(free) * (k + 1) // n]) for k in range(n)]
+
+
+def _signed(mask: int) -> int:
+    return mask - 2**64 if mask >> 63 else mask
+
+
 def near_pairs(hashes: DataFrame, id_col: str, sign: str, most: int = 3) -> DataFrame:
     """a < b with signatures (64 bits) at most so many bits apart, and the distance.
 
     Cut in most + 1 bands, two such signatures have an equal band: an equi-join on it, no pairs
-    of all with all. Equal signatures are joined once, as groups, before.
+    of all with all. A cell with over HOT signatures is not joined but cut further: of the bits that are not equal in it
+    yet, again most + 1 bands, of which a near pair has one equal; and so on while bits are left. Equal signatures are
+    joined once, as groups, before, so a cell with few bits left is small.
     """
     groups = hashes.groupBy(sign).agg(F.min(id_col).alias("rep"))
-    bands = most + 1
-    width = -(-64 // bands)
-    mask = (1 << width) - 1
-    cut = F.array(*[F.struct(F.lit(i).alias("band"), F.shiftrightunsigned(F.col(sign), min(63, i * width)).bitwiseAND(mask if mask < 2**63 else -1).alias("bits")) for i in range(bands)])
-    cells = groups.select("rep", sign, F.explode(cut).alias("b")).select("rep", sign, "b.band", "b.bits")
-    x, y = cells.alias("x"), cells.alias("y")
-    near = x.join(y, (F.col("x.band") == F.col("y.band")) & (F.col("x.bits") == F.col("y.bits")) & (F.col("x.rep") < F.col("y.rep")))
-    near = near.select(F.col("x.rep").alias("a"), F.col("y.rep").alias("b"), hashing.distance(F.col(f"x.{sign}"), F.col(f"y.{sign}")).alias("distance")).where(F.col("distance") <= most).distinct()
+    left, masks, met = groups.select("rep", F.col(sign).alias("s")).withColumn("fixed", F.lit(0).cast("long")), [0], []
+    while masks:
+        cuts = F.create_map(*[x for m in masks for x in (F.lit(m).cast("long"), F.array(*[F.lit(_signed(x)).cast("long") for x in _bands(m % 2**64, most)]))])
+        cells = left.withColumn("fixed", F.explode(cuts[F.col("fixed")]))
+        cells = written(cells.withColumn("bits", F.col("s").bitwiseAND(F.col("fixed"))))
+        hot = cells.groupBy("fixed", "bits").agg(F.count("*").alias("n")).where(F.col("n") > HOT).select("fixed", "bits")
+        masks = [r.fixed for r in hot.select("fixed").distinct().collect()]  # bands, not cells: a few
+        cold = cells.join(hot, ["fixed", "bits"], "left_anti") if masks else cells
+        other = cold.select("fixed", "bits", F.col("rep").alias("b"), F.col("s").alias("t"))
+        pair = cold.join(other, ["fixed", "bits"]).where("rep < b").select(F.col("rep").alias("a"), "b", hashing.distance(F.col("s"), F.col("t")).alias("distance"))
+        met.append(pair.where(F.col("distance") <= most))
+        left = cells.join(hot, ["fixed", "bits"], "left_semi").select("rep", "s", "fixed")
+    near = reduce(DataFrame.unionByName, met).distinct()
     same = hashes.join(groups, sign).where(F.col(id_col) != F.col("rep")).select(F.col("rep").alias("a"), F.col(id_col).alias("b"), F.lit(0).alias("distance"))
     return near.unionByName(same)
 
@@ -55,21 +78,15 @@ def star_groups(pairs: DataFrame) -> DataFrame:
     """(head, member): in order of id, a row that is not in a group yet heads one, and takes all later
     rows near it that are in none. Not transitive: what a member is near to stays out.
 
-    Settled in rounds: a row without a smaller undecided neighbour is a head if no head has taken it.
-    Pairs are few, and each round keeps only undecided ones.
+    Links that hang together are settled in order in one task, where they are MOST_PAIRS at most: a chain costs no round a
+    link. Larger ones go through rounds first: a row without a smaller undecided neighbour is a head.
     """
-    edges, taken = pairs.select("a", "b").distinct(), None
-    rounds: list[DataFrame] = []
-    while True:
-        heads = edges.select("a").distinct().join(edges.select(F.col("b").alias("a")).distinct(), "a", "left_anti")
-        new = edges.join(heads, "a").groupBy("b").agg(F.min("a").alias("head")).select("head", F.col("b").alias("member")).checkpoint()
-        if new.isEmpty():
-            break
-        rounds.append(new)
-        gone = new.select(F.col("member").alias("x"))
-        edges = edges.join(heads, "a", "left_anti").join(gone.select(F.col("x").alias("a")), "a", "left_anti").join(gone.select(F.col("x").alias("b")), "b", "left_anti").checkpoint()
-    taken = reduce(DataFrame.unionByName, rounds) if rounds else edges.select(F.col("a").alias("head"), F.col("b").alias("member"))
-    return taken
+    edges = written(pairs.select("a", "b").distinct())
+    whole = components(edges)
+    edges = edges.join(whole.select(F.col("node").alias("a"), "root"), "a").select("root", "a", "b")
+    gone = settled_in_order(edges, ["root"], "a", "b")
+    heads = edges.join(gone.select("root", F.col("b").alias("a")), ["root", "a"], "left_anti")
+    return heads.groupBy("b").agg(F.min("a").alias("head")).select("head", F.col("b").alias("member"))
 
 
 def merge_with_precedence(rows: DataFrame, key: str = "key", valid: str = "valid", order: tuple[str, ...] = ("prio", "pos")) -> DataFrame:

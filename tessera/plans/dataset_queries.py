@@ -42,9 +42,8 @@ def scan_suffixes(spark, sf):
 @query(f"WITH {NAMES_SQL} SELECT 'raw/' || dataset || '/' || split || '/img' || doc_id || '.' || e AS path, row_number() OVER (ORDER BY 'raw/' || dataset || '/' || split || '/img' || doc_id || '.' || e) - 1 AS at FROM n WHERE e <> 'txt'")
 def sorted_scan(spark, sf):
     """Files with their place in the order of paths."""
-    found = images.manifest(_listing(spark, sf), "raw").select("path", "dataset", "split", "name")
-    bucket = F.regexp_replace("path", r"[^/]*$", "")
-    return splits.ranked_in_buckets(found.withColumn("bucket", F.concat(bucket, F.substring("name", 1, 5))), ["path"], "bucket").select("path", (F.col("rank") - 1).alias("at"))
+    found = images.manifest(_listing(spark, sf), "raw").select("path")
+    return splits.ranked_in_ranges(found, ["path"]).select("path", (F.col("rank") - 1).alias("at"))
 
 
 # The needed folders, and how many images are too few.
@@ -448,3 +447,15 @@ def hash_methods(spark, sf):
     e = b.table(spark, sf, "events")
     parts = [e.where(F.col("event_id") % 2 == k).select("event_id", hashing.by_method(m)(F.col("event_type")).alias("hash"), F.lit(m).alias("method")) for k, m in enumerate(("md5", "fallback"))]
     return parts[0].unionByName(parts[1])
+
+
+QUOTA = splits.bin_quotas(200)
+
+
+@query(f"""WITH {b.BOXES}, ar AS (SELECT box_id, (x2 - x1) / (y2 - y1) AS r, value FROM b), n AS (SELECT * EXCLUDE (r), CASE {' '.join(f"WHEN r >= {low} AND r < {high} THEN '{name}'" for name, (low, high, _) in splits.BINS.items())} END AS bin FROM ar),
+k AS (SELECT *, row_number() OVER (PARTITION BY bin ORDER BY round(-ln(({H.format("'bins' || box_id")} + 1) / 4294967297.0::DOUBLE) / value, 9), box_id) AS r FROM n WHERE value > 0)
+SELECT bin, box_id, round(value, 6) AS weight FROM k JOIN (VALUES {', '.join(f"('{name}', {q})" for name, q in QUOTA.items())}) q(bin, quota) USING (bin) WHERE k.r <= quota""")
+def weighted_bins(spark, sf):
+    """200 boxes over the bins of aspect ratio by the bins' weights, in each by the boxes' confidence."""
+    x = b.boxes(spark, sf).select("box_id", F.col("value").alias("weight"), splits.aspect_bin((F.col("x2") - F.col("x1")) / (F.col("y2") - F.col("y1"))).alias("bin"))
+    return shown(splits.weighted_sample(x, "box_id", "weight", QUOTA, salt="bins").select("bin", "box_id", "weight"))

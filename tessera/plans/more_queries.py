@@ -8,7 +8,6 @@ from pyspark.sql import functions as F
 from ..functions import hashing, plates
 from ..functions.sampling import hash32, uniform, weighted_choice
 from ..operators import merging, quality, stats, voting
-from ..sources import scratch
 from . import bindings as b
 from .queries import FILES, H, _files, _measured, clean_report, query, shown
 
@@ -237,8 +236,6 @@ def near_dupes(spark, sf):
 
 @query()
 def near_dupe_groups(spark, sf):
-    if spark.sparkContext.getCheckpointDir() is None:
-        spark.sparkContext.setCheckpointDir(scratch.folder(spark))
     return merging.star_groups(merging.near_pairs(_signs(spark, sf), "id", "sign"))
 
 
@@ -269,7 +266,7 @@ def track_confidence(spark, sf):
     return shown(b.reads(spark, sf).groupBy("track").agg(F.avg("conf").alias("mean_conf"), F.count_if(F.col("conf") > 30).alias("confident")))
 
 
-@query("SELECT user_id AS track, string_agg(event_type, '' ORDER BY (event_id * 31) % 480, event_id) AS joined FROM events WHERE event_id % 40 < 5 GROUP BY user_id")
+@query("SELECT user_id AS track, string_agg(event_type, '' ORDER BY (event_id * 31) % 480, event_id) AS joined FROM events GROUP BY user_id")
 def ocr_line_order(spark, sf):
     r = b.table(spark, sf, "events").groupBy(F.col("user_id").alias("track")).agg(F.collect_list(F.struct(((F.col("event_id") * 31) % 480).alias("y"), F.col("event_id").alias("i"), F.col("event_type").alias("t"))).alias("l"))
     return r.select("track", F.array_join(F.transform(F.array_sort("l"), lambda x: x["t"]), "").alias("joined"))

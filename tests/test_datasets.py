@@ -68,3 +68,31 @@ def test_plans_of_awkward_boxes(spark):
     assert augment.plan(boxes.where("false"), 640, 480).count() == 0
     with pytest.raises(Exception):
         augment.plan(boxes.drop("x1"), 640, 480)
+
+
+def test_quotas_are_met(spark):
+    from tessera.operators import splits
+
+    quota = splits.bin_quotas(200)
+    assert sum(quota.values()) == 200 and quota["tiny"] == max(quota.values())
+    df = spark.range(3000).select("id", (F.col("id") % 7 + 0.0).alias("w"), F.element_at(F.array(*map(F.lit, [*splits.BINS, "other"])), (F.col("id") % 6 + 1).cast("int")).alias("bin"))
+    for parts in (1, 50):
+        got = splits.weighted_sample(df, "id", "w", quota, parts=parts)
+        rows = got.collect()
+        assert {n: sum(r.bin == n for r in rows) for n in quota} == quota and len({r.id for r in rows}) == 200 and all(r.w > 0 for r in rows)
+    heavy = splits.weighted_sample(df.withColumn("bin", F.lit("a")), "id", "w", {"a": 600}).agg(F.avg("w")).first()[0]
+    assert heavy > 3.6  # a plain sample of rows with weight has 3.5
+    assert splits.weighted_sample(df.where("id < 20"), "id", "w", quota).count() == df.where("id < 20 AND w > 0 AND bin <> 'other'").count()
+
+
+def test_ranks_in_ranges_of_like_names(spark):
+    from tessera.operators import splits
+
+    names = spark.range(20_000).select(F.concat(F.lit("img"), F.lpad(F.pmod(F.col("id") * 7919, F.lit(20_000)).cast("string"), 9, "0")).alias("name"))
+    got = splits.ranked_in_ranges(names, ["name"], ranges=16).withColumn("want", F.substring("name", 4, 9).cast("bigint") + 1)
+    assert got.where("rank <> want OR n <> 20000").count() == 0 and got.count() == 20_000
+    sizes = sorted(r["count"] for r in names.repartitionByRange(16, "name").groupBy(F.spark_partition_id()).count().collect())
+    assert len(sizes) == 16 and sizes[-1] < 2 * sizes[8]
+    odd = spark.createDataFrame([("b", 1), (None, 1), ("a", 2), ("a", 2), (None, 2)], "name string, g int")
+    assert sorted((r.g, r.rank, r.name) for r in splits.ranked_in_ranges(odd, ["name"], ["g"], 3).collect()) == [(1, 1, None), (1, 2, "b"), (2, 1, None), (2, 2, "a"), (2, 3, "a")]
+    assert splits.ranked_in_ranges(odd.where("false"), ["name"]).count() == 0

@@ -99,3 +99,41 @@ def test_average_precision_by_hand(spark):
     assert got[0, 0.95] == got[0, 0.65] and got[1, 0.5] == 0 and len(got) == 20
     assert matching.mean_average_precision(g.where("false"), d).count() == 0
     assert {r.ap for r in matching.mean_average_precision(g, d.where("false")).collect()} == {0.0}
+
+
+def test_near_pairs_with_a_hot_band(spark, monkeypatch):
+    from tessera.operators import merging
+
+    r = random.Random(2)
+    monkeypatch.setattr(merging, "HOT", 5)
+    signs = [(r.getrandbits(20) << 44 | 0xBEEF) for _ in range(60)] + [r.getrandbits(64) for _ in range(20)]
+    signs += [s ^ (1 << r.randrange(64)) ^ (1 << r.randrange(64)) for s in signs[:40]] + signs[:5]
+    rows = [(i, s - 2**64 if s >> 63 else s) for i, s in enumerate(signs)]
+    first = {}
+    for i, s in enumerate(signs):
+        first.setdefault(s, i)
+    want = {(i, j, (signs[i] ^ signs[j]).bit_count()) for i in first.values() for j in first.values() if i < j and (signs[i] ^ signs[j]).bit_count() <= 3}
+    want |= {(first[s], i, 0) for i, s in enumerate(signs) if first[s] != i}
+    got = merging.near_pairs(spark.createDataFrame(rows, "id bigint, sign bigint"), "id", "sign").collect()
+    assert {tuple(x) for x in got} == want and len(got) == len(want) > 40
+
+
+def test_many_signatures_with_a_hot_band(spark):
+    from tessera.operators import merging
+
+    n = 300_000
+    sign = F.shiftleft(F.xxhash64("id"), 16).bitwiseOR(F.lit(0xBEEF))  # all are alike in sixteen bits
+    rows = spark.range(n).select("id", sign.alias("sign"))
+    twins = rows.where("id % 1000 = 0").select((F.col("id") + n).alias("id"), F.col("sign").bitwiseXOR(F.lit(2**40 + 2**20)).alias("sign"))
+    began = time.time()
+    got = merging.near_pairs(rows.unionByName(twins), "id", "sign").where(F.col("b") == F.col("a") + n)
+    assert got.count() == n // 1000 and time.time() - began < 200
+
+
+def test_star_groups_of_a_chain(spark):
+    from tessera.operators import merging
+
+    chain = spark.createDataFrame([(i, i + 1) for i in range(300)] + [(1000, 1001), (1000, 1002), (1001, 1003)], "a bigint, b bigint")
+    began = time.time()
+    got = {(r.head, r.member) for r in merging.star_groups(chain).collect()}
+    assert got == {(i, i + 1) for i in range(0, 300, 2)} | {(1000, 1001), (1000, 1002)} and time.time() - began < 100
