@@ -8,9 +8,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.images import drawn
-from ..sources import dataset, images, scratch
+from ..sources import dataset, images, reports, scratch
 from . import bindings as b
-from .queries import query, shown
+from .queries import ORACLE, QUERIES, query, shown
 
 #: A supplier's image: grey, made by whole numbers.
 ROWS, COLUMNS = 24, 32
@@ -52,3 +52,44 @@ def complete_splits(spark, sf):
     root = _written(spark, sf)
     scratch.drop(spark, f"{root}/labels/test")
     return dataset.read_dataset(spark, root, skip_incomplete=True).groupBy("split", "status", "label").agg(F.count("*").alias("n"))
+
+
+# reports ----------------------------------------------------------------------------------------
+
+#: Reports by kind: the query that each is of, and the columns that it is nested by.
+REPORTS = {"cleaning": ("clean_report", ["split"]), "issues": ("issue_histogram", ["split", "issue"]), "merge": ("merge_summary", []), "buckets": ("aspect_size_buckets", ["aspect", "size"])}
+CLEANING = ("total", "kept", "flagged", "cleaning_rate", "issues_per_image", "worst")
+MERGED = ("clean_added", "pseudo_added", "duplicates_skipped", "invalid_labels", "total")
+
+
+def _values(name: str, by: str, columns: tuple[str, ...], table: str) -> str:
+    """Each column of a table as rows of a report's values."""
+    key = f"{by} || '.' || " if by else ""
+    return " UNION ALL ".join(f"SELECT '{name}' AS kind, {key}'{c}' AS path, {'NULL::DOUBLE' if c == 'worst' else f'{c}::DOUBLE'} AS number, {c if c == 'worst' else 'NULL'}::VARCHAR AS text FROM {table}" for c in columns)
+
+
+REPORT_SQL = f"""WITH r1 AS ({ORACLE['clean_report']}), r2 AS ({ORACLE['issue_histogram']}), r3 AS ({ORACLE['merge_summary']}), r4 AS ({ORACLE['aspect_size_buckets']})
+{_values('cleaning', 'split', CLEANING, 'r1')} UNION ALL {_values('merge', '', MERGED, 'r3')}
+UNION ALL SELECT 'issues', split || '.' || issue, n::DOUBLE, NULL FROM r2 UNION ALL SELECT 'buckets', aspect || '.' || size, n::DOUBLE, NULL FROM r4"""
+
+
+def _reported(spark, sf) -> DataFrame:
+    """Four reports of different shapes, written to files and read back."""
+    root = f"{scratch.folder(spark)}/reports-{uuid.uuid4().hex}"
+    for kind, (name, by) in REPORTS.items():
+        reports.write_reports(reports.as_report(kind, QUERIES[name](spark, sf), by), root)
+    return reports.read_reports(spark, root)
+
+
+@query(REPORT_SQL)
+def reports_read_back(spark, sf):
+    """Every value of four reports, by its path, from files whose shape nobody says."""
+    return reports.leaves(_reported(spark, sf)).select("kind", "path", "number", "text")
+
+
+@query(f"""WITH r1 AS ({ORACLE['clean_report']}), r3 AS ({ORACLE['merge_summary']})
+SELECT 'cleaning' AS kind, (SELECT total FROM r1 WHERE split = 'all')::DOUBLE AS total, (SELECT cleaning_rate FROM r1 WHERE split = 'all')::DOUBLE AS rate UNION ALL SELECT 'merge', total, 0 FROM r3 UNION ALL SELECT 'issues', -1, 0 UNION ALL SELECT 'buckets', -1, 0""")
+def report_metrics(spark, sf):
+    """Two metrics of each report by the first place where a report has them, else a default."""
+    total, rate = reports.first_metric("report", "$.all.total", "$.total", default=-1.0), reports.first_metric("report", "$.all.cleaning_rate", "$.cleaning_rate", "$.rate")
+    return _reported(spark, sf).select("kind", total.alias("total"), rate.alias("rate"))
