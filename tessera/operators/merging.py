@@ -38,6 +38,21 @@ def exact_groups(files: DataFrame, hash_col: str, path: str) -> DataFrame:
     return files.groupBy(hash_col).agg(F.count("*").alias("n"), F.min(path).alias("first")).where("n > 1")
 
 
+#: What makes two files one, and how files go to another place.
+DEDUP_KEYS, TRANSFERS = ("md5", "filename"), ("copy", "symlink")
+
+
+def transfer_plan(files: DataFrame, root: str, dedup: str = "md5", transfer: str = "copy") -> DataFrame:
+    """path, target, action of the files that go to ``root``: the first by path of those with one hash or, as ``dedup``
+    says, one name. files: path, split, name, hash."""
+    for value, known in ((dedup, DEDUP_KEYS), (transfer, TRANSFERS)):
+        if value not in known:
+            raise ValueError(f"no {value}; there are {', '.join(known)}")
+    key = "hash" if dedup == "md5" else "name"
+    first = files.groupBy(key).agg(F.min_by(F.struct("path", "split", "name"), "path").alias("f")).select("f.*")
+    return first.select("path", F.concat_ws("/", F.lit(root), F.lit("images"), "split", "name").alias("target"), F.lit(transfer).alias("action"))
+
+
 def _bands(fixed: int, most: int) -> list[int]:
     """Masks that cut the bits which are not fixed in most + 1 bands, each with the fixed bits."""
     free, n = [i for i in range(64) if not fixed >> i & 1], most + 1

@@ -104,3 +104,17 @@ def adjusted(images: DataFrame, factor: float, offset: float) -> DataFrame:
         return data.map(lambda x: np.clip(np.floor(np.frombuffer(x, np.uint8) * factor + offset), 0, 255).astype(np.uint8).tobytes())
 
     return images.withColumn("data", run("data"))
+
+
+#: How an image can be hashed: by its bytes, or by what it looks like.
+HASHES = ("md5", "dhash", "phash")
+
+
+def image_hash(images: DataFrame, method: str) -> DataFrame:
+    """images without data, with hash: text of 32 hex digits (md5) or of 64 bits (dhash, phash; null for what has no pixels)."""
+    if method not in HASHES:
+        raise ValueError(f"no hash method {method}; there are {', '.join(HASHES)}")
+    if method == "md5":
+        return images.withColumn("hash", F.md5("data")).drop("data")
+    kept = [c for c in images.columns if c != "data"]
+    return image_metrics(images).select(*kept, F.lpad(F.bin(method), 64, "0").alias("hash"))

@@ -1,7 +1,7 @@
 import pytest
 
 import __spark_entry__ as entry
-from tessera.plans import augment_queries, cleaning_queries, dataset_queries, evaluation_queries, file_queries, group_queries, more_queries, queries, stream_queries  # noqa: F401
+from tessera.plans import augment_queries, choice_queries, cleaning_queries, dataset_queries, evaluation_queries, file_queries, group_queries, more_queries, queries, stream_queries  # noqa: F401
 from tests.conftest import SF
 
 
