@@ -209,7 +209,7 @@ def write_archives(pages: DataFrame, path: str, id_col: str = "page_id", url_col
     none = lambda kind: F.lit(None).cast(kind)
     both = base.select("id", "spread", "tie", "url", "payload", none("long").alias("refers_to")).unionByName(revisits(keys, least_bytes).select("id", "spread", "tie", none("string").alias("url"), none("string").alias("payload"), "refers_to"))
     columns = "shard bigint, id bigint, spread bigint, tie bigint, url string, payload string, refers_to bigint"
-    dealt = both.mapInArrow(frugal(deal), columns).repartition("shard").sortWithinPartitions("shard", "id", "tie", F.col("payload").isNotNull())
+    dealt = both.mapInArrow(frugal(deal), columns).repartition(len(bounds) + 1, "shard").sortWithinPartitions("shard", "id", "tie", F.col("payload").isNotNull())
     committed = written(dealt.mapInArrow(frugal(archive), f"{MANIFEST}, at string"))
 
     def name(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
