@@ -3,14 +3,17 @@
 from __future__ import annotations
 
 import uuid
+from functools import reduce
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.images import drawn
+from ..operators import cleaning
 from ..sources import dataset, images, reports, scratch
+from ..sources.yaml_text import as_yaml
 from . import bindings as b
-from .queries import ORACLE, QUERIES, query, shown
+from .queries import FILES, ORACLE, QUERIES, _files, query, shown
 
 #: A supplier's image: grey, made by whole numbers.
 ROWS, COLUMNS = 24, 32
@@ -93,3 +96,49 @@ def report_metrics(spark, sf):
     """Two metrics of each report by the first place where a report has them, else a default."""
     total, rate = reports.first_metric("report", "$.all.total", "$.total", default=-1.0), reports.first_metric("report", "$.all.cleaning_rate", "$.cleaning_rate", "$.rate")
     return _reported(spark, sf).select("kind", total.alias("total"), rate.alias("rate"))
+
+
+# dataset descriptions ---------------------------------------------------------------------------
+
+COUNTS_SQL = f"""{FILES}, c AS (SELECT count(*) FILTER (split = 'train') AS train, count(*) FILTER (split = 'val') AS val, count(*) FILTER (split = 'test') AS test, count(*) AS images, count(l.doc_id) AS labels FROM f LEFT JOIN (SELECT DISTINCT doc_id FROM labels) l USING (doc_id))"""
+_HEAD = "'path: {at}' || chr(10) || 'train: {train}' || chr(10) || 'val: {val}' || chr(10) || 'test: {test}' || chr(10) || 'nc: 1' || chr(10) || 'names:' || chr(10) || '- license_plate' || chr(10)"
+_SPLIT_DIRS = {k: f"images/{k}" for k in ("train", "val", "test")}
+
+
+def _lines(*lines: str) -> str:
+    return " || ".join(f"{x} || chr(10)" for x in lines)
+
+
+@query(f"""WITH {COUNTS_SQL}
+SELECT 'prepared' AS variant, {_HEAD.format(at='data/prepared', **_SPLIT_DIRS)} || {_lines("'statistics:'", "'  total: ' || images", "'  train: ' || train", "'  val: ' || val", "'  test: ' || test")} AS text FROM c
+UNION ALL SELECT 'cleaned', {_HEAD.format(at='data/cleaned', **_SPLIT_DIRS)} || {_lines("'cleaning_info:'", "'  min_bbox_area: 1000'", "'  max_bbox_area: 100000'", "'  iou_threshold: 0.9'")}
+UNION ALL SELECT 'augmented', {_HEAD.format(at='data/augmented', **_SPLIT_DIRS)} || {_lines("'metadata:'", "'  seed: 42'", "'  multiplier: 2.0'", "'  note: ''boxes: composed transforms'''")}
+UNION ALL SELECT 'synthetic', {_HEAD.format(at='data/synthetic', train='images', val='images', test='images')}
+UNION ALL SELECT 'pseudo', {_lines("'path: data/pseudo'", "'train: images/train'", "'nc: 1'", "'names:'", "'- license_plate'")}
+UNION ALL SELECT 'optimal', {_HEAD.format(at='data/optimal', **_SPLIT_DIRS)} || {_lines("'metadata:'", "'  status: VALIDATED'", "'  statistics:'", "'    total_images: ' || images", "'    total_labels: ' || labels", "'    label_coverage: ''' || printf('%.1f%%', labels * 100.0 / images) || ''''", "'    splits:'", "'      train: ' || train", "'      val: ' || val", "'      test: ' || test", "'  notes:'", "'  - Enhanced validation performed'", "'  - Ready for training'")} FROM c""")
+def dataset_yaml(spark, sf):
+    """The dataset description as each step of the preparation writes it, with what the step knows."""
+    f = _files(spark, sf).select("doc_id", "split").join(b.table(spark, sf, "labels").select("doc_id", F.lit(1).alias("has")).distinct(), "doc_id", "left")
+    n = lambda s: F.count_if(F.col("split") == s).alias(s)
+    counts = f.agg(n("train"), n("val"), n("test"), F.count("*").alias("images"), F.count("has").alias("labels"))
+    text = lambda **fields: [F.lit(v).alias(k) if not hasattr(v, "alias") else v.alias(k) for k, v in fields.items()]
+
+    def head(step: str, dirs: dict[str, str] = _SPLIT_DIRS) -> list:
+        return text(path=f"data/{step}", **dirs, nc=1, names=F.array(F.lit("license_plate")))
+
+    splits = F.struct("train", "val", "test")
+    coverage = F.format_string("%.1f%%", F.col("labels") * 100.0 / F.col("images"))
+    statistics = F.struct(*text(total_images=F.col("images"), total_labels=F.col("labels"), label_coverage=coverage, splits=splits))
+    variants = {
+        "prepared": [*head("prepared"), F.struct(F.col("images").alias("total"), "train", "val", "test").alias("statistics")],
+        "cleaned": [*head("cleaned"), F.struct(*text(min_bbox_area=cleaning.LEAST_AREA, max_bbox_area=cleaning.MOST_AREA, iou_threshold=cleaning.SAME)).alias("cleaning_info")],
+        "augmented": [*head("augmented"), F.struct(*text(seed=42, multiplier=2.0, note="boxes: composed transforms")).alias("metadata")],
+        "synthetic": head("synthetic", dict.fromkeys(_SPLIT_DIRS, "images")),
+        "pseudo": [c for c, keep in zip(head("pseudo"), (1, 1, 0, 0, 1, 1), strict=True) if keep],
+        "optimal": [*head("optimal"), F.struct(*text(status="VALIDATED", statistics=statistics, notes=F.array(F.lit("Enhanced validation performed"), F.lit("Ready for training")))).alias("metadata")],
+    }
+    each = []
+    for variant, fields in variants.items():
+        d = counts.select(F.struct(*fields).alias("d"))
+        each.append(d.select(F.lit(variant).alias("variant"), as_yaml(F.col("d"), d.schema["d"].dataType).alias("text")))
+    return reduce(DataFrame.unionByName, each)

@@ -57,3 +57,13 @@ def test_images_by_all_that_is_wrong(spark):
         12: (["blurry", "low_contrast", "too_dark"], [], 1, True, None), 13: (["no_valid_plates"], [], 0, False, "mislabeled"),
     }
     assert cleaning.clean_images(df.where("false"), lines(spark, rows), 640, 480).count() == 0
+
+
+def test_yaml_reads_back(spark):
+    from tessera.sources.config import parse_yaml
+    from tessera.sources.yaml_text import as_yaml
+
+    d = spark.range(1).select(F.struct(F.lit("a/b").alias("path"), F.lit("it's: so").alias("note"), F.lit("no").alias("flag"), F.lit("").alias("none"), F.lit(True).alias("on"), F.lit(None).cast("int").alias("gone"), F.struct(F.lit(2.5).alias("x"), F.array(F.lit("p"), F.lit("q r")).alias("l")).alias("inner"), F.array().cast("array<string>").alias("empty")).alias("d"))
+    text = d.select(as_yaml(F.col("d"), d.schema["d"].dataType)).first()[0]
+    assert text == "path: a/b\nnote: 'it''s: so'\nflag: 'no'\nnone: ''\non: true\ngone: null\ninner:\n  x: 2.5\n  l:\n  - p\n  - q r\nempty: []\n"
+    assert parse_yaml("path: a/b\ninner:\n  x: 2.5\n")["inner"] == {"x": 2.5}
