@@ -7,7 +7,7 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tessera.llm.common import scratch, table
+from tessera.llm.common import drop_path, scratch, table
 from tessera.llm.line_dedup import dedup_lines
 from tessera.llm.mixing import mixed_documents
 from tessera.llm.ngram_join import keep_one
@@ -56,10 +56,12 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Applies the stages to documents; each is written and read again."""
-    docs = table(spark, sf_dir, "documents")
+    """Applies the stages to documents; each is written and read again, and its table goes when the next is written."""
+    docs, last = table(spark, sf_dir, "documents"), None
     for name, stage in STAGES[:-1]:
         path = f"{scratch(spark)}/{name}-{uuid.uuid4().hex}"
         stage(spark, docs, sf_dir).write.parquet(path)
-        docs = spark.read.parquet(path)
+        if last:
+            drop_path(spark, last)
+        docs, last = spark.read.parquet(path), path
     return STAGES[-1][1](spark, docs, sf_dir)
