@@ -135,7 +135,10 @@ def numbered(df: DataFrame, by: list[str], order: list[str], start: int = 0, nam
 
 def round_robin(df: DataFrame, key: str, wanted: int, by: list[str]) -> DataFrame:
     """``wanted`` attempts per group that cycle over its rows in order: attempt, and the row's columns."""
-    part = W.partitionBy(*by)
-    rows = df.withColumn("at", F.row_number().over(part.orderBy(key)) - 1).withColumn("n", F.count("*").over(part))
+    first = first_of_each(df, by, [key], wanted)  # of a group, no more rows than attempts meet in a task
+    counts, same = df.groupBy(*[F.col(k).alias(f"__{k}") for k in by]).agg(F.count("*").alias("n")), F.lit(True)
+    for k in by:
+        same = same & F.col(k).eqNullSafe(F.col(f"__{k}"))
+    rows = first.withColumn("at", F.row_number().over(W.partitionBy(*by).orderBy(key)) - 1).join(counts, same).drop(*[f"__{k}" for k in by])
     times = F.floor((F.lit(wanted) - 1 - F.col("at")) / F.col("n"))
     return rows.where(F.col("at") < wanted).withColumn("turn", F.explode(F.sequence(F.lit(0).cast("bigint"), times))).withColumn("attempt", F.col("turn") * F.col("n") + F.col("at")).drop("turn", "at", "n")
