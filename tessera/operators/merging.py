@@ -64,7 +64,8 @@ def _signed(mask: int) -> int:
 
 
 def near_pairs(hashes: DataFrame, id_col: str, sign: str, most: int = 3) -> DataFrame:
-    """a < b with signatures (64 bits) at most so many bits apart, and the distance.
+    """a < b with signatures (64 bits) at most so many bits apart, and the distance: between the first ids of different
+    signatures, and from the first id of a signature to its copies (distance 0). with_copies() has the copies' links too.
 
     Cut in most + 1 bands, two such signatures have an equal band: an equi-join on it, no pairs
     of all with all. A cell with over HOT signatures is not joined but cut further: of the bits that are not equal in it
@@ -89,6 +90,21 @@ def near_pairs(hashes: DataFrame, id_col: str, sign: str, most: int = 3) -> Data
     return near.unionByName(same)
 
 
+def with_copies(near: DataFrame) -> DataFrame:
+    """What near_pairs gives, with the links of all copies: every a < b with signatures as near as asked, and the distance.
+    As many rows as there are such pairs."""
+    near = written(near)
+    copies = near.where("distance = 0").select(F.col("a").alias("rep"), F.col("b").alias("id"))
+    members = copies.unionByName(copies.select("rep", F.col("rep").alias("id")).distinct())
+    ends = near.where("distance > 0")
+    for side in ("a", "b"):
+        of = members.select(F.col("rep").alias(side), "id")
+        ends = ends.join(of, side, "left").withColumn(side, F.coalesce("id", side)).drop("id")
+    ends = ends.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"), "distance")
+    same = members.withColumnRenamed("id", "a").join(members.withColumnRenamed("id", "b"), "rep").where("a < b")
+    return ends.unionByName(same.select("a", "b", F.lit(0).alias("distance")))
+
+
 def star_groups(pairs: DataFrame) -> DataFrame:
     """(head, member): in order of id, a row that is not in a group yet heads one, and takes all later
     rows near it that are in none. Not transitive: what a member is near to stays out.

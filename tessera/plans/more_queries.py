@@ -230,7 +230,7 @@ NEAR_SQL = f"""WITH e AS (SELECT vec_id::BIGINT AS id, {SIGN_SQL} AS s FROM embe
 
 @query(NEAR_SQL + " SELECT x.id AS a, y.id AS b, bit_count(xor(x.s, y.s))::INT AS distance, round(1 - bit_count(xor(x.s, y.s)) / 64.0::DOUBLE, 6) AS similarity FROM t x JOIN t y ON x.id < y.id AND bit_count(xor(x.s, y.s)) <= 3")
 def near_dupes(spark, sf):
-    p = merging.near_pairs(_signs(spark, sf), "id", "sign")
+    p = merging.with_copies(merging.near_pairs(_signs(spark, sf), "id", "sign"))
     return p.withColumn("similarity", F.round(1 - F.col("distance") / 64.0, 6))
 
 

@@ -146,3 +146,17 @@ def test_star_groups_of_a_chain(spark):
     began = time.time()
     got = {(r.head, r.member) for r in merging.star_groups(chain).collect()}
     assert got == {(i, i + 1) for i in range(0, 300, 2)} | {(1000, 1001), (1000, 1002)} and time.time() - began < 100
+
+
+def test_copies_have_the_links_of_their_first(spark):
+    from tessera.operators import merging
+
+    r = random.Random(5)
+    signs = [r.getrandbits(62) for _ in range(12)]
+    signs += [s ^ (1 << r.randrange(62)) for s in signs * 2] + [0, 1, 3, 7, 15, 31, 0]
+    signs += [r.choice(signs) for _ in range(60)]
+    near = lambda i, j: (signs[i] ^ signs[j]).bit_count() <= 3
+    want = {(i, j, (signs[i] ^ signs[j]).bit_count()) for j in range(len(signs)) for i in range(j) if near(i, j)}
+    pairs = merging.near_pairs(spark.createDataFrame([*enumerate(signs)], "id bigint, sign bigint"), "id", "sign")
+    got = merging.with_copies(pairs).collect()
+    assert {tuple(x) for x in got} == want and len(got) == len(want)
