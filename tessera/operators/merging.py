@@ -105,6 +105,19 @@ def with_copies(near: DataFrame) -> DataFrame:
     return ends.unionByName(same.select("a", "b", F.lit(0).alias("distance")))
 
 
+def near_groups(near: DataFrame) -> DataFrame:
+    """star_groups of all that with_copies has, from what near_pairs gives: no pairs of copies are made.
+
+    The first of equal signatures is its class's least id. If it heads a group it takes the others; if not, the head that
+    takes it is before them and takes them too. So only first ones are settled, and copies go where theirs goes.
+    """
+    near = written(near)
+    groups = written(star_groups(near.where("distance > 0")))
+    copies = near.where("distance = 0").select(F.col("a").alias("rep"), F.col("b").alias("member"))
+    heads = copies.join(groups.select("head", F.col("member").alias("rep")), "rep", "left")
+    return groups.unionByName(heads.select(F.coalesce("head", "rep").alias("head"), "member"))
+
+
 def star_groups(pairs: DataFrame) -> DataFrame:
     """(head, member): in order of id, a row that is not in a group yet heads one, and takes all later
     rows near it that are in none. Not transitive: what a member is near to stays out.

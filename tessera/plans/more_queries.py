@@ -236,7 +236,7 @@ def near_dupes(spark, sf):
 
 @query()
 def near_dupe_groups(spark, sf):
-    return merging.star_groups(merging.near_pairs(_signs(spark, sf), "id", "sign"))
+    return merging.near_groups(merging.near_pairs(_signs(spark, sf), "id", "sign"))
 
 
 # votes ----------------------------------------------------------------------------------------

@@ -157,6 +157,12 @@ def test_copies_have_the_links_of_their_first(spark):
     signs += [r.choice(signs) for _ in range(60)]
     near = lambda i, j: (signs[i] ^ signs[j]).bit_count() <= 3
     want = {(i, j, (signs[i] ^ signs[j]).bit_count()) for j in range(len(signs)) for i in range(j) if near(i, j)}
+    heads, groups = [], set()
+    for j in range(len(signs)):
+        head = min((h for h in heads if near(h, j)), default=None)
+        heads.append(j) if head is None else groups.add((head, j))
     pairs = merging.near_pairs(spark.createDataFrame([*enumerate(signs)], "id bigint, sign bigint"), "id", "sign")
     got = merging.with_copies(pairs).collect()
     assert {tuple(x) for x in got} == want and len(got) == len(want)
+    got = merging.near_groups(pairs).collect()
+    assert {tuple(x) for x in got} == groups and len(got) == len(groups)
