@@ -83,7 +83,7 @@ def stream_winner(spark, sf):
 def stream_running_winner(spark, sf):
     """Each track's winner at every frame of a stream, from state."""
     come = Arrivals(_reads(spark, sf), "frame")
-    with tracks.state_store(spark):
+    with tracks.state_store(spark, ends=False):
         # no track ends, however long it is away
         _after_each_slice(come, lambda: stream.run_to_files(tracks.stream_running_winner(come.read(), idle="4000 days"), f"{come.at}/out", f"{come.at}/ck"))
     return spark.read.schema(tracks.WINNERS).parquet(f"{come.at}/out")

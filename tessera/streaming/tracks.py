@@ -4,9 +4,10 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 from contextlib import contextmanager
+from operator import itemgetter
 
 import pandas as pd
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql.streaming.stateful_processor import StatefulProcessor, StatefulProcessorHandle
 
 PROVIDER = "spark.sql.streaming.stateStore.providerClass"
@@ -14,63 +15,69 @@ ROCKS = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvide
 WINNERS = "track bigint, frame bigint, leader string, votes double"
 
 
+IDLE_BATCHES = "spark.sql.streaming.noDataMicroBatches.enabled"
+
+
 @contextmanager
-def state_store(spark: SparkSession):
-    """The state store that processors need, for the streams started meanwhile."""
-    before = spark.conf.get(PROVIDER)
-    spark.conf.set(PROVIDER, ROCKS)
+def state_store(spark: SparkSession, ends: bool = True):
+    """The state store that processors need, for the streams started meanwhile. Where no track ends, batches without
+    rows, which only run timers, are left out."""
+    now = {PROVIDER: ROCKS} | ({} if ends else {IDLE_BATCHES: "false"})
+    before = {k: spark.conf.get(k) for k in now}
+    for k, v in now.items():
+        spark.conf.set(k, v)
     try:
         yield
     finally:
-        spark.conf.set(PROVIDER, before)
+        for k, v in before.items():
+            spark.conf.set(k, v)
 
 
 class RunningWinner(StatefulProcessor):
-    """Per track: the confidence of each text so far and the frame that first had it. A timer ends a track that is
-    not seen for ``idle`` milliseconds of event time; its state goes then."""
+    """Per track: the confidence of each text so far and the frame that first had it, in one value, the leading text
+    first. A timer ends a track that is not seen for ``idle`` milliseconds of event time; its state goes then. A timer
+    that comes when the track was seen since is set anew, so batches leave it alone."""
 
     def __init__(self, idle: int):
         self.idle = idle
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
-        self.votes = handle.getMapState("votes", "text string", "votes double, first_seen long")
-        self.leader = handle.getValueState("leader", "text string, votes double, first_seen long")
+        self.votes = handle.getValueState("votes", "seen long, votes array<struct<text: string, votes: double, first_seen: long>>")
         self.ends = handle.getValueState("ends", "at long")
 
-    def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
-        batch = pd.concat([*rows]).sort_values("frame", kind="stable")
-        best = self.leader.get()
-        changed: dict[str | None, tuple[float, int]] = {}
-        out = []
-        for frame, text, conf in zip(batch["frame"], batch["text"], batch["conf"], strict=True):
-            if text not in changed:
-                known = self.votes.getValue((text,))
-                changed[text] = (known[0], known[1]) if known else (0.0, int(frame))
-            total, first = changed[text] = (changed[text][0] + float(conf), changed[text][1])
+    def handleInputRows(self, key, rows: Iterator[Row], timerValues) -> Iterator[Row]:
+        batch = sorted(((int(r.frame), r.text, float(r.conf), r.ts) for r in rows), key=itemgetter(0))
+        state = self.votes.get()
+        votes = {x[0]: (x[1], x[2]) for x in state[1]} if state else {}
+        best = next(iter(votes), None)
+        total, first = votes.get(best, (-1.0, 0))
+        at = round(total, 6)
+        for frame, text, conf, _ in batch:
+            known = votes.get(text, (0.0, frame))
+            mine = votes[text] = (known[0] + conf, known[1])
             # only this text's total rose; totals compare by whole millionths, ties go to the text seen first
-            if best is None or best[0] == text or (round(total, 6), -first) > (round(best[1], 6), -best[2]):
-                best = (text, total, first)
-            out.append((int(key[0]), int(frame), best[0], round(best[1], 4)))
-        for text, value in changed.items():
-            self.votes.updateValue((text,), value)
-        self.leader.update(best)
-        self._until(int(batch["ts"].max().value // 1_000_000) + self.idle)
-        yield pd.DataFrame(out, columns=["track", "frame", "leader", "votes"])
+            rose = round(mine[0], 6)
+            if text == best or (rose, -mine[1]) > (at, -first):
+                best, (total, first), at = text, mine, rose
+            yield Row(track=int(key[0]), frame=frame, leader=best, votes=round(total, 4))
+        seen = max(int(pd.Timestamp(max(x[3] for x in batch)).value // 1_000_000), state[0] if state else 0)
+        leader = [(best, total, first)]
+        self.votes.update((seen, leader + [(text, *v) for text, v in votes.items() if text != best]))
+        if state is None:
+            self._until(seen + self.idle)
 
     def _until(self, at: int) -> None:
-        old = self.ends.get()
-        if old is not None and old[0] >= at:
-            return
-        if old is not None:
-            self.handle.deleteTimer(old[0])
         self.handle.registerTimer(at)
         self.ends.update((at,))
 
-    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
-        self.votes.clear()
-        self.leader.clear()
-        self.ends.clear()
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[Row]:
+        end = self.votes.get()[0] + self.idle
+        if end > timerValues.getCurrentWatermarkInMs():
+            self._until(end)
+        else:
+            self.votes.clear()
+            self.ends.clear()
         return iter(())
 
     def close(self) -> None:
@@ -86,7 +93,7 @@ def stream_running_winner(reads: DataFrame, idle: str = "1 hour", late: str = "1
     """
     ms = int(pd.Timedelta(idle).total_seconds() * 1000)
     whole = reads.where("track IS NOT NULL AND ts IS NOT NULL AND conf IS NOT NULL").withWatermark("ts", late)
-    return whole.groupBy("track").transformWithStateInPandas(RunningWinner(ms), WINNERS, "Append", "EventTime")
+    return whole.groupBy("track").transformWithState(RunningWinner(ms), WINNERS, "Append", "EventTime")
 
 
 def state_rows(spark: SparkSession, checkpoint: str, name: str = "votes") -> DataFrame:

@@ -43,6 +43,21 @@ def test_winners_at_every_frame_and_state_that_ends(spark, tmp_path):
     assert spark.conf.get(tracks.PROVIDER) != tracks.ROCKS
 
 
+def test_a_track_seen_after_its_timer_was_set_goes_on(spark, tmp_path):
+    path, ck, out = (f"{tmp_path}/{x}" for x in ("in", "ck", "out"))
+    rows = [(1, f, "ab"[f % 40 > 0], 0.25 + f % 3, f) for f in range(0, 160, 40)] + [(2, 0, "a", 0.5, 0)]  # track 1 comes every 40 minutes
+    timers = []
+    with tracks.state_store(spark):
+        for k in range(4):
+            reads(spark, [x for x in rows if x[1] == 40 * k]).write.mode("append").parquet(path)
+            stream.run_to_files(tracks.stream_running_winner(stream.read_stream(spark, path), idle="60 minutes", late="0 minutes"), out, ck)
+            timers.append({x.key.track: x.value["at"] for x in spark.read.format("statestore").option("stateVarName", "ends").load(ck).collect()})
+    assert [{*t} for t in timers] == [{1, 2}, {1, 2}, {1}, {1}]
+    assert timers[0][1] == timers[1][1] < timers[2][1]  # a batch leaves the timer alone; one that comes early is set anew
+    got = spark.read.schema(tracks.WINNERS).parquet(out)
+    assert sorted(map(tuple, got.collect())) == sorted(map(tuple, voting.running_winner(reads(spark, rows)).collect()))
+
+
 def test_sessions_come_from_the_stream(spark, monkeypatch):
     whole = stream_queries.stream_session(spark, SF).count()
     assert whole > 100
