@@ -85,19 +85,24 @@ def written(df: DataFrame) -> DataFrame:
     return written_at(df)[0]
 
 
+def trim() -> None:
+    """Gives free memory back to the system."""
+    import pyarrow as pa
+
+    pa.default_memory_pool().release_unused()
+    if hasattr(libc := ctypes.CDLL(None), "malloc_trim"):
+        libc.malloc_trim(0)
+
+
 def frugal(run: Callable[..., Iterator]) -> Callable[..., Iterator]:
     """A function of batches that gives free memory back to the system when a task ends: Python workers
     outlive their tasks, and idle ones would hold what the largest of them took."""
 
     @wraps(run)
     def each(batches):
-        import pyarrow as pa
-
         try:
             yield from run(batches)
         finally:
-            pa.default_memory_pool().release_unused()
-            if hasattr(libc := ctypes.CDLL(None), "malloc_trim"):
-                libc.malloc_trim(0)
+            trim()
 
     return each

@@ -13,16 +13,19 @@ import hashlib
 import re
 from collections.abc import Iterator
 from functools import cache
+from threading import Timer
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import frugal, table, text_of
+from .common import frugal, table, text_of, trim
 
 SPACE = "▁"
 #: Entries that a memo may hold before it is emptied, and the longest chunk that is kept.
 MEMO, LONGEST = 400_000, 40
+#: Seconds after a task until a worker that has got no other gives its memos up.
+IDLE = 2.0
 
 
 class Pieces:
@@ -52,15 +55,16 @@ class Pieces:
                 self.find.add_word(p, (p, len(p) - 1))
         self.find.make_automaton()
         self.pairs: dict[tuple[str, str], bool] = {}
-        self.chunks: dict[str, tuple[str, str]] = {}
+        self.chunks: dict[str, str | tuple[str, str]] = {}
+        self.idle: Timer | None = None
         # no piece goes on past these, so a text may be cut there
         inner = {c for p in self.id for c in p[1:]}
         if any(SPACE in p.lstrip(SPACE) for p in self.id):
             self.cut = re.compile("(?s).+")
         elif "\n" in inner | {p[0] for p in self.id}:
-            self.cut = re.compile(f"(?s){SPACE}*[^{SPACE}]+|{SPACE}+")
+            self.cut = re.compile("(?s) *[^ ]+| +")
         else:
-            self.cut = re.compile(f"\n|{SPACE}*[^{SPACE}\n]+|{SPACE}+")
+            self.cut = re.compile("\n| *[^ \n]+| +")
 
     def merged(self, text: str) -> list[str]:
         """The tokens that merging by score leaves, leftmost first among equals. For short texts."""
@@ -137,9 +141,11 @@ class Pieces:
         text = self.pieces_text(ids)
         return text[1:] if self.prefix and text[:1] == " " else text
 
-    def _chunk(self, chunk: str) -> tuple[str, str]:
-        ids = self.ids(self.tokens(chunk))
-        got = (" ".join(map(str, ids)), self.pieces_text(ids))
+    def _chunk(self, chunk: str) -> str | tuple[str, str]:
+        """The ids of a chunk, in which spaces stand for SPACE, joined; if they decode to another text, that too."""
+        ids = self.ids(self.tokens(chunk.replace(" ", SPACE)))
+        joined, back = " ".join(map(str, ids)), self.pieces_text(ids)
+        got = joined if back == chunk else (joined, back)
         if len(chunk) <= LONGEST:
             if len(self.chunks) >= MEMO:
                 self.chunks.clear()
@@ -150,11 +156,32 @@ class Pieces:
         """n ids, ids joined by spaces, with the end id; and what they decode to."""
         if not text:
             return 1, str(self.end), ""
-        known = self.chunks.get
-        ids, texts = zip(*[known(c) or self._chunk(c) for c in self.cut.findall(self.normal(text))], strict=True)
-        joined, decoded = " ".join(ids), "".join(texts)
+        known, decoded = self.chunks.get, (self.prefix + text).replace(SPACE, " ")
+        cut = self.cut.findall(decoded)
+        found = [known(c) or self._chunk(c) for c in cut]
+        try:
+            joined = " ".join(found)
+        except TypeError:  # some decode to another text
+            joined = " ".join(f if isinstance(f, str) else f[0] for f in found)
+            decoded = "".join(c if isinstance(f, str) else f[1] for c, f in zip(cut, found, strict=True))
         return joined.count(" ") + 2, f"{joined} {self.end}", decoded[1:] if self.prefix and decoded[:1] == " " else decoded
 
+    def busy(self) -> None:
+        """A task begins: the memos stay."""
+        if self.idle:
+            self.idle.cancel()
+
+    def rest(self) -> None:
+        """A task ends: Spark keeps the worker, but without another task soon it does not keep the memos."""
+        self.idle = Timer(IDLE, self.forget)
+        self.idle.daemon = True
+        self.idle.start()
+
+    def forget(self) -> None:
+        self.chunks.clear()
+        self.pairs.clear()
+        trim()
+
 
 @cache
 def pieces(model: bytes) -> Pieces:
@@ -181,28 +208,32 @@ def encode_pieces(docs: DataFrame, model_path: str | None = None, id_col: str =
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         p = pieces(model)
-        for batch in batches:
-            for at in range(0, len(batch), 256):
-                part = batch.slice(at, 256)
-                n, a, b, lists, texts = [], [], [], [], []
-                for text in part.column(1).to_pylist():
-                    count, joined, back = p.digest(text)
-                    n.append(count)
-                    a.append(hashlib.sha256(joined.encode()).hexdigest())
-                    b.append(hashlib.sha256(back.encode()).hexdigest())
+        p.busy()
+        try:
+            for batch in batches:
+                for at in range(0, len(batch), 256):
+                    part = batch.slice(at, 256)
+                    n, a, b, lists, texts = [], [], [], [], []
+                    for text in part.column(1).to_pylist():
+                        count, joined, back = p.digest(text)
+                        n.append(count)
+                        a.append(hashlib.sha256(joined.encode()).hexdigest())
+                        b.append(hashlib.sha256(back.encode()).hexdigest())
+                        if ids:
+                            lists.append(list(map(int, joined.split(" "))))
+                        if decoded:
+                            texts.append(back)
+                    columns = [part.column(0), pa.array(n, pa.int64()), pa.array(a, pa.string()), pa.array(b, pa.string())]
+                    names = ["id", "n_tokens", "ids_sha256", "decoded_sha256"]
                     if ids:
-                        lists.append(list(map(int, joined.split(" "))))
+                        columns.append(pa.array(lists, pa.list_(pa.int32())))
+                        names.append("token_ids")
                     if decoded:
-                        texts.append(back)
-                columns = [part.column(0), pa.array(n, pa.int64()), pa.array(a, pa.string()), pa.array(b, pa.string())]
-                names = ["id", "n_tokens", "ids_sha256", "decoded_sha256"]
-                if ids:
-                    columns.append(pa.array(lists, pa.list_(pa.int32())))
-                    names.append("token_ids")
-                if decoded:
-                    columns.append(pa.array(texts, pa.string()))
-                    names.append("decoded")
-                yield pa.RecordBatch.from_arrays(columns, names)
+                        columns.append(pa.array(texts, pa.string()))
+                        names.append("decoded")
+                    yield pa.RecordBatch.from_arrays(columns, names)
+        finally:
+            p.rest()
 
     kind = docs.schema[id_col].dataType.simpleString()
     schema = f"id {kind}, n_tokens bigint, ids_sha256 string, decoded_sha256 string" + ", token_ids array<int>" * ids + ", decoded string" * decoded

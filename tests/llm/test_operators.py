@@ -475,6 +475,23 @@ def test_pieces_decode_their_ids():
     assert back != "a text of words" and back == mine.decode(list(map(int, ids.split())))
 
 
+def test_an_idle_worker_gives_up_the_encoders_memos(monkeypatch):
+    import time
+
+    monkeypatch.setattr(pieces, "IDLE", 0.2)
+    with open(pieces.default_model(), "rb") as f:
+        mine = pieces.Pieces(f.read())
+    want = mine.digest("a text of words\nand 漢字")
+    assert all(isinstance(v, str) for v in mine.chunks.values())  # what decodes to itself is held once
+    mine.rest()
+    mine.busy()  # the next task comes at once
+    time.sleep(0.5)
+    assert mine.chunks and mine.pairs
+    mine.rest()
+    time.sleep(1)
+    assert not mine.chunks and not mine.pairs and mine.digest("a text of words\nand 漢字") == want
+
+
 def test_pieces_awkward_rows(spark):
     got = pieces.encode_pieces(documents(spark)).collect()
     assert len(got) == len(ROWS) and [r.token_ids for r in got if r.doc_id == 1] == [[2]]
