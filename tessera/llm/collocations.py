@@ -7,7 +7,8 @@ import shutil
 import uuid
 from collections.abc import Iterator
 from contextlib import contextmanager
-from functools import reduce
+from functools import cached_property, reduce
+from itertools import chain
 from urllib.parse import urlparse
 
 import numpy as np
@@ -20,10 +21,12 @@ from pyspark.sql import functions as F
 from .common import frugal, scratch, table, text_of, written
 
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
-#: What ends a piece, and a word (Java's expressions).
-PIECE_END, WORD = r"[.,;:!?\x0A-\x0D]+", r"[^\x20\x09]+"
+#: What ends a piece, with the spaces after it (Java's expression).
+PIECE_END = r"[.,;:!?\x0A-\x0D][.,;:!?\x0A-\x0D\x20]*"
 #: Bytes of pieces whose phrases are counted at once, rows of partial counts in a hash bucket, memory of one database.
 CHUNK, BUCKET_ROWS, MEMORY = 4 << 20, 2_000_000, "256MB"
+#: Rows of counts that a task hands on at once.
+ROWS = 50_000
 #: Bits of the filter of frequent phrases, whatever their number: what a task gets has this size, 16 MB.
 FILTER_BITS = 1 << 27
 #: Score of a phrase whose words occur only in it, and the scale of all scores.
@@ -35,27 +38,37 @@ DEAL = 256
 def pieces(docs: DataFrame, text_col: str = "text", lang_col: str = "lang") -> DataFrame:
     """(lang, piece, words, m): each different piece of text once, its words joined by one space, their number, and how
     often it occurs. Copies and common lines become one row, with counts combined before the shuffle."""
-    text = F.translate(text_of("text"), UPPER, LOWER)
-    each = docs.select(F.coalesce(F.col(lang_col), F.lit("und")).alias("lang"), F.col(text_col).alias("text")).select("lang", F.explode(F.split(text, PIECE_END)).alias("piece"))
-    words = F.regexp_extract_all("piece", F.lit(f"({WORD})"), F.lit(1))
-    each = each.select("lang", words.alias("w")).where(F.size("w") > 0).select("lang", F.array_join("w", " ").alias("piece"), F.size("w").alias("words"))
-    return each.groupBy("lang", "piece", "words").agg(F.count("*").alias("m"))
+    text = F.translate(text_of(text_col), UPPER + "\t", LOWER + " ")
+    each = docs.select(F.coalesce(F.col(lang_col), F.lit("und")).alias("lang"), text.alias("text"))
+    each = each.withColumn("text", F.when(F.contains("text", F.lit("  ")), F.regexp_replace("text", " {2,}", " ")).otherwise(F.col("text")))
+    each = each.select("lang", F.explode(F.split("text", PIECE_END)).alias("piece")).select("lang", F.trim("piece").alias("piece")).where("piece != ''")
+    spaces = F.octet_length("piece") - F.octet_length(F.replace("piece", F.lit(" "), F.lit("")))
+    found = each.groupBy("lang", "piece").agg(F.count("*").alias("m"))
+    return found.select("lang", "piece", (spaces + 1).alias("words"), "m")
 
 
 class Grams:
     """The phrases of k words of a chunk of pieces, as places of their first words, and hashes of phrases."""
 
     def __init__(self, chunk: pa.Table, column: str = "piece"):
-        from xxhash import xxh3_64_intdigest as digest
-
         words = pc.split_pattern(chunk.column(column).combine_chunks(), " ")
-        of = lambda a: np.array([digest(x) for x in a.to_pylist()], np.uint64)
-        self.words, lang = words.flatten().dictionary_encode(), chunk.column("lang").combine_chunks().dictionary_encode()
+        coded, lang = words.flatten().dictionary_encode(), chunk.column("lang").combine_chunks().dictionary_encode()
+        order = pc.sort_indices(coded.dictionary)
+        rank = np.empty(len(order), np.int64)
+        rank[order.to_numpy()] = np.arange(len(order))
+        self.words, self.langs = coded.dictionary.take(order), lang.dictionary
         size = pc.list_value_length(words).to_numpy(zero_copy_only=False)
         self.row = np.repeat(np.arange(len(size)), size)
         self.left = np.repeat(np.cumsum(size), size) - np.arange(len(self.row))  # words of the piece from each on
-        self.word = self.words.indices.to_numpy(zero_copy_only=False)
-        self.seed, self.hash = (of(lang.dictionary)[lang.indices.to_numpy(zero_copy_only=False)])[self.row], of(self.words.dictionary)[self.word]
+        self.word = rank[coded.indices.to_numpy(zero_copy_only=False)]
+        self.lang = lang.indices.to_numpy(zero_copy_only=False).astype(np.int64)[self.row]
+
+    @cached_property
+    def digests(self) -> tuple[np.ndarray, np.ndarray]:
+        """Hashes of the words and of the languages."""
+        from xxhash import xxh3_64_intdigest as digest
+
+        return tuple(np.array([digest(x) for x in a.to_pylist()], np.uint64) for a in (self.words, self.langs))
 
     def at(self, k: int) -> np.ndarray:
         """Where phrases of k words begin."""
@@ -63,16 +76,29 @@ class Grams:
 
     def hashes(self, at: np.ndarray, k: int) -> np.ndarray:
         """Of phrases of k words in their language; the same in any chunk."""
-        out = self.seed[at]
+        words, langs = self.digests
+        out = langs[self.lang[at]]
         for j in range(k):
-            out = (out ^ self.hash[at + j]) * np.uint64(0x9E3779B97F4A7C15)
+            out = (out ^ words[self.word[at + j]]) * np.uint64(0x9E3779B97F4A7C15)
             out ^= out >> np.uint64(29)
         return out
 
     def phrases(self, at: np.ndarray, k: int) -> pa.Array:
-        parts = [self.words.dictionary.take(pa.array(self.word[at + j])) for j in range(k)]
+        parts = [self.words.take(pa.array(self.word[at + j])) for j in range(k)]
         return pc.binary_join_element_wise(*parts, " ") if k > 1 else parts[0]
 
+    def summed(self, at: np.ndarray, k: int, m: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """A place of each different phrase of k words among these, by language and words, and the sum of its pieces' m."""
+        code, below = self.lang[at], len(self.langs)  # numbers the phrase so far
+        for j in range(k):
+            if below * len(self.words) >= 2**63:
+                code, below = np.unique(code, return_inverse=True)[1], len(at)
+            code, below = code * len(self.words) + self.word[at + j], below * len(self.words)
+        order = np.argsort(code)
+        code = code[order]
+        first = np.nonzero(np.diff(code, prepend=-1))[0]
+        return at[order[first]], np.add.reduceat(m[self.row[at[order]]], first) if len(at) else m[:0]
+
 
 def passing(grams: Grams, k: int, bits: np.ndarray | None) -> np.ndarray:
     """Where phrases of k words begin, less those that have a shorter phrase in them which is surely not frequent."""
@@ -141,38 +167,32 @@ def counted(found: DataFrame, longest: int, least: int, bits: int = FILTER_BITS,
     """(lang, phrase, n) of phrases of 1 to ``longest`` words that occur ``least`` times or more, from pieces.
 
     Shorter phrases first. Each task takes the phrases of a bounded chunk of pieces, leaves out those with a shorter phrase
-    in them that is not frequent, and sums the chunk's in a database; so a phrase that stands in a third of all
+    in them that is not frequent, and sums the chunk's by numbers of its words; so a phrase that stands in a third of all
     pieces leaves the task as a row a chunk. Partial counts go to hash buckets of about ``bucket_rows`` rows, and a database
     in each bucket sums them, out of core where MEMORY is not enough. What is not frequent is known from a filter of a fixed
     number of ``bits`` that all tasks get: it never leaves out a frequent phrase, and where frequent phrases are too
     many for it, it leaves out less.
     """
     spark, kind = found.sparkSession, "lang string, phrase string, n bigint"
-    folder, types = _shared_folder(spark), [pa.string(), pa.string(), pa.int64()]
-
-    def results(con, sql: str) -> Iterator[pa.RecordBatch]:
-        for batch in con.sql(sql).to_arrow_reader(50_000):
-            yield pa.RecordBatch.from_arrays([c.cast(t) for c, t in zip(batch.columns, types, strict=True)], ["lang", "phrase", "n"])
+    folder, types, names = _shared_folder(spark), [pa.string(), pa.string(), pa.int64()], ["lang", "phrase", "n"]
 
     def of_length(k: int, known) -> DataFrame:
         def partial(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            with _database(folder) as con:
-                for chunk in chunks(batches, CHUNK):
-                    grams = Grams(chunk)
-                    at = passing(grams, k, known.value if known else None)
-                    row = pa.array(grams.row[at])
-                    con.register("grams", pa.table({"lang": chunk.column("lang").take(row), "phrase": grams.phrases(at, k), "m": chunk.column("m").take(row)}))
-                    yield from results(con, "SELECT lang, phrase, sum(m)::BIGINT AS n FROM grams GROUP BY ALL ORDER BY ALL")
-                    con.unregister("grams")
+            for chunk in chunks(batches, CHUNK):
+                grams = Grams(chunk)
+                places, sums = grams.summed(passing(grams, k, known.value if known else None), k, chunk.column("m").to_numpy())
+                for i in range(0, len(places), ROWS):
+                    at = places[i : i + ROWS]
+                    yield pa.RecordBatch.from_arrays([c.cast(t) for c, t in zip([grams.langs.take(pa.array(grams.lang[at])), grams.phrases(at, k), pa.array(sums[i : i + ROWS])], types, strict=True)], names)
 
         def total(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            first = next(batches, None)
+            if first is None:
+                return
             with _database(folder) as con:
-                con.execute("CREATE TABLE t (lang VARCHAR, phrase VARCHAR, n BIGINT)")
-                for batch in batches:
-                    con.register("batch", pa.Table.from_batches([batch]))
-                    con.execute("INSERT INTO t SELECT lang, phrase, n FROM batch")
-                    con.unregister("batch")
-                yield from results(con, f"SELECT lang, phrase, sum(n)::BIGINT AS n FROM t GROUP BY ALL HAVING sum(n) >= {int(least)}")
+                con.register("t", pa.RecordBatchReader.from_batches(first.schema, chain([first], batches)))
+                for batch in con.sql(f"SELECT lang, phrase, sum(n)::BIGINT AS n FROM t GROUP BY ALL HAVING sum(n) >= {int(least)}").to_arrow_reader(ROWS):
+                    yield pa.RecordBatch.from_arrays([c.cast(t) for c, t in zip(batch.columns, types, strict=True)], names)
 
         parts = found.where(F.col("words") >= k).select("lang", "piece", "m").mapInArrow(frugal(partial), kind)
         return written(parts.repartition(buckets, "lang", "phrase").mapInArrow(frugal(total), kind))

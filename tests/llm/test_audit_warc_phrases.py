@@ -3,6 +3,7 @@ import gzip
 import hashlib
 import itertools
 import os
+import random
 import re
 from collections import Counter, defaultdict
 from fractions import Fraction
@@ -231,6 +232,25 @@ def test_equal_pieces_are_counted_once(spark):
     assert got == {("a b", 2, 3), ("c", 1, 1)}
 
 
+def test_phrases_of_a_chunk_are_summed_by_numbers_of_their_words():
+    import numpy as np
+    import pyarrow as pa
+
+    r = random.Random(4)
+    rows = [(r.choice(["en", "de", "漢"]), " ".join(r.choice(["a", "b", "É", "漢字", "zz"]) for _ in range(r.choice([r.randint(1, 9), 60]))), r.randint(1, 10**12)) for _ in range(400)]
+    grams = collocations.Grams(pa.table({"lang": [x for x, _, _ in rows], "piece": [x for _, x, _ in rows]}))
+    m = np.array([x for _, _, x in rows])
+    for k in (1, 2, 3, 40):  # numbers of 40 words pass 64 bits
+        want = Counter()
+        for lang, piece, n in rows:
+            w = piece.split(" ")
+            for i in range(len(w) - k + 1):
+                want[lang, " ".join(w[i : i + k])] += n
+        at, sums = grams.summed(grams.at(k), k, m)
+        got = list(zip(grams.langs.take(pa.array(grams.lang[at])).to_pylist(), grams.phrases(at, k).to_pylist(), sums.tolist(), strict=True))
+        assert len(got) == len(want) and {(a, b): n for a, b, n in got} == want
+
+
 def test_database_goes_on_in_the_shared_folder(tmp_path):
     with collocations._database(str(tmp_path)) as con:
         con.execute("CREATE TABLE t AS SELECT range AS i, md5(range::VARCHAR) || md5((range + 1)::VARCHAR) AS s FROM range(6000000)")
